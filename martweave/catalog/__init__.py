@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-PARTS = ["marketplace", "customers", "hotel"]
+PARTS = ["spend", "shop", "bank", "university"]
 
 
 def _catalogs():

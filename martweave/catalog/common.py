@@ -108,7 +108,8 @@ def nth_sql(index: str, values) -> str:
 
 def rounded(value: str, digits: int) -> str:
     """Half-up rounding of a quotient or mean, as Spark rounds doubles."""
-    return f"cast(round(cast({value} as decimal(30,10)), {digits}) as double)"
+    scale = 10 if digits <= 4 else 14
+    return f"cast(round(cast({value} as decimal(38,{scale})), {digits}) as double)"
 
 
 def day(value: str) -> str:

@@ -44,6 +44,15 @@ def whole_json(text: Column) -> Column:
     return F.when(alone & sound, F.try_variant_get(wrapped, "$[0]", "variant"))
 
 
+def with_document(df: DataFrame, text: Column, name: str = "doc") -> DataFrame:
+    """Adds the parsed text.
+
+    The column goes through a generator, because a later filter on anything derived from a
+    plain column would be rewritten into one that parses the text once per mention.
+    """
+    return df.select("*", F.explode(F.array(whole_json(text))).alias(name))
+
+
 def member(doc: Column, path: str, kind: str = "string") -> Column:
     return F.try_variant_get(doc, f"$.{path}", kind)
 
@@ -90,9 +99,8 @@ def parse_transactions(messages: DataFrame, value: str = "value") -> DataFrame:
     the input other than the message (arrival time, offsets) pass through.
     """
     keep = [c for c in messages.columns if c != value]
-    decoded = messages.select(
-        *keep, F.coalesce(F.col(value).cast("string"), F.lit("")).alias("raw_message")
-    ).withColumn("doc", whole_json(F.col("raw_message")))
+    raw = messages.select(*keep, F.coalesce(F.col(value).cast("string"), F.lit("")).alias("raw_message"))
+    decoded = with_document(raw, F.col("raw_message"))
     doc = F.col("doc")
     error = F.coalesce(
         F.when(doc.isNull(), F.lit("invalid JSON")),

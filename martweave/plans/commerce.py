@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as V
 from ..functions.dates import wall_clock
-from ..functions.messages import member, refusal_envelope, topic_error, whole_json
+from ..functions.messages import member, refusal_envelope, topic_error, with_document
 from ..functions.text import browser, device_type, ipv4_number
 from ..operators.ranges import range_lookup
 
@@ -31,7 +31,7 @@ GEO_FIELDS = ["country", "country_code", "city"]
 
 def routed(messages: DataFrame) -> DataFrame:
     """Topic records (topic, value, ...) with the decoded document and the reason for refusal, if any."""
-    decoded = messages.withColumn("doc", whole_json(F.coalesce(F.col("value").cast("string"), F.lit(""))))
+    decoded = with_document(messages, F.coalesce(F.col("value").cast("string"), F.lit("")))
     return decoded.withColumn("reason", topic_error(F.col("topic"), F.col("doc")))
 
 

@@ -15,6 +15,12 @@ from ..functions.risk import feature_columns, with_risk_score, with_rule_flags
 from ..functions.text import alert_reason
 
 NUMERIC = "decimal(38,9)"
+# a dividend of this type makes Spark's decimal quotient keep nine decimals
+DIVIDEND = "decimal(29,9)"
+
+
+def numeric_ratio(top: str, bottom: str) -> Column:
+    return ratio(F.col(top).cast(DIVIDEND), bottom)
 
 
 def score_transactions(transactions: DataFrame, raw: str = "ml_raw_score") -> DataFrame:
@@ -66,7 +72,7 @@ def enrich_transactions(staged: DataFrame) -> DataFrame:
     return staged.withColumns(
         {
             "risk_tier": at_least("final_risk_score", V.RISK_TIER, V.RISK_TIER_DEFAULT),
-            "amount_to_baseline_ratio": ratio("amount_usd", "baseline_monthly_spend"),
+            "amount_to_baseline_ratio": numeric_ratio("amount_usd", "baseline_monthly_spend"),
             "transaction_hour": hour,
             "transaction_date": F.to_date("transacted_at"),
             "day_of_week": F.date_format("transacted_at", "EEEE"),
@@ -104,7 +110,7 @@ def company_daily_spend(enriched: DataFrame) -> DataFrame:
         F.count_if("rule_off_hours").alias("off_hours_count"),
         F.count_if("is_simulated_anomaly").alias("known_anomaly_count"),
     )
-    return daily.withColumn("daily_to_baseline_ratio", ratio("total_amount_usd", "baseline_monthly_spend"))
+    return daily.withColumn("daily_to_baseline_ratio", numeric_ratio("total_amount_usd", "baseline_monthly_spend"))
 
 
 def company_spend_summary(daily: DataFrame) -> DataFrame:
