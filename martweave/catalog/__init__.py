@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-PARTS = ["spend", "shop", "bank", "university"]
+PARTS = ["marketplace", "customers", "hotel", "spend", "shop", "bank", "university", "quality", "model", "signals", "streams"]
 
 
 def _catalogs():

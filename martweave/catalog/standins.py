@@ -442,7 +442,8 @@ TRANSCRIPT = Standin(
     {
         "student_id": "'S' || cast(cast(floor(l_orderkey / 10) as bigint) as varchar(20))",
         "course": "'C' || cast(l_partkey as varchar(20))",
-        "mark": "l_quantity * 2",
+        # every fifth student is strong, so that grade means reach the award limits
+        "mark": "least(100.0, l_quantity + 25 + cast(floor(l_orderkey / 10) as bigint) % 5 * cast(12.5 as double))",
         "kind": "case when l_linenumber >= 6 then 'elective' else 'course' end",
         "pos": "l_linenumber",
     },

@@ -70,8 +70,7 @@ def _(spark, folder):
 
 @catalog.add(
     "grade_table",
-    f"""select l_quantity * 2 percentage, {_bands_sql('l_quantity * 2', 1, literal(V.GRADE_FAIL[0]), 'varchar')} grade,
-    {dbl(_bands_sql('l_quantity * 2', 2, V.GRADE_FAIL[1], 'decimal(4,1)'))} grade_point, count(*) n from lineitem group by l_quantity""",
+    f"select mark percentage, grade, {dbl('grade_point')} grade_point, count(*) n from {_TRANSCRIPT_SQL} group by all",
 )
 def _(spark, folder):
     """Grade row of every percentage that occurs."""
@@ -175,10 +174,10 @@ def _(spark, folder):
     "top2_per_year",
     f"""select student_id, {big('enrollment_year')} enrollment_year, gpa, r "rank" from (select *,
     row_number() over (partition by enrollment_year order by gpa desc, student_id) r from {_STUDENTS_SQL}
-    where gpa >= 2.0 and scholarship is null and college = 'CHSS') where r <= 2""",
+    where gpa >= 3.0 and scholarship is null and college = 'CHSS') where r <= 2""",
 )
 def _(spark, folder):
-    best = U.best_of_college_per_year(with_gpa(spark, folder), minimum=2.0)
+    best = U.best_of_college_per_year(with_gpa(spark, folder))
     return plain(best.select("student_id", "enrollment_year", "gpa", "rank"))
 
 
@@ -190,15 +189,9 @@ def _best_sql(test: str, minimum: float, n: int) -> str:
 _ENGINEERING = f"gender = 'Female' and department in ({quoted(V.ENGINEERING_DEPARTMENTS)})"
 
 
-# marks in the data are evenly spread, so grade means rarely reach the published minimum
-@catalog.add("scholarship_engineering", _best_sql(f"enrollment_year = 2020 and {_ENGINEERING}", 1.0, 2))
+@catalog.add("scholarship_engineering", _best_sql(f"enrollment_year = 2020 and {_ENGINEERING}", 3.5, 2))
 def _(spark, folder):
-    test = (
-        (F.col("gender") == "Female")
-        & (F.col("enrollment_year") == 2020)
-        & F.col("department").isin(*V.ENGINEERING_DEPARTMENTS)
-    )
-    return plain(U.scholarship_candidates(with_gpa(spark, folder), test, 1.0, 2).select("student_id", "gpa"))
+    return plain(U.engineering_scholarship(with_gpa(spark, folder)).select("student_id", "gpa"))
 
 
 @catalog.add(
@@ -210,10 +203,10 @@ def _(spark, folder):
 
 @catalog.add(
     "scholarship_minority",
-    _best_sql("enrollment_year = 2021 and country = 'United States' and race is distinct from 'white'", 3.0, 5),
+    _best_sql("enrollment_year = 2023 and country = 'United States' and race is distinct from 'white'", 3.0, 5),
 )
 def _(spark, folder):
-    return plain(U.minority_scholarship(with_gpa(spark, folder), year=2021).select("student_id", "gpa"))
+    return plain(U.minority_scholarship(with_gpa(spark, folder)).select("student_id", "gpa"))
 
 
 # --- courses -----------------------------------------------------------------------------------

@@ -11,16 +11,22 @@ from .running import CHUNK_WIDTH, running_sums
 SMALL_ACCOUNT_ROWS = 100_000
 
 
-def _walk(pdf):
-    """Accept debits in order while the remaining funds cover them (one small account)."""
-    pdf = pdf.sort_values("seq", kind="stable")
-    left = int(pdf["funds"].iloc[0])
-    verdicts = []
-    for debit in pdf["debit"]:
-        covered = debit <= left
-        left -= int(debit) if covered else 0
-        verdicts.append(bool(covered))
-    return pdf.assign(accepted=verdicts)[["account_id", "seq", "accepted"]]
+def _walk(batches):
+    """Accept debits in order while the remaining funds cover them.
+
+    Rows come sorted by account and seq; only the account at hand and its funds are kept.
+    """
+    account, left = None, 0
+    for pdf in batches:
+        verdicts = []
+        for name, debit, funds in zip(pdf["account_id"], pdf["debit"], pdf["funds"], strict=True):
+            if name != account:
+                account, left = name, funds
+            covered = debit <= left
+            if covered:
+                left -= debit
+            verdicts.append(covered)
+        yield pdf[["account_id", "seq"]].assign(accepted=verdicts)
 
 
 def accept_in_order(debits: DataFrame, small_rows: int = SMALL_ACCOUNT_ROWS, width: int = CHUNK_WIDTH) -> DataFrame:
@@ -29,15 +35,17 @@ def accept_in_order(debits: DataFrame, small_rows: int = SMALL_ACCOUNT_ROWS, wid
     `debit` and `funds` are integers in the smallest unit; `funds` is the balance above the
     minimum before the first row.  Debits must be positive; `seq` is unique.
 
-    Accounts of bounded size are walked row by row.  Larger ones are never put in one task:
-    see `accept_by_halving`.
+    Accounts of bounded size are walked row by row in sorted partitions.  Larger ones are
+    never put in one task: see `accept_by_halving`.
     """
     rows = debits.select("account_id", "seq", "debit", "funds")
     sizes = rows.groupBy("account_id").agg(F.count(F.lit(1)).alias("_n"))
     big_ids = sizes.filter(F.col("_n") > small_rows).select("account_id")
     small = rows.join(big_ids, "account_id", "left_anti")
-    walked = small.groupBy("account_id").applyInPandas(
-        _walk, "account_id string, seq bigint, accepted boolean"
+    walked = (
+        small.repartition("account_id")
+        .sortWithinPartitions("account_id", "seq")
+        .mapInPandas(_walk, "account_id string, seq bigint, accepted boolean")
     )
     if big_ids.isEmpty():
         return walked
@@ -88,10 +96,7 @@ def accept_by_halving(rows: DataFrame, width: int = CHUNK_WIDTH) -> DataFrame:
         decided.append(
             marked.filter(in_round).select("account_id", "seq", F.col("_covered").alias("accepted"))
         )
-        open_rows = pin(
-            marked.filter(~in_round).select("account_id", "seq", "debit", F.col("_left").alias("funds")),
-            "funds-open",
-        )
+        open_rows = marked.filter(~in_round).select("account_id", "seq", "debit", F.col("_left").alias("funds"))
         if open_rows.isEmpty():
             break
     result = decided[0]
