@@ -326,6 +326,8 @@ def _(spark, folder):
 
 # --- enrolment ----------------------------------------------------------------------------------
 
+_SLOTS_SQL = f"""(select course_code, department, i // 6 + 1 slot_year, i % 6 // 4 + 1 slot_semester
+  from (select *, row_number() over (partition by department order by {_SHUFFLED}, course_no) - 1 i from {S.COURSES.sql}) where i < 18)"""
 _YEAR_SQL = "case enrollment_year when 2025 then 1 when 2024 then 2 when 2023 then 3 else greatest(1, least(3, 2026 - enrollment_year)) end"
 
 
@@ -342,12 +344,13 @@ def _(spark, folder):
 
 @catalog.add(
     "enrol_compulsory",
-    f"""select distinct student_id, course_code from (select *, {_YEAR_SQL} study from {S.STUDENTS.sql}) s
-    join {S.COURSES.sql} c on c.department = s.department and c."year" = study and semester = 1 and type = 'Compulsory'""",
+    f"""select student_id, course_code from (select *, {_YEAR_SQL} study from {S.STUDENTS.sql}) s
+    join {_SLOTS_SQL} c on c.department = s.department and slot_year = study and slot_semester = 1""",
 )
 def _(spark, folder):
+    """First-semester courses of the timetable, four per department and year."""
     rows = students(spark, folder).withColumn("year", U.study_year("enrollment_year"))
-    return plain(U.enrol_compulsory(rows, courses(spark, folder)))
+    return plain(U.enrol_compulsory(rows, U.course_slots(courses(spark, folder), shuffled())))
 
 
 _STUDENT_PICK = "((student_no % 1000003) * 7919 + 5) % 1000003"

@@ -28,70 +28,86 @@ TRANSACTION_TEXT_FIELDS = [
 ]
 
 
-def whole_json(text: Column) -> Column:
-    """The text as a variant, null unless it is exactly one JSON value.
+def _once(df: DataFrame, value: Column, name: str) -> DataFrame:
+    """Adds a column that is computed exactly once per row.
 
-    The parser stops after the first value and would accept trailing junk, so the text is
-    parsed as the only element of an array.  Junk that itself closes the array is caught
-    by a second parse as an object field, done only for texts in which it is possible.
+    A plain column is not: a later filter on anything derived from it is rewritten into one
+    that repeats its expression per mention, and a branch of a conditional computes it anew.
+    A generator over one element is left alone.
     """
-    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    alone = F.try_variant_get(wrapped, "$[1]", "variant").isNull()
-    closes_early = text.rlike(r"\}\s*\]")
-    sound = F.when(
-        closes_early, F.try_parse_json(F.concat(F.lit('{"d":'), text, F.lit("}"))).isNotNull()
-    ).otherwise(F.lit(True))
-    return F.when(alone & sound, F.try_variant_get(wrapped, "$[0]", "variant"))
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
+def member(doc: Column, path: str, kind: str = "string") -> Column:
+    """Part of a document by its path, which starts with a dot or an index."""
+    return F.try_variant_get(doc, f"${path}", kind)
 
 
-def with_document(df: DataFrame, text: Column, name: str = "doc") -> DataFrame:
-    """Adds the parsed text.
+def with_document(df: DataFrame, text: Column, members: Iterable[str]) -> DataFrame:
+    """Adds `doc`, the text as a variant, null unless it is exactly one JSON value, and `m`,
+    the text of each named member.
 
-    The column goes through a generator, because a later filter on anything derived from a
-    plain column would be rewritten into one that parses the text once per mention.
+    The parser stops after the first value and would accept trailing junk, so the text is
+    parsed as the only element of an array.  Junk that itself closes the array is caught
+    by a second parse as an object field, done only for texts in which it is possible.
     """
-    return df.select("*", F.explode(F.array(whole_json(text))).alias(name))
+    wrapped = _once(df, F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))), "_wrapped")
+    alone = member(F.col("_wrapped"), "[1]", "variant").isNull()
+    as_field = F.try_parse_json(F.concat(F.lit('{"d":'), text, F.lit("}")))
+    sound = F.when(text.rlike(r"\}\s*\]"), as_field.isNotNull()).otherwise(F.lit(True))
+    doc = F.when(alone & sound, member(F.col("_wrapped"), "[0]", "variant"))
+    parsed = _once(wrapped, doc, "doc").drop("_wrapped")
+    return _once(parsed, F.struct(*[member(F.col("doc"), f".{name}").alias(name) for name in members]), "m")
 
 
-def member(doc: Column, path: str, kind: str = "string") -> Column:
-    return F.try_variant_get(doc, f"$.{path}", kind)
+def _text(key: str) -> Column:
+    return F.col(f"m.{key}")
 
 
-def has_key(doc: Column, key: str) -> Column:
-    """Whether the key is present, also when its value is JSON null."""
-    return member(doc, key, "variant").isNotNull()
+def _is_string(key: str) -> Column:
+    """Whether the member is JSON text; asked only where its text could also be another kind."""
+    return F.schema_of_variant(member(F.col("doc"), f".{key}", "variant")) == "STRING"
 
 
-def is_object(doc: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(doc).startswith("OBJECT"), F.lit(False))
+def _absent(key: str) -> Column:
+    """Whether the key is missing; a present null is not."""
+    return F.when(_text(key).isNull(), member(F.col("doc"), f".{key}", "variant").isNull()).otherwise(F.lit(False))
 
 
-def _number(doc: Column, key: str) -> Column:
-    """Value as double: JSON numbers, booleans and numeric texts convert, anything else is null."""
-    kind = F.schema_of_variant(member(doc, key, "variant"))
-    text = member(doc, key)
-    return F.when(kind == "BOOLEAN", (text == "true").cast("double")).otherwise(float_from_text(text))
+def _number(key: str) -> Column:
+    """Member as double: JSON numbers, booleans and numeric texts convert, anything else is null."""
+    text = _text(key)
+    return F.when(
+        text.isin("true", "false"), F.when(~_is_string(key), (text == "true").cast("double"))
+    ).otherwise(float_from_text(text))
 
 
-def _number_error(doc: Column, key: str) -> Column:
-    text = member(doc, key)
+def _number_error(key: str) -> Column:
+    text = _text(key)
     return F.when(
-        _number(doc, key).isNull(),
-        F.when(text.isNull(), F.concat(F.lit(f"not a number: {key} is null"))).otherwise(
+        _number(key).isNull(),
+        F.when(text.isNull(), F.lit(f"not a number: {key} is null")).otherwise(
             F.concat(F.lit(f"could not convert {key} to float: '"), text, F.lit("'"))
         ),
     )
 
 
-def missing_keys_error(doc: Column, required: Iterable[str]) -> Column:
-    absent = F.array_compact(
-        F.array(*[F.when(~has_key(doc, key), F.lit(key)) for key in sorted(required)])
-    )
+def _missing_error(required: Iterable[str]) -> Column:
+    absent = F.array_compact(F.array(*[F.when(_absent(key), F.lit(key)) for key in sorted(required)]))
+    # most messages have a text in every required member
+    some_null = F.lit(False)
+    for key in required:
+        some_null = some_null | _text(key).isNull()
     return F.when(
-        F.size(absent) > 0, F.concat(F.lit("Missing required fields: "), F.array_join(absent, ", "))
+        some_null,
+        F.when(F.size(absent) > 0, F.concat(F.lit("Missing required fields: "), F.array_join(absent, ", "))),
     )
 
 
+def _starts_object(text: Column) -> Column:
+    return F.ltrim(text).startswith("{")
+
+
 def parse_transactions(messages: DataFrame, value: str = "value") -> DataFrame:
     """One row per message: `raw_message`, `error` (null when sound) and the decoded fields.
 
@@ -100,24 +116,21 @@ def parse_transactions(messages: DataFrame, value: str = "value") -> DataFrame:
     """
     keep = [c for c in messages.columns if c != value]
     raw = messages.select(*keep, F.coalesce(F.col(value).cast("string"), F.lit("")).alias("raw_message"))
-    decoded = with_document(raw, F.col("raw_message"))
-    doc = F.col("doc")
+    numbers = ["amount_usd", "baseline_monthly_spend"]
+    decoded = with_document(raw, F.col("raw_message"), [*TRANSACTION_TEXT_FIELDS, *numbers])
     error = F.coalesce(
-        F.when(doc.isNull(), F.lit("invalid JSON")),
-        F.when(~is_object(doc), F.lit("not a JSON object")),
-        missing_keys_error(doc, V.REQUIRED_TRANSACTION_FIELDS),
-        _number_error(doc, "amount_usd"),
-        _number_error(doc, "baseline_monthly_spend"),
+        F.when(F.col("doc").isNull(), F.lit("invalid JSON")),
+        F.when(~_starts_object(F.col("raw_message")), F.lit("not a JSON object")),
+        _missing_error(V.REQUIRED_TRANSACTION_FIELDS),
+        *[_number_error(name) for name in numbers],
     )
-    fields = [member(doc, name).alias(name) for name in TRANSACTION_TEXT_FIELDS]
     return decoded.select(
         *keep,
         "raw_message",
         error.alias("error"),
-        *fields,
-        _number(doc, "amount_usd").alias("amount_usd"),
-        _number(doc, "baseline_monthly_spend").alias("baseline_monthly_spend"),
-        member(doc, "is_anomaly", "boolean").alias("is_anomaly"),
+        *[_text(name).alias(name) for name in TRANSACTION_TEXT_FIELDS],
+        *[_number(name).alias(name) for name in numbers],
+        member(F.col("doc"), ".is_anomaly", "boolean").alias("is_anomaly"),
     )
 
 
@@ -129,64 +142,53 @@ def dead_letters(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col("error").isNotNull()).select("raw_message", "error")
 
 
-def _falsy(doc: Column, key: str) -> Column:
+def _falsy(key: str) -> Column:
     """Missing, null, empty text, zero, false, empty list or empty object."""
-    value = member(doc, key, "variant")
-    kind = F.schema_of_variant(value)
-    text = member(doc, key)
-    return (
-        value.isNull()
-        | F.coalesce(F.is_variant_null(value), F.lit(False))
-        | F.coalesce(text == "", F.lit(False))
-        | F.coalesce((kind == "BOOLEAN") & (text == "false"), F.lit(False))
-        | F.coalesce(kind.isin("ARRAY<VOID>", "OBJECT<>") & text.isin("[]", "{}"), F.lit(False))
-        | F.coalesce(
-            ~kind.startswith("STRING") & ~kind.startswith("ARRAY") & ~kind.startswith("OBJECT")
-            & (text.try_cast("double") == 0),
-            F.lit(False),
-        )
-    )
+    text = _text(key)
+    empty_looking = text.isin("false", "[]", "{}") | (text.rlike(r"^-?0[0.eE+-]*$") & (text.try_cast("double") == 0))
+    return F.coalesce((text == "") | F.when(empty_looking, ~_is_string(key)).otherwise(F.lit(False)), F.lit(True))
 
 
-def _first_falsy(doc: Column, required: Iterable[str]) -> Column:
-    return F.coalesce(*[F.when(_falsy(doc, key), F.lit(f"missing required field: '{key}'")) for key in required])
+def _first_falsy(required: Iterable[str]) -> Column:
+    return F.coalesce(*[F.when(_falsy(key), F.lit(f"missing required field: '{key}'")) for key in required])
 
 
-def _not_in(doc: Column, key: str, allowed, label: str) -> Column:
-    text = member(doc, key)
-    return F.when(
-        ~F.coalesce(text.isin(*allowed), F.lit(False)), F.concat(F.lit(f"invalid {label}: '"), text, F.lit("'"))
-    )
+def _not_in(key: str, allowed, label: str) -> Column:
+    text = _text(key)
+    return F.when(~text.isin(*allowed), F.concat(F.lit(f"invalid {label}: '"), text, F.lit("'")))
 
 
-def event_error(doc: Column) -> Column:
+def event_error() -> Column:
     """First reason an event is refused, null when it is sound."""
-    stamp = member(doc, "timestamp")
+    stamp = _text("timestamp")
     return F.coalesce(
-        _first_falsy(doc, V.EVENT_REQUIRED),
-        _not_in(doc, "type", V.EVENT_TYPES, "event type"),
+        _first_falsy(V.EVENT_REQUIRED),
+        _not_in("type", V.EVENT_TYPES, "event type"),
         F.when(~is_iso_text(stamp), F.concat(F.lit("unparseable timestamp: '"), stamp, F.lit("'"))),
     )
 
 
-def order_error(doc: Column) -> Column:
+def order_error() -> Column:
     """First reason an order is refused, null when it is sound."""
-    items_kind = F.schema_of_variant(member(doc, "items", "variant"))
-    total = member(doc, "totals.total", "double")
+    doc = F.col("doc")
+    total = member(doc, ".totals.total", "double")
     return F.coalesce(
-        _first_falsy(doc, V.DOC_ORDER_REQUIRED),
-        _not_in(doc, "status", V.DOC_ORDER_STATUSES, "order status"),
-        F.when(~items_kind.startswith("ARRAY"), F.lit("items must be a non-empty list")),
+        _first_falsy(V.DOC_ORDER_REQUIRED),
+        _not_in("status", V.DOC_ORDER_STATUSES, "order status"),
+        F.when(member(doc, ".items", "array<variant>").isNull(), F.lit("items must be a non-empty list")),
         F.when(F.coalesce(total, F.lit(-1.0)) < 0, F.lit("order total must be non-negative")),
     )
 
 
-def topic_error(topic: Column, doc: Column) -> Column:
+TOPIC_MEMBERS = sorted({*V.EVENT_REQUIRED, *V.DOC_ORDER_REQUIRED})
+
+
+def topic_error(topic: Column) -> Column:
     """Reason a message is refused given the topic it came on, null when it is sound."""
     return (
-        F.when(doc.isNull(), F.lit("invalid JSON"))
-        .when(topic == "events", event_error(doc))
-        .when(topic == "orders", order_error(doc))
+        F.when(F.col("doc").isNull(), F.lit("invalid JSON"))
+        .when(topic == "events", event_error())
+        .when(topic == "orders", order_error())
         .otherwise(F.concat(F.lit("unexpected topic: "), topic))
     )
 

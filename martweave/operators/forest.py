@@ -7,15 +7,20 @@ per tree.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import fixed_values as V
 
+# task code travels with the job, so workers need not have this package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 NODE_SCHEMA = (
     "tree int, node int, feature int, threshold double, below int, above int, path double, sample int"
 )
@@ -164,15 +169,18 @@ def _packed(nodes: DataFrame, trees: int, sample_size: int) -> dict[str, np.ndar
 
 def raw_scores(model: dict[str, np.ndarray], points: np.ndarray) -> np.ndarray:
     """Scores in [-1, 0), lower being more unusual; all rows walk one level of all trees at a time."""
-    trees = np.arange(model["feature"].shape[0])
-    at = np.zeros((len(points), len(trees)), dtype=int)
-    row = np.arange(len(points))[:, None]
+    trees, width = model["feature"].shape
+    flat = {name: model[name].ravel() for name in ("feature", "threshold", "below", "above", "path")}
+    base = (np.arange(trees, dtype=np.int64) * width)[None, :]
+    row = (np.arange(len(points), dtype=np.int64) * points.shape[1])[:, None]
+    values = np.ascontiguousarray(points).ravel()
+    at = np.broadcast_to(base, (len(points), trees))
     for _ in range(int(model["depth"][0])):
-        feature = model["feature"][trees, at]
-        goes_below = points[row, np.maximum(feature, 0)] <= model["threshold"][trees, at]
-        step = np.where(goes_below, model["below"][trees, at], model["above"][trees, at])
-        at = np.where(feature < 0, at, step)
-    mean_path = model["path"][trees, at].mean(axis=1)
+        # a leaf points to itself on both sides, whatever the comparison says
+        feature = np.maximum(flat["feature"].take(at), 0)
+        goes_below = values.take(row + feature) <= flat["threshold"].take(at)
+        at = base + np.where(goes_below, flat["below"].take(at), flat["above"].take(at))
+    mean_path = flat["path"].take(at).mean(axis=1)
     return -np.power(2.0, -mean_path / model["scale"][0])
 
 
@@ -193,8 +201,8 @@ def with_raw_score(
         known = ~np.isnan(points).any(axis=1)
         result = np.full(len(points), np.nan)
         # bounded working set: rows x trees integers per level
-        for start in range(0, len(points), 4096):
-            part = slice(start, start + 4096)
+        for start in range(0, len(points), 1024):
+            part = slice(start, start + 1024)
             chosen = np.flatnonzero(known[part]) + start
             if len(chosen):
                 result[chosen] = raw_scores(model.value, points[chosen])

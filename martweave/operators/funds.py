@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import pin
 from .running import CHUNK_WIDTH, running_sums
 
+# task code travels with the job, so workers need not have this package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 SMALL_ACCOUNT_ROWS = 100_000
 
 

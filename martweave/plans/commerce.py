@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as V
 from ..functions.dates import wall_clock
-from ..functions.messages import member, refusal_envelope, topic_error, with_document
+from ..functions.messages import TOPIC_MEMBERS, member, refusal_envelope, topic_error, with_document
 from ..functions.text import browser, device_type, ipv4_number
 from ..operators.ranges import range_lookup
 
@@ -31,8 +31,9 @@ GEO_FIELDS = ["country", "country_code", "city"]
 
 def routed(messages: DataFrame) -> DataFrame:
     """Topic records (topic, value, ...) with the decoded document and the reason for refusal, if any."""
-    decoded = with_document(messages, F.coalesce(F.col("value").cast("string"), F.lit("")))
-    return decoded.withColumn("reason", topic_error(F.col("topic"), F.col("doc")))
+    text = F.coalesce(F.col("value").cast("string"), F.lit(""))
+    decoded = with_document(messages, text, TOPIC_MEMBERS)
+    return decoded.withColumn("reason", topic_error(F.col("topic"))).drop("m")
 
 
 def refused(routed_rows: DataFrame, failed_at: Column | None = None) -> DataFrame:
@@ -42,19 +43,24 @@ def refused(routed_rows: DataFrame, failed_at: Column | None = None) -> DataFram
     return bad.select(refusal_envelope(F.col("topic"), F.col("value"), F.col("reason"), stamp).alias("value"))
 
 
+def _as_struct(schema: str) -> Column:
+    """The parsed document as a struct; members of another type than expected are null."""
+    return F.from_json("value", schema)
+
+
 def decoded_events(routed_rows: DataFrame) -> DataFrame:
     good = routed_rows.filter((F.col("topic") == "events") & F.col("reason").isNull())
-    return good.select(F.from_json("value", EVENT_SCHEMA).alias("e")).select("e.*")
+    return good.select(_as_struct(EVENT_SCHEMA).alias("e")).select("e.*")
 
 
 def decoded_orders(routed_rows: DataFrame, order: str = "offset") -> DataFrame:
     """Sound orders with the list of fields each document carries and its position in the topic."""
     good = routed_rows.filter((F.col("topic") == "orders") & F.col("reason").isNull())
     present = F.array_compact(
-        F.array(*[F.when(member(F.col("doc"), f, "variant").isNotNull(), F.lit(f)) for f in ORDER_FIELDS])
+        F.array(*[F.when(member(F.col("doc"), f".{f}", "variant").isNotNull(), F.lit(f)) for f in ORDER_FIELDS])
     )
     return good.select(
-        F.from_json("value", ORDER_SCHEMA).alias("o"), present.alias("present"), F.col(order).alias("position")
+        _as_struct(ORDER_SCHEMA).alias("o"), present.alias("present"), F.col(order).alias("position")
     ).select("o.*", "present", "position")
 
 

@@ -246,10 +246,10 @@ def enrol_compulsory(students: DataFrame, courses: DataFrame, semester: int = 1)
     """(student_id, course_code) for the compulsory courses of the student's department and year."""
     due = courses.filter((F.col("type") == "Compulsory") & (F.col("semester") == semester)).select(
         "department", "year", "course_code"
-    )
+    ).distinct()
     return students.select("student_id", "department", "year").join(due, ["department", "year"], "inner").select(
         "student_id", "course_code"
-    ).distinct()
+    )
 
 
 def enrol_electives(students: DataFrame, courses: DataFrame, pick: Column, k: int = 1) -> DataFrame:
