@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.risk import feature_columns
+from ..functions.risk import with_features
 from ..operators import forest
 from ..plans import spend as P
 from ..session import pin
@@ -49,7 +49,7 @@ def _evaluated(spark, folder):
     known = forest.with_raw_score(P.transaction_features(rows), nodes)
     cut = forest.threshold(known)
     sample = P.evaluation_set(rows, spend._draw(17), F.col("event_id") % 3, spend.SUNDAY_NIGHT)
-    features = sample.select("label", *[c.alias(n) for n, c in feature_columns().items()])
+    features = with_features(sample)
     judged = forest.with_prediction(forest.with_raw_score(features, nodes), cut)
     return judged.withColumn("predicted", (F.col("prediction") == -1).cast("int"))
 

@@ -37,8 +37,9 @@ RAW_ITEMS = Standin(
         "product_id": "l_partkey",
         "seller_id": "l_suppkey",
         "shipping_limit_date": "l_shipdate",
-        "price": "cast(l_extendedprice as decimal(18,2))",
-        "freight_value": "cast(cast(l_extendedprice as decimal(18,2)) * cast(l_tax as decimal(4,2)) as decimal(18,2))",
+        # narrow enough that Spark sums it in a long
+        "price": "cast(l_extendedprice as decimal(8,2))",
+        "freight_value": "cast(cast(l_extendedprice as decimal(8,2)) * cast(l_tax as decimal(4,2)) as decimal(8,2))",
     },
 )
 RAW_PAYMENTS = Standin(
@@ -201,8 +202,8 @@ BOOKINGS = Standin(
         "company": "case when l_partkey % 5 = 4 then l_partkey % 50 end",
         "days_in_waiting_list": "cast(l_orderkey % 15 as int)",
         "customer_type": nth_sql("l_suppkey % 4", ["Transient", "Contract", "Group", "Transient-Party"]),
-        "adr": "case when l_partkey % 97 = 0 then cast(0 as decimal(18,2)) when l_partkey % 89 = 0 then null "
-        "else cast(cast(l_extendedprice as decimal(18,2)) * cast(0.01 as decimal(3,2)) as decimal(18,2)) end",
+        "adr": "case when l_partkey % 97 = 0 then cast(0 as decimal(8,2)) when l_partkey % 89 = 0 then null "
+        "else cast(cast(l_extendedprice as decimal(8,2)) * cast(0.01 as decimal(3,2)) as decimal(8,2)) end",
         "required_car_parking_spaces": "l_linenumber % 2",
         "total_of_special_requests": "l_linenumber % 5",
         "reservation_status": f"case when {_CANCELED} and l_orderkey % 5 <> 0 then 'Canceled' when {_CANCELED} then 'No-Show' else 'Check-Out' end",

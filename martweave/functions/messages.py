@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .. import fixed_values as V
 from .dates import is_iso_text
 from .numbers import float_from_text
+from .plan import once
 
 TRANSACTION_TEXT_FIELDS = [
     "transaction_id",
@@ -28,16 +29,6 @@ TRANSACTION_TEXT_FIELDS = [
 ]
 
 
-def _once(df: DataFrame, value: Column, name: str) -> DataFrame:
-    """Adds a column that is computed exactly once per row.
-
-    A plain column is not: a later filter on anything derived from it is rewritten into one
-    that repeats its expression per mention, and a branch of a conditional computes it anew.
-    A generator over one element is left alone.
-    """
-    return df.select("*", F.explode(F.array(value)).alias(name))
-
-
 def member(doc: Column, path: str, kind: str = "string") -> Column:
     """Part of a document by its path, which starts with a dot or an index."""
     return F.try_variant_get(doc, f"${path}", kind)
@@ -51,13 +42,13 @@ def with_document(df: DataFrame, text: Column, members: Iterable[str]) -> DataFr
     parsed as the only element of an array.  Junk that itself closes the array is caught
     by a second parse as an object field, done only for texts in which it is possible.
     """
-    wrapped = _once(df, F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))), "_wrapped")
+    wrapped = once(df, F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))), "_wrapped")
     alone = member(F.col("_wrapped"), "[1]", "variant").isNull()
     as_field = F.try_parse_json(F.concat(F.lit('{"d":'), text, F.lit("}")))
     sound = F.when(text.rlike(r"\}\s*\]"), as_field.isNotNull()).otherwise(F.lit(True))
     doc = F.when(alone & sound, member(F.col("_wrapped"), "[0]", "variant"))
-    parsed = _once(wrapped, doc, "doc").drop("_wrapped")
-    return _once(parsed, F.struct(*[member(F.col("doc"), f".{name}").alias(name) for name in members]), "m")
+    parsed = once(wrapped, doc, "doc").drop("_wrapped")
+    return once(parsed, F.struct(*[member(F.col("doc"), f".{name}").alias(name) for name in members]), "m")
 
 
 def _text(key: str) -> Column:

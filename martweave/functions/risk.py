@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .. import fixed_values as V
 from .dates import wall_clock, weekday_monday0
 from .numbers import clamp, ratio_or_zero
+from .plan import once, once_all
 
 
 def spend_spike() -> Column:
@@ -37,13 +38,14 @@ def round_amount() -> Column:
 
 
 def with_rule_flags(df: DataFrame) -> DataFrame:
-    flagged = df.withColumns(
+    flagged = once_all(
+        df,
         {
             "rule_spend_spike": spend_spike(),
             "rule_high_risk_vendor": high_risk_vendor(),
             "rule_off_hours": off_hours(),
             "rule_round_amount": round_amount(),
-        }
+        },
     )
     fired = sum(
         (F.col(name).cast("int") for name, _ in V.ALERT_REASONS),
@@ -54,11 +56,14 @@ def with_rule_flags(df: DataFrame) -> DataFrame:
     )
 
 
-def feature_columns() -> dict[str, Column]:
-    """The eight model inputs.  All are null when amount, baseline or time cannot be read."""
+def feature_columns(clock: Column | None = None) -> dict[str, Column]:
+    """The eight model inputs.  All are null when amount, baseline or time cannot be read.
+
+    `clock` is the transaction's own clock time where the caller has it already.
+    """
     amount = F.col("amount_usd").cast("double")
     baseline = F.col("baseline_monthly_spend").cast("double")
-    clock = wall_clock("timestamp")
+    clock = wall_clock("timestamp") if clock is None else clock
     weekday = weekday_monday0(clock)
     pairs = [F.lit(x) for i, name in enumerate(V.VENDOR_CATEGORIES) for x in (name, float(i))]
     codes = F.create_map(*pairs)
@@ -75,6 +80,15 @@ def feature_columns() -> dict[str, Column]:
     return dict(zip(V.FEATURE_NAMES, values, strict=True))
 
 
+def with_features(df: DataFrame, prefix: str = "") -> DataFrame:
+    """Adds the model inputs; the time text is parsed once per row, and so is each input computed."""
+    timed = once(df, wall_clock("timestamp"), "_clock")
+    named = {f"{prefix}{name}": c for name, c in feature_columns(F.col("_clock")).items()}
+    replaced = [c for c in df.columns if c not in named]
+    packed = once(timed, F.struct(*[c.alias(n) for n, c in named.items()]), "_features")
+    return packed.select(*replaced, *[F.col(f"_features.{n}").alias(n) for n in named])
+
+
 def feature_vector() -> Column:
     return F.array(*feature_columns().values())
 
@@ -87,15 +101,18 @@ def normalised_score(raw, low: float = V.RAW_SCORE_BOUNDS[0], high: float = V.RA
 
 def with_risk_score(df: DataFrame, raw: str = "ml_raw_score") -> DataFrame:
     """Adds model score, rule part, final score and flag.  A row the model could not score counts as 0."""
-    raw_score = F.col(raw).cast("double")
     rule_part = F.least(F.col("rule_flag_count") * V.RULE_CONTRIBUTION, F.lit(V.RULE_CONTRIBUTION_CAP))
-    return (
-        df.withColumn("ml_anomaly_score", F.when(raw_score.isNull(), F.lit(0.0)).otherwise(normalised_score(raw_score)))
-        .withColumn("ml_raw_score", F.round(F.coalesce(raw_score, F.lit(0.0)), 6))
-        .withColumn("rule_contribution", F.round(rule_part, 4))
-        .withColumn(
-            "final_risk_score",
-            F.round(F.least(F.lit(1.0), F.col("ml_anomaly_score") + F.col("rule_contribution")), 4),
-        )
-        .withColumn("risk_flag", F.col("final_risk_score") >= V.RISK_FLAG_AT)
+    parts = once_all(
+        df.withColumnRenamed(raw, "_raw"),
+        {
+            "ml_raw_score": F.round(F.coalesce(F.col("_raw").cast("double"), F.lit(0.0)), 6),
+            "ml_anomaly_score": F.when(F.col("_raw").isNull(), F.lit(0.0)).otherwise(
+                normalised_score(F.col("_raw").cast("double"))
+            ),
+            "rule_contribution": F.round(rule_part, 4),
+        },
+    ).drop("_raw")
+    final = F.round(F.least(F.lit(1.0), F.col("ml_anomaly_score") + F.col("rule_contribution")), 4)
+    return once_all(parts, {"final_risk_score": final}).withColumn(
+        "risk_flag", F.col("final_risk_score") >= V.RISK_FLAG_AT
     )

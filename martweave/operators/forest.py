@@ -24,8 +24,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 NODE_SCHEMA = (
     "tree int, node int, feature int, threshold double, below int, above int, path double, sample int"
 )
-# over-sampling factor: the chance that a tree then gets fewer than sample_size rows is negligible
-_SPARE = 2
+# over-sampling factor: with at least half of the rows usable, the chance that a tree gets
+# fewer than sample_size rows is negligible
+_SPARE = 3
 _HASH_SPACE = 1 << 40
 
 
@@ -121,10 +122,9 @@ def fit(
     seed: int = V.FOREST_SEED,
 ) -> DataFrame:
     """Node table of the fitted forest."""
-    rows = usable_rows(df, features)
-    total = rows.count()
     names = list(features)
-    samples = tree_samples(rows, key, names, trees, sample_size, seed, total)
+    # the count of all rows needs no feature; the over-sampling covers rows that turn out unusable
+    samples = tree_samples(usable_rows(df, names), key, names, trees, sample_size, seed, df.count())
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_key", kind="stable")

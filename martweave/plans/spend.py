@@ -11,7 +11,7 @@ from .. import fixed_values as V
 from ..functions.dates import instant, iso_utc
 from ..functions.ladders import at_least
 from ..functions.numbers import ratio
-from ..functions.risk import feature_columns, with_risk_score, with_rule_flags
+from ..functions.risk import with_features, with_risk_score, with_rule_flags
 from ..functions.text import alert_reason
 
 NUMERIC = "decimal(38,9)"
@@ -29,7 +29,7 @@ def score_transactions(transactions: DataFrame, raw: str = "ml_raw_score") -> Da
 
 
 def transaction_features(transactions: DataFrame, key: str = "transaction_id") -> DataFrame:
-    return transactions.select(key, *[c.alias(n) for n, c in feature_columns().items()])
+    return with_features(transactions).select(key, *V.FEATURE_NAMES)
 
 
 def stage_transactions(scored: DataFrame) -> DataFrame:

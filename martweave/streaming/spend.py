@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import fixed_values as V
 from ..functions.messages import dead_letters, parse_transactions, valid_rows
-from ..functions.risk import feature_columns
+from ..functions.risk import with_features
 from ..operators.forest import with_raw_score
 from ..plans.spend import score_transactions, spend_windows
 
@@ -30,8 +30,8 @@ def scored(transactions: DataFrame, nodes: DataFrame | None = None) -> DataFrame
     if nodes is None:
         rows = transactions.withColumn("ml_raw_score", F.lit(None).cast("double"))
     else:
-        features = {f"_f_{n}": c for n, c in feature_columns().items()}
-        rows = with_raw_score(transactions.withColumns(features), nodes, list(features)).drop(*features)
+        features = [f"_f_{n}" for n in V.FEATURE_NAMES]
+        rows = with_raw_score(with_features(transactions, "_f_"), nodes, features).drop(*features)
     return score_transactions(rows).select(*SCORED_COLUMNS, *extra)
 
 
