@@ -7,9 +7,7 @@ import __spark_entry__ as entry_points
 from conftest import SMALL
 
 NAMES = list(entry_points.queries())
-UNCHECKED = {
-    "ledger_post_in_order", "iforest_scores", "iforest_nodes", "iforest_report", "iforest_mean_scores",
-}
+UNCHECKED = {"iforest_scores", "iforest_nodes", "iforest_report", "iforest_mean_scores"}
 
 
 @pytest.fixture(scope="module")
