@@ -26,6 +26,7 @@ def running_sums(
     """Adds, per entry of `sums`, the running sum within `group` in `order`, this row included.
 
     `order[0]` must be an integer column; `width` consecutive values of it form a chunk.
+    `df` is read twice, once for the chunk totals: `session.pin` a costly one first.
     """
     chunked = df.withColumns({f"_add_{n}": e for n, e in sums.items()}).withColumn(
         "_chunk", F.floor(F.col(order[0]) / F.lit(width)).cast("bigint")

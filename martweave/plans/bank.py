@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .. import fixed_values as V
 from ..operators.funds import SMALL_ACCOUNT_ROWS, accept_in_order
 from ..operators.running import next_ids, running_sums
+from ..session import pin
 
 MONEY = "decimal(28,6)"
 
@@ -155,7 +156,8 @@ def post_in_order(
 ) -> DataFrame:
     """Requests of an account checked one after the other, each accepted debit lowering the
     funds of later ones.  Credits of the batch count from the next batch on."""
-    prepared = prepare(requests, accounts, rates)
+    # the check reads the prepared requests several times: join accounts and rates once
+    prepared = pin(prepare(requests, accounts, rates), "requests")
     unit = F.lit(1_000_000)
     debits = prepared.filter(F.col("debit_id").isNotNull()).select(
         F.col("debit_id").alias("account_id"),
@@ -169,7 +171,8 @@ def post_in_order(
 
 def stored_rows(posted: DataFrame, last_number: int = 0) -> DataFrame:
     """Posted rows as stored, with ids continuing after `last_number`."""
-    numbered = next_ids(posted, ["seq"], F.lit(last_number), "TX", 9, "transaction_id")
+    # numbering reads its input twice
+    numbered = next_ids(pin(posted, "posted"), ["seq"], F.lit(last_number), "TX", 9, "transaction_id")
     return numbered.select(
         "transaction_id",
         "transaction_type",
@@ -227,7 +230,8 @@ def balances(accounts: DataFrame, movements: DataFrame) -> DataFrame:
 
 def running_balances(accounts: DataFrame, movements: DataFrame) -> DataFrame:
     """Balance after each movement, in request order, for accounts of any size."""
-    running = running_sums(movements, ["account_id"], ["seq"], {"_moved": F.col("signed_amount")})
+    # a running sum reads its input twice
+    running = running_sums(pin(movements, "movements"), ["account_id"], ["seq"], {"_moved": F.col("signed_amount")})
     start = accounts.select("account_id", F.col("current_balance").cast(MONEY).alias("_start"))
     return running.join(start, "account_id", "inner").select(
         "account_id",

@@ -9,6 +9,10 @@ from ..operators.upsert import ChangeLog
 from ..plans.commerce import ORDER_SCHEMA, decoded_events, decoded_orders, enrich_events, refused, routed
 
 
+# process what is there and stop; a running service passes {"processingTime": "30 seconds"} or the like
+AT_ONCE = {"availableNow": True}
+
+
 def order_table(spark, path: str) -> ChangeLog:
     return ChangeLog(spark, path, ORDER_SCHEMA, "order_id", "position", "present")
 
@@ -20,6 +24,7 @@ def ingest(
     refused_path: str,
     checkpoint: str,
     geo_ranges: DataFrame | None = None,
+    trigger: dict | None = None,
 ) -> StreamingQuery:
     """Offsets advance only after all three writes of a batch succeed.
 
@@ -42,6 +47,6 @@ def ingest(
     return (
         records.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or AT_ONCE))
         .start()
     )

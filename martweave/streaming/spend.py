@@ -12,6 +12,9 @@ from ..functions.risk import with_features
 from ..operators.forest import with_raw_score
 from ..plans.spend import score_transactions, spend_windows
 
+# process what is there and stop; a running service passes {"processingTime": "30 seconds"} or the like
+AT_ONCE = {"availableNow": True}
+
 SCORED_COLUMNS = (
     "transaction_id company_id company_name company_size_tier vendor_id vendor_name vendor_category "
     "vendor_risk_tier amount_usd currency payment_method department timestamp is_anomaly anomaly_type "
@@ -36,7 +39,8 @@ def scored(transactions: DataFrame, nodes: DataFrame | None = None) -> DataFrame
 
 
 def write_scored(
-    messages: DataFrame, scored_path: str, refused_path: str, checkpoint: str, nodes: DataFrame | None = None
+    messages: DataFrame, scored_path: str, refused_path: str, checkpoint: str, nodes: DataFrame | None = None,
+    trigger: dict | None = None,
 ) -> StreamingQuery:
     """Scored rows and refused messages from one pass over the stream.
 
@@ -56,7 +60,7 @@ def write_scored(
     return (
         messages.writeStream.foreachBatch(both)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or AT_ONCE))
         .start()
     )
 
@@ -74,6 +78,7 @@ def write_windows(
     lateness: str = "0 seconds",
     size: str = V.SPEND_WINDOW,
     slide: str | None = None,
+    trigger: dict | None = None,
 ) -> StreamingQuery:
     """Window aggregates of scored rows, each emitted once when the watermark passes its end.
 
@@ -87,6 +92,6 @@ def write_windows(
         .outputMode("append")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or AT_ONCE))
         .start()
     )

@@ -26,8 +26,8 @@ def value(spark, expression):
     ],
 )
 def test_agent(spark, agent, device, browser):
-    assert value(spark, text.device_type(F.lit(agent))) == device
-    assert value(spark, text.browser(F.lit(agent))) == browser
+    both = F.array(text.device_type(F.lit(agent)), text.browser(F.lit(agent)))
+    assert value(spark, both) == [device, browser]
 
 
 @pytest.mark.parametrize("ip, number", [("1.2.3.4", 16909060), ("255.255.255.255", 2**32 - 1), ("256.1.1.1", None), ("1.2.3", None)])

@@ -2,7 +2,6 @@
 
 import json
 
-import pytest
 from pyspark.sql import functions as F
 
 from martweave import fixed_values as V
@@ -39,10 +38,10 @@ SOUND = [
 ]
 
 
-@pytest.mark.parametrize("raw, amount, baseline", SOUND)
-def test_sound_message(spark, raw, amount, baseline):
-    row = valid_rows(parse(spark, raw)).first()
-    assert (row.amount_usd, row.baseline_monthly_spend) == (amount, baseline)
+def test_sound_messages(spark):
+    parsed = parse(spark, *[raw for raw, _, _ in SOUND]).collect()
+    got = {r.raw_message: (r.error, r.amount_usd, r.baseline_monthly_spend) for r in parsed}
+    assert got == {raw: (None, amount, baseline) for raw, amount, baseline in SOUND}
 
 
 def test_null_value_is_present(spark):
@@ -71,62 +70,61 @@ REFUSED = [
 ]
 
 
-@pytest.mark.parametrize("raw, error", REFUSED)
-def test_refused_message(spark, raw, error):
-    row = dead_letters(parse(spark, raw)).first()
-    assert (row.raw_message, row.error) == (raw, error)
-
-
-def flags(spark, **changes):
-    row = with_rule_flags(valid_rows(parse(spark, text(**changes)))).first()
-    return row.rule_spend_spike, row.rule_high_risk_vendor, row.rule_off_hours, row.rule_round_amount, row.rule_flag_count
-
-
-@pytest.mark.parametrize(
-    "changes, expected",
-    [
-        ({}, (False, False, False, False, 0)),
-        ({"amount_usd": 10000}, (True, False, False, True, 2)),
-        ({"amount_usd": 2499}, (False, False, False, False, 0)),
-        ({"amount_usd": 2500}, (False, False, False, False, 0)),
-        ({"amount_usd": 2501}, (True, False, False, False, 1)),
-        ({"baseline_monthly_spend": 0, "amount_usd": 9e9 + 1}, (False, False, False, False, 0)),
-        ({"vendor_risk_tier": "high", "amount_usd": 6000, "baseline_monthly_spend": 1e7}, (False, True, False, True, 2)),
-        ({"vendor_risk_tier": "high", "amount_usd": 5000, "baseline_monthly_spend": 1e7}, (False, False, False, True, 1)),
-        ({"vendor_risk_tier": "high", "amount_usd": 100}, (False, False, False, False, 0)),
-        ({"timestamp": "2024-03-13T03:15:00+00:00"}, (False, False, True, False, 1)),
-        ({"timestamp": "2024-03-13T03:15:00+05:30"}, (False, False, True, False, 1)),
-        ({"timestamp": "2024-03-13T04:59:59Z"}, (False, False, True, False, 1)),
-        ({"timestamp": "2024-03-13T05:00:00Z"}, (False, False, False, False, 0)),
-        ({"timestamp": "2024-03-13"}, (False, False, True, False, 1)),
-        ({"timestamp": "at night"}, (False, False, False, False, 0)),
-        ({"amount_usd": 10001}, (True, False, False, False, 1)),
-        ({"amount_usd": 4000, "baseline_monthly_spend": 1e7}, (False, False, False, False, 0)),
-    ],
-)
-def test_rules(spark, changes, expected):
-    assert flags(spark, **changes) == expected
-
-
-@pytest.mark.parametrize(
-    "raw, count, ml, part, final, flag",
-    [
-        (-0.5, 0, 1.0, 0.0, 1.0, True),
-        (-0.9, 0, 1.0, 0.0, 1.0, True),
-        (0.1, 0, 0.0, 0.0, 0.0, False),
-        (0.4, 0, 0.0, 0.0, 0.0, False),
-        (0.05, 0, 0.0833, 0.0, 0.0833, False),
-        (-0.45, 0, 0.9167, 0.0, 0.9167, True),
-        (0.0, 2, 0.1667, 0.4, 0.5667, True),
-        (0.0, 5, 0.1667, 0.4, 0.5667, True),
-        (-0.5, 5, 1.0, 0.4, 1.0, True),
-        (None, 1, 0.0, 0.2, 0.2, False),
-    ],
-)
-def test_risk_score(spark, raw, count, ml, part, final, flag):
-    df = spark.createDataFrame([(raw, count)], "ml_raw_score double, rule_flag_count int")
-    row = with_risk_score(df).first()
-    assert (row.ml_anomaly_score, row.rule_contribution, row.final_risk_score, row.risk_flag) == (ml, part, final, flag)
+def test_refused_messages(spark):
+    parsed = parse(spark, *[raw for raw, _ in REFUSED])
+    assert {r.raw_message: r.error for r in dead_letters(parsed).collect()} == dict(REFUSED)
+    assert valid_rows(parsed).count() == 0
+
+
+RULE_CASES = [
+    ({}, (False, False, False, False, 0)),
+    ({"amount_usd": 10000}, (True, False, False, True, 2)),
+    ({"amount_usd": 2499}, (False, False, False, False, 0)),
+    ({"amount_usd": 2500}, (False, False, False, False, 0)),
+    ({"amount_usd": 2501}, (True, False, False, False, 1)),
+    ({"baseline_monthly_spend": 0, "amount_usd": 9e9 + 1}, (False, False, False, False, 0)),
+    ({"vendor_risk_tier": "high", "amount_usd": 6000, "baseline_monthly_spend": 1e7}, (False, True, False, True, 2)),
+    ({"vendor_risk_tier": "high", "amount_usd": 5000, "baseline_monthly_spend": 1e7}, (False, False, False, True, 1)),
+    ({"vendor_risk_tier": "high", "amount_usd": 100}, (False, False, False, False, 0)),
+    ({"timestamp": "2024-03-13T03:15:00+00:00"}, (False, False, True, False, 1)),
+    ({"timestamp": "2024-03-13T03:15:00+05:30"}, (False, False, True, False, 1)),
+    ({"timestamp": "2024-03-13T04:59:59Z"}, (False, False, True, False, 1)),
+    ({"timestamp": "2024-03-13T05:00:00Z"}, (False, False, False, False, 0)),
+    ({"timestamp": "2024-03-13"}, (False, False, True, False, 1)),
+    ({"timestamp": "at night"}, (False, False, False, False, 0)),
+    ({"amount_usd": 10001}, (True, False, False, False, 1)),
+    ({"amount_usd": 4000, "baseline_monthly_spend": 1e7}, (False, False, False, False, 0)),
+]
+
+
+def test_rules(spark):
+    texts = [text(transaction_id=str(i), **changes) for i, (changes, _) in enumerate(RULE_CASES)]
+    names = [*[name for name, _ in V.ALERT_REASONS], "rule_flag_count"]
+    rows = with_rule_flags(valid_rows(parse(spark, *texts))).collect()
+    got = {int(r.transaction_id): tuple(r[n] for n in names) for r in rows}
+    assert got == {i: expected for i, (_, expected) in enumerate(RULE_CASES)}
+
+
+# raw score, rules fired -> model score, rule part, final score, flag
+SCORE_CASES = [
+    (-0.5, 0, 1.0, 0.0, 1.0, True),
+    (-0.9, 0, 1.0, 0.0, 1.0, True),
+    (0.1, 0, 0.0, 0.0, 0.0, False),
+    (0.4, 0, 0.0, 0.0, 0.0, False),
+    (0.05, 0, 0.0833, 0.0, 0.0833, False),
+    (-0.45, 0, 0.9167, 0.0, 0.9167, True),
+    (0.0, 2, 0.1667, 0.4, 0.5667, True),
+    (0.0, 5, 0.1667, 0.4, 0.5667, True),
+    (-0.5, 5, 1.0, 0.4, 1.0, True),
+    (None, 1, 0.0, 0.2, 0.2, False),
+]
+
+
+def test_risk_score(spark):
+    rows = [(i, case[0], case[1]) for i, case in enumerate(SCORE_CASES)]
+    scored = with_risk_score(spark.createDataFrame(rows, "i int, ml_raw_score double, rule_flag_count int")).collect()
+    got = {r.i: (r.ml_anomaly_score, r.rule_contribution, r.final_risk_score, r.risk_flag) for r in scored}
+    assert got == {i: case[2:] for i, case in enumerate(SCORE_CASES)}
 
 
 def test_features(spark):
@@ -145,40 +143,40 @@ ORDER = {
 }
 
 
-def reason(spark, topic, value):
-    df = spark.createDataFrame([(topic, value)], "topic string, value string")
-    return routed(df).first().reason
-
-
-@pytest.mark.parametrize("field", V.EVENT_REQUIRED)
-@pytest.mark.parametrize("empty", ["DROP", None, "", 0, False, [], {}, 0.0])
-def test_event_empty_field(spark, field, empty):
-    doc = {k: v for k, v in {**EVENT, field: empty}.items() if v != "DROP"}
-    assert reason(spark, "events", json.dumps(doc)) == f"missing required field: '{field}'"
-
-
-@pytest.mark.parametrize(
-    "topic, doc, expected",
-    [
-        ("events", EVENT, None),
-        ("events", {**EVENT, "user_id": "0"}, None),
-        ("events", {**EVENT, "user_id": "false"}, None),
-        ("events", {**EVENT, "session_id": 7}, None),
-        ("events", {**EVENT, "type": "tap"}, "invalid event type: 'tap'"),
-        ("events", {**EVENT, "timestamp": "2024-1-1"}, "unparseable timestamp: '2024-1-1'"),
-        ("events", {**EVENT, "timestamp": "2024-02-30T00:00:00"}, "unparseable timestamp: '2024-02-30T00:00:00'"),
-        ("orders", ORDER, None),
-        ("orders", {**ORDER, "items": []}, "missing required field: 'items'"),
-        ("orders", {**ORDER, "items": "x"}, "items must be a non-empty list"),
-        ("orders", {**ORDER, "totals": {}}, "missing required field: 'totals'"),
-        ("orders", {**ORDER, "totals": {"subtotal": 1}}, "order total must be non-negative"),
-        ("orders", {**ORDER, "totals": {"total": -1}}, "order total must be non-negative"),
-        ("orders", {**ORDER, "status": "lost"}, "invalid order status: 'lost'"),
-        ("clicks", EVENT, "unexpected topic: clicks"),
-    ],
-)
-def test_topic_reason(spark, topic, doc, expected):
-    assert reason(spark, topic, json.dumps(doc)) == expected
+def reasons(spark, records):
+    """Reason per (topic, document) record, in the order given."""
+    rows = [(i, topic, json.dumps(doc)) for i, (topic, doc) in enumerate(records)]
+    df = spark.createDataFrame(rows, "i int, topic string, value string")
+    return [r.reason for r in sorted(routed(df).collect(), key=lambda r: r.i)]
+
+
+def test_event_empty_fields(spark):
+    cases = [(field, empty) for field in V.EVENT_REQUIRED for empty in ["DROP", None, "", 0, False, [], {}, 0.0]]
+    docs = [("events", {k: v for k, v in {**EVENT, field: empty}.items() if v != "DROP"}) for field, empty in cases]
+    assert reasons(spark, docs) == [f"missing required field: '{field}'" for field, _ in cases]
+
+
+TOPIC_CASES = [
+    ("events", EVENT, None),
+    ("events", {**EVENT, "user_id": "0"}, None),
+    ("events", {**EVENT, "user_id": "false"}, None),
+    ("events", {**EVENT, "session_id": 7}, None),
+    ("events", {**EVENT, "type": "tap"}, "invalid event type: 'tap'"),
+    ("events", {**EVENT, "timestamp": "2024-1-1"}, "unparseable timestamp: '2024-1-1'"),
+    ("events", {**EVENT, "timestamp": "2024-02-30T00:00:00"}, "unparseable timestamp: '2024-02-30T00:00:00'"),
+    ("orders", ORDER, None),
+    ("orders", {**ORDER, "items": []}, "missing required field: 'items'"),
+    ("orders", {**ORDER, "items": "x"}, "items must be a non-empty list"),
+    ("orders", {**ORDER, "totals": {}}, "missing required field: 'totals'"),
+    ("orders", {**ORDER, "totals": {"subtotal": 1}}, "order total must be non-negative"),
+    ("orders", {**ORDER, "totals": {"total": -1}}, "order total must be non-negative"),
+    ("orders", {**ORDER, "status": "lost"}, "invalid order status: 'lost'"),
+    ("clicks", EVENT, "unexpected topic: clicks"),
+]
+
+
+def test_topic_reasons(spark):
+    assert reasons(spark, [(topic, doc) for topic, doc, _ in TOPIC_CASES]) == [expected for _, _, expected in TOPIC_CASES]
 
 
 def test_decoding_is_not_repeated_by_filters(spark):
