@@ -16,6 +16,31 @@ from pyspark.sql import functions as F
 CHUNK_WIDTH = 65536
 
 
+def _before(value: str, window: Window):
+    return F.coalesce(F.sum(value).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+
+def _offsets(totals: DataFrame, group: Sequence[str], names: Sequence[str], width: int) -> DataFrame:
+    """Sum of all earlier chunks of the group, per chunk.
+
+    Chunks are accumulated within spans of `width` chunks and spans within the group, so
+    that also thinly used order values (a time in microseconds) leave little to any one task.
+    """
+    chunks = totals.withColumn("_span", F.floor(F.col("_chunk") / F.lit(width)).cast("bigint"))
+    keys = [*group, "_span"]
+    spans = chunks.groupBy(*keys).agg(*[F.sum(f"_sum_{n}").alias(f"_all_{n}") for n in names])
+    in_group = Window.partitionBy(*group).orderBy("_span")
+    bases = spans.select(
+        *[F.col(k).alias(f"_b_{k}") for k in keys], *[_before(f"_all_{n}", in_group).alias(f"_base_{n}") for n in names]
+    )
+    in_span = Window.partitionBy(*keys).orderBy("_chunk")
+    same_span = [F.col(k).eqNullSafe(F.col(f"_b_{k}")) for k in keys]
+    return chunks.join(bases, same_span, "inner").select(
+        *[F.col(k).alias(f"_o_{k}") for k in [*group, "_chunk"]],
+        *[(F.col(f"_base_{n}") + _before(f"_sum_{n}", in_span)).alias(f"_off_{n}") for n in names],
+    )
+
+
 def running_sums(
     df: DataFrame,
     group: Sequence[str],
@@ -32,12 +57,8 @@ def running_sums(
         "_chunk", F.floor(F.col(order[0]) / F.lit(width)).cast("bigint")
     )
     keys = [*group, "_chunk"]
-    before = Window.partitionBy(*group).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     totals = chunked.groupBy(*keys).agg(*[F.sum(f"_add_{n}").alias(f"_sum_{n}") for n in sums])
-    offsets = totals.select(
-        *[F.col(k).alias(f"_o_{k}") for k in keys],
-        *[F.coalesce(F.sum(f"_sum_{n}").over(before), F.lit(0)).alias(f"_off_{n}") for n in sums],
-    )
+    offsets = _offsets(totals, group, list(sums), width)
     same_chunk = [F.col(k).eqNullSafe(F.col(f"_o_{k}")) for k in keys]
     inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     joined = chunked.join(offsets, same_chunk, "inner")

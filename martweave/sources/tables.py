@@ -35,14 +35,15 @@ def _path_bytes(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(place).getLength()
 
 
-def spread(df: DataFrame, size: int) -> DataFrame:
+def spread(df: DataFrame, path: str) -> DataFrame:
     """Rows dealt out to all cores when the files of a not-so-small table split into few tasks.
 
     A table with splits enough for the cluster is left as it is, so at scale this never
     shuffles.  Filters and column pruning still reach the scan.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if size < SPREAD_BYTES or df.rdd.getNumPartitions() * 2 > cores:
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() * 2 > cores or _path_bytes(spark, path) < SPREAD_BYTES:
         return df
     return df.repartition(cores)
 
@@ -50,7 +51,7 @@ def spread(df: DataFrame, size: int) -> DataFrame:
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     apply_settings(spark)
     path = f"{folder.rstrip('/')}/{name}.parquet"
-    return spread(spark.read.schema(SCHEMAS[name]).parquet(path), _path_bytes(spark, path))
+    return spread(spark.read.schema(SCHEMAS[name]).parquet(path), path)
 
 
 def tables(spark: SparkSession, folder: str, *names: str) -> list[DataFrame]:

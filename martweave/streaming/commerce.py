@@ -17,6 +17,16 @@ def order_table(spark, path: str) -> ChangeLog:
     return ChangeLog(spark, path, ORDER_SCHEMA, "order_id", "position", "present")
 
 
+def deduplicated(events: DataFrame, keys: list[str], stamp: str, lateness: str = "1 hour") -> DataFrame:
+    """Events without repeats of the same keys; plain ingestion keeps repeats.
+
+    Works on streams, where keys are forgotten once the watermark has passed them.
+    """
+    if not events.isStreaming:
+        return events.dropDuplicates(keys)
+    return events.withWatermark(stamp, lateness).dropDuplicatesWithinWatermark(keys)
+
+
 def ingest(
     records: DataFrame,
     events_path: str,

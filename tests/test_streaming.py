@@ -82,3 +82,25 @@ def test_topics(spark, folder):
     assert (order.status, order.shipping_address.city) == ("shipped", "Lille")
     refused = spark.read.text(f"{folder}/refused").select(F.from_json("value", "original_topic string, reason string, failed_at string").alias("r")).select("r.*")
     assert {r.reason for r in refused.collect()} == {"missing required field: 'order_id'", "unexpected topic: other"}
+
+
+def test_deduplicated(spark, folder):
+    rows = [("a", START), ("b", START), ("a", START + dt.timedelta(minutes=5))]
+    df = spark.createDataFrame([("events", v, i, t) for i, (v, t) in enumerate(rows)], "topic string, value string, offset bigint, timestamp timestamp")
+    assert commerce_stream.deduplicated(df, ["value"], "timestamp").count() == 2
+    df.coalesce(1).write.parquet(f"{folder}/in")
+    stream = commerce_stream.deduplicated(topic_files(spark, f"{folder}/in"), ["value"], "timestamp")
+    query = stream.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state")
+    query.trigger(availableNow=True).start().awaitTermination()
+    assert {r.value for r in spark.read.parquet(f"{folder}/out").collect()} == {"a", "b"}
+
+
+def test_event_time_windows(spark, folder):
+    """Windows by the transaction's own time when that column is named."""
+    texts = [text(transaction_id=str(i), timestamp=f"2024-01-01T00:0{i}:00+00:00") for i in range(9)]
+    messages(spark, folder, 0, [(t, 0) for t in texts])
+    rows = spend_stream.scored_stream(message_files(spark, f"{folder}/in"))
+    timed = rows.withColumn("occurred_at", F.col("timestamp").cast("timestamp"))
+    spend_stream.write_windows(timed, f"{folder}/out", f"{folder}/state", time_col="occurred_at").awaitTermination()
+    got = spark.read.parquet(f"{folder}/out").collect()
+    assert [(r.window_start, r.transaction_count) for r in got] == [("2024-01-01T00:00:00+00:00", 5)]
