@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import substring_dedup
+from . import chat, decontaminate, language, licenses, mixing, neighbours, simhash, substring_dedup, toxicity, url_filter
 
 QUERIES: dict = {}
 CHECKS: dict[str, str] = {}
@@ -46,3 +47,111 @@ WITH w AS (
 SELECT doc_id, len(ws) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM w LEFT JOIN removed USING (doc_id) LEFT JOIN stay USING (doc_id)
 """
+
+
+@query
+def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, folder, "documents"), carry=["doc_id"])
+
+
+@query
+def op3_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.search(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query
+def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return decontaminate.digest(decontaminate.occurrences(docs, table(spark, folder, "benchmark")))
+
+
+@query
+def op5_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, folder, "documents"), carry=["doc_id"])
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+CHECKS["op5_source_mix"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, text, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size FROM documents
+), s AS (
+  SELECT source, source_size, [3.0, 1.0, 2.0][(row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3 + 1]::DOUBLE AS w
+  FROM (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source)
+), level(n, l) AS (
+  SELECT 0, sum(source_size) * 1.5::DOUBLE / sum(w) FROM s
+  UNION ALL
+  SELECT n + 1, (
+    SELECT (sum(source_size) * 1.5::DOUBLE - coalesce(sum(2.0::DOUBLE * source_size) FILTER (w * l >= 2.0::DOUBLE * source_size), 0))
+      / sum(w) FILTER (w * l < 2.0::DOUBLE * source_size) FROM s)
+  FROM level WHERE n < (SELECT count(*) FROM s) AND l IS NOT NULL
+), t AS (
+  SELECT source, source_size, least(w * (SELECT max(l) FROM level), 2.0::DOUBLE * source_size) AS target,
+    ('0x' || substr(md5('5:' || coalesce('=' || source, '')), 1, 8))::BIGINT / 4294967296::DOUBLE AS u FROM s
+), r AS (
+  SELECT d.*, source_size, target, u, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS e,
+    row_number() OVER (PARTITION BY d.source ORDER BY size DESC, doc_id) - 1 AS k
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, source_size, target, ((floor((k + 1) * e + u) - floor(k * e + u))::BIGINT * size) AS taken FROM r
+"""
+
+
+@query
+def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = language.fit(docs.where(language.learnable()))
+    predicted = language.predict(docs, model, carry=["doc_id"])
+    return predicted.select("doc_id", (~language.learnable()).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op7_chat_perspectives(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.rotated(table(spark, folder, "conversations"))
+
+
+CHECKS["op7_chat_perspectives"] = r"""
+WITH t AS (
+  SELECT conv_id, turn::BIGINT AS turn, CASE WHEN trim(role) <> '' THEN role END AS speaker,
+    replace(coalesce(text, ''), '<|', '< |') AS content FROM conversations
+), p AS (
+  SELECT DISTINCT conv_id, speaker AS participant FROM t WHERE speaker <> 'system'
+), b AS (
+  SELECT t.*, participant,
+    CASE WHEN speaker = 'system' THEN 'system' WHEN speaker = participant THEN 'assistant' ELSE 'user' END AS as_role
+  FROM t JOIN p ON t.conv_id IS NOT DISTINCT FROM p.conv_id
+), n AS (
+  SELECT *, CASE WHEN as_role = 'user' THEN coalesce(speaker, 'unknown') END AS name FROM b
+), h AS (
+  SELECT *, '<|im_start|>' || as_role || coalesce(' name=' || replace(name, '<|', '< |'), '') || chr(10) AS head FROM n
+), g AS (
+  SELECT *, head || content || '<|im_end|>' || chr(10) AS segment FROM h
+), w AS (
+  SELECT *, (sum(length(segment)) OVER (PARTITION BY conv_id, participant ORDER BY turn NULLS FIRST,
+    speaker NULLS FIRST, content ROWS UNBOUNDED PRECEDING))::BIGINT AS stop FROM g
+)
+SELECT conv_id, participant, turn, as_role, name, segment, stop - length(segment) AS start,
+  CASE WHEN as_role = 'assistant' THEN stop - length(segment) + length(head) END AS learn_from,
+  CASE WHEN as_role = 'assistant' THEN stop - 1 END AS learn_to
+FROM w
+"""
+
+
+@query
+def op8_simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
+    marked = simhash.near_duplicates(table(spark, folder, "documents"), carry=["doc_id"])
+    return marked.select("doc_id", "fingerprint", "component_id")
+
+
+@query
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    model = toxicity.fit(docs, labels.where(language.learnable()))
+    scored = toxicity.score(docs, model, carry=["doc_id"])
+    return scored.select(
+        "doc_id", (~language.learnable()).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+@query
+def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.filter_urls(table(spark, folder, "pages"), carry=["page_id"])

@@ -2,9 +2,9 @@
 
 Each task counts the cells of its own keys and sends them as short cell lists, so what is
 shuffled follows the keys, not the width of the sketch.  Slices of `SLICE` cells are merged
-independently.  Only one question is asked of the sketch, "can this key occur in two or more
-documents?", so counters saturate at two and the merged sketch is one bit a cell: its size,
-`DEPTH * 2**bits / 8` bytes, is known before it is built.
+independently.  Only one question is asked of the sketch, whether a key can occur in so
+many documents (one or two), so counters saturate at two and the merged sketch is one bit a
+cell: its size, `DEPTH * 2**bits / 8` bytes, is known before it is built.
 """
 
 from __future__ import annotations
@@ -55,25 +55,29 @@ def _partial(keys: np.ndarray, bits: int) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts, key = np.zeros(1 << SLICE_BITS, np.uint8), None
-    for batch in batches:
-        for row, part, raw in zip(*(c.to_pylist() for c in batch.columns)):
-            key = row, part
-            here = np.frombuffer(raw, "<u2")
-            # a cell is listed at most twice here, so two saturating steps count it whole
-            again = here[1:][here[1:] == here[:-1]]
-            counts[here] = np.minimum(counts[here] + 1, 2)
-            counts[again] = 2
-    if key is not None:
-        plane = np.packbits(counts >= 2).tobytes()
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([key[0]], pa.int32()), pa.array([key[1]], pa.int32()), pa.array([plane], pa.binary())], schema=_SCHEMA
-        )
-
-
-def build(df: DataFrame, keys_of: Callable[[pa.RecordBatch], Iterator[np.ndarray]], bits: int) -> np.ndarray:
-    """The merged sketch: a bit plane per row, set where the count reaches two.
+def _merge(least: int):
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, key = np.zeros(1 << SLICE_BITS, np.uint8), None
+        for batch in batches:
+            for row, part, raw in zip(*(c.to_pylist() for c in batch.columns)):
+                key = row, part
+                here = np.frombuffer(raw, "<u2")
+                # a cell is listed at most twice here
+                again = here[1:][here[1:] == here[:-1]]
+                counts[here] = np.minimum(counts[here] + 1, 2)
+                counts[again] = 2
+        if key is not None:
+            plane = np.packbits(counts >= least).tobytes()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([key[0]], pa.int32()), pa.array([key[1]], pa.int32()), pa.array([plane], pa.binary())],
+                schema=_SCHEMA,
+            )
+
+    return task
+
+
+def build(df: DataFrame, keys_of: Callable[[pa.RecordBatch], Iterator[np.ndarray]], bits: int, least: int = 2) -> np.ndarray:
+    """The merged sketch: a bit plane per row, set where the count reaches `least` (1 or 2).
 
     `keys_of` yields the keys of a batch, each key once per document.
     """
@@ -92,17 +96,17 @@ def build(df: DataFrame, keys_of: Callable[[pa.RecordBatch], Iterator[np.ndarray
 
     schema = "row int, slice int, cells binary"
     partial = df.mapInArrow(task, schema)
-    planes = partial.groupBy("row", "slice").applyInArrow(_merged, schema)
+    planes = partial.groupBy("row", "slice").applyInArrow(_merge(least), schema)
     merged = np.zeros((DEPTH, 1 << (bits - 3)), np.uint8)
     step = 1 << (SLICE_BITS - 3)
     # bounded by DEPTH * 2**bits / 8 bytes, see above
-    for row, part, raw in planes.toLocalIterator():
+    for row, part, raw in planes.collect():
         merged[row, part * step : (part + 1) * step] = np.frombuffer(raw, np.uint8)
     return merged
 
 
-def repeated(planes: np.ndarray, keys: np.ndarray, bits: int) -> np.ndarray:
-    """Whether each key's estimated count is two or more."""
+def reached(planes: np.ndarray, keys: np.ndarray, bits: int) -> np.ndarray:
+    """Whether each key's estimated count reaches what the planes were built for."""
     result = np.ones(len(keys), bool)
     for row in range(DEPTH):
         at = cells(keys, row, bits)
