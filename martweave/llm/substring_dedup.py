@@ -106,7 +106,7 @@ def _runs_of(planes, bits: int, length: int, gram: int):
             keys = np.asarray(batch.column(batch.schema.names.index("_key")))
             for low, data, found, hashes, at, anchor in _stretches(batch, length, gram):
                 text = np.searchsorted(found.first, at, "right") - 1
-                flagged = sketch.repeated(planes.value, anchor, bits)
+                flagged = sketch.reached(planes.value, anchor, bits)
                 at, text = at[flagged], text[flagged]
                 if not len(at):
                     continue
@@ -166,8 +166,17 @@ def _repeated_runs(texts: DataFrame, bits: int, length: int, gram: int) -> DataF
     runs = kept(texts.mapInArrow(_runs_of(shared, bits, length, gram), _RUNS), "runs")
     shared.unpersist()
     same = ["_hi", "_lo", "_n"]
-    first = runs.groupBy(*same).agg(F.min("_id").alias("_first"))
-    return kept(runs.join(first, same), "owned")
+    several = kept(_several(runs, same), "several")
+    return kept(runs.join(several, same, "left").withColumn("_first", F.coalesce("_first", "_id")), "owned")
+
+
+def _several(rows: DataFrame, same: list[str]) -> DataFrame:
+    """The smallest id of each digest that occurs under more than one id.
+
+    Stored before it is joined: a join splits a hot key only between plain exchanges.
+    """
+    ends = rows.groupBy(*same).agg(F.min("_id").alias("_first"), F.max("_id").alias("_last"))
+    return ends.where("_first < _last").drop("_last")
 
 
 def _with_segments(texts: DataFrame, runs: DataFrame) -> DataFrame:
@@ -196,9 +205,11 @@ def removed_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
         last.mapInArrow(_windows_of(length, gram), "_id long, _key long, _start int, _hi long, _lo long"), "windows"
     )
     same = ["_hi", "_lo"]
-    least = windows.groupBy(*same).agg(F.min("_id").alias("_first"))
-    late = windows.join(least, same).withColumn("_n", F.lit(1))
-    covered = _covered(first, length).unionByName(_covered(second, length)).unionByName(_covered(late, length))
+    several = kept(_several(windows, same), "several")
+    late = windows.join(several, same).withColumn("_n", F.lit(1))
+    covered = kept(
+        _covered(first, length).unionByName(_covered(second, length)).unionByName(_covered(late, length)), "covered"
+    )
     return covered.groupBy("_id", "_key").agg(F.sort_array(F.collect_list(F.struct("_start", "_stop"))).alias("_spans"))
 
 
