@@ -31,9 +31,9 @@ UNKNOWN = "unknown"
 _BEGIN, _END = "<|im_start|>", "<|im_end|>"
 
 
-def _plain(text: Column) -> Column:
+def _unmarked(text: Column) -> Column:
     """The text with no mark left in it."""
-    return F.replace(F.coalesce(text, F.lit("")), F.lit("<|"), F.lit("< |"))
+    return F.replace(text, F.lit("<|"), F.lit("< |"))
 
 
 def rotated(
@@ -49,7 +49,7 @@ def rotated(
         F.col(conversation).alias("conv_id"),
         F.col(turn).cast("long").alias("turn"),
         F.when(F.trim(said) != "", said).alias("speaker"),
-        _plain(F.col(text)).alias("content"),
+        _unmarked(F.coalesce(F.col(text), F.lit(""))).alias("content"),
     )
     people = rows.where(F.col("speaker").isNotNull() & (F.col("speaker") != SYSTEM)).select(
         F.col("conv_id").alias("_conv"), F.col("speaker").alias("participant")
@@ -58,9 +58,8 @@ def rotated(
     own = F.coalesce(F.col("speaker") == F.col("participant"), F.lit(False))
     as_role = F.when(F.col("speaker") == SYSTEM, SYSTEM).when(own, "assistant").otherwise("user")
     name = F.when(F.col("as_role") == "user", F.coalesce("speaker", F.lit(UNKNOWN)))
-    head = F.concat(
-        F.lit(_BEGIN), F.col("as_role"), F.coalesce(F.concat(F.lit(" name="), _plain(F.col("name"))), F.lit("")), F.lit("\n")
-    )
+    named = F.coalesce(F.concat(F.lit(" name="), _unmarked(F.col("name"))), F.lit(""))
+    head = F.concat(F.lit(_BEGIN), F.col("as_role"), named, F.lit("\n"))
     rendered = (
         both.withColumn("as_role", as_role)
         .withColumn("name", name)
