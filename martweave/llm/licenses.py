@@ -121,8 +121,8 @@ class Index(NamedTuple):
 
 
 def index_of(notices=NOTICES, base=BASE) -> Index:
-    hashes = np.unique([scan.text_hash(w) for _, n, _ in notices for w in n.split()] + [scan.text_hash(w) for p, _ in base for w in p.split()])
-    vocabulary = hashes.astype(np.uint64)
+    texts = [n for _, n, _ in notices] + [p for p, _ in base]
+    vocabulary = np.unique(np.array([scan.text_hash(w) for t in texts for w in t.split()], np.uint64))
 
     def numbers(text: str) -> np.ndarray:
         return np.searchsorted(vocabulary, np.array([scan.text_hash(w) for w in text.split()], np.uint64))

@@ -33,7 +33,7 @@ TREES = 6
 LEAF = 64
 SAMPLE = 16_384
 SAMPLE_QUERIES = 256
-RECALL = 0.96
+RECALL = 0.98
 PART = 4096
 _HELD_QUERIES = 1 << 15
 _TIE = 1e-9

@@ -1,9 +1,11 @@
 """Toxicity scores from averaged subword embeddings and a linear softmax.
 
-A text is the bag of its words' subwords: every word, and its byte n-grams of 3 to 5 bytes
+A text is the bag of its words' subwords: every word, and its byte n-grams of 3 to 7 bytes
 between end marks, so a misspelt word shares most of its bag with the word it hides.  Subwords
-are hashed into `2**BITS` rows of an embedding table.  The text's vector is their average, a
-linear layer with softmax gives the two classes, and both are trained together by Adam.
+are hashed into `2**BITS` rows of an embedding table.  The text's vector is their average,
+each weighted by its inverse document frequency; a linear layer with softmax gives the two
+classes, and table and layer are trained together by gradient descent with momentum.  Subwords
+of fewer than `LEAST` texts of the sample stay out: what only a few texts hold is mostly chance.
 
 *Fit.*  Labels of at most `POSITIVE` toxic and `NEGATIVE` clean texts (documented bounds, drawn
 by hash) are learned from; their bags are made by Spark from whole texts, and the small model is
@@ -30,12 +32,15 @@ from . import scan
 from .store import doc_field, packed, unpacked
 
 BITS = 18
-SIZES = (3, 4, 5)
-WIDTH = 8
-POSITIVE, NEGATIVE = 2000, 4000
-EPOCHS, BATCH, RATE = 8, 128, 0.02
+SIZES = (3, 4, 5, 6, 7)
+WIDTH = 4
+POSITIVE, NEGATIVE = 1500, 3000
+LEAST = 5
+EPOCHS, BATCH, RATE, MOMENTUM = 8, 128, 0.5, 0.9
 # averages of rare subwords are small numbers; this brings them near one
 _GAIN = 100.0
+# the bias where all labels are alike
+_ONE_CLASS = 4.0
 
 
 class Model(NamedTuple):
@@ -124,40 +129,38 @@ def fit(
 
 
 def train(rows: list, counts: list, toxic: np.ndarray, share: float, seed: int = 7) -> Model:
-    """Adam on embeddings and linear layer together; deterministic for a given set of bags."""
+    """Descends on embeddings and linear layer together; deterministic for a given set of bags."""
     order = sorted(range(len(rows)), key=lambda i: (toxic[i], rows[i].tobytes(), counts[i].tobytes()))
     rows, counts, toxic = [rows[i] for i in order], [counts[i] for i in order], toxic[order]
     weight = np.zeros(1 << BITS, np.float32)
     if not len(rows) or toxic.min() == toxic.max():
-        sure = float(toxic[0]) if len(rows) else 0.0
-        return Model(weight, 4.0 if sure else -4.0)
-    # the table rows met at least twice
-    met = np.bincount(np.concatenate(rows), minlength=1 << BITS) >= 2
-    used = np.flatnonzero(met)
-    slot = np.zeros(1 << BITS, np.int64)
+        return Model(weight, _ONE_CLASS if len(rows) and toxic[0] else -_ONE_CLASS)
+    held = np.bincount(np.concatenate(rows), minlength=1 << BITS)
+    used = np.flatnonzero(held >= LEAST)
+    rarity = np.log(len(rows) / held[used])
+    slot = np.full(1 << BITS, -1, np.int32)
     slot[used] = np.arange(len(used))
     bags = []
     for r, n in zip(rows, counts):
-        own = met[r]
-        bags.append((slot[r[own]], (n[own] / max(n.sum(), 1) * _GAIN).astype(np.float32)))
+        at = slot[r]
+        x = n[at >= 0] * (_GAIN / max(n.sum(), 1))
+        at = at[at >= 0]
+        bags.append((at, (x * rarity[at]).astype(np.float32)))
     random = np.random.default_rng(seed)
-    params = [
-        random.normal(0, 0.1, (len(used), WIDTH)).astype(np.float32),
-        random.normal(0, 0.1, (WIDTH, 2)).astype(np.float32),
-        np.zeros(2, np.float32),
-    ]
-    first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
-    class_weight = np.array([1 - share, share]) / np.maximum(np.bincount(toxic, minlength=2) / len(toxic), 1e-9)
-    step = 0
+    table = random.normal(0, 0.001, (len(used), WIDTH)).astype(np.float32)
+    layer = np.tile(np.array([-0.3, 0.3], np.float32), (WIDTH, 1))
+    bias = np.zeros(2, np.float32)
+    # table and layer grow together; the layer, which all subwords share, takes smaller steps
+    params, rates = [table, layer, bias], [RATE, RATE / 10, RATE / 10]
+    pace = [np.zeros_like(p) for p in params]
+    class_weight = np.array([1 - share, share]) / (np.bincount(toxic, minlength=2) / len(toxic))
     for _ in range(EPOCHS):
         shuffled = random.permutation(len(bags))
         for low in range(0, len(bags), BATCH):
             chosen = shuffled[low : low + BATCH]
-            sizes = np.array([len(bags[i][0]) for i in chosen])
             at = np.concatenate([bags[i][0] for i in chosen])
             x = np.concatenate([bags[i][1] for i in chosen])
-            of = np.repeat(np.arange(len(chosen)), sizes)
-            table, layer, bias = params
+            of = np.repeat(np.arange(len(chosen)), [len(bags[i][0]) for i in chosen])
             hidden = np.stack([np.bincount(of, table[at, d] * x, len(chosen)) for d in range(WIDTH)], axis=1)
             logits = hidden @ layer + bias
             odds = np.exp(logits - logits.max(axis=1, keepdims=True))
@@ -170,13 +173,11 @@ def train(rows: list, counts: list, toxic: np.ndarray, share: float, seed: int =
                 hidden.T @ miss,
                 miss.sum(axis=0),
             ]
-            step += 1
-            for p, g, m, v in zip(params, slopes, first, second):
-                m += 0.1 * (g - m)
-                v += 0.001 * (g * g - v)
-                p -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-    table, layer, bias = params
-    weight[used] = _GAIN * (table @ (layer[:, 1] - layer[:, 0]))
+            for p, v, g, rate in zip(params, pace, slopes, rates):
+                v *= MOMENTUM
+                v += g
+                p -= rate * v
+    weight[used] = _GAIN * rarity * (table @ (layer[:, 1] - layer[:, 0]))
     return Model(weight, float(bias[1] - bias[0]))
 
 
