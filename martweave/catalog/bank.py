@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import fixed_values as V
-from ..operators.funds import accept_by_halving
+from ..operators.funds import accept_in_order
 from ..plans import bank as K
 from . import standins as S
 from .common import Catalog, dbl, moment, plain, quoted
@@ -137,7 +137,7 @@ def _(spark, folder):
     select 'SA' || account_id account_id, seq, accepted from walk where r > 0""",
 )
 def _(spark, folder):
-    """The rounds that serve very large accounts, run on all line items as debits of their suppliers."""
+    """The rounds of the funds check on all line items as debits of their suppliers."""
     from ..sources.tables import tables
 
     lineitem, supplier = tables(spark, folder, "lineitem", "supplier")
@@ -153,4 +153,4 @@ def _(spark, folder):
             (F.col("s_acctbal").cast("decimal(18,2)") * cents * 100).cast("bigint").alias("funds"),
         )
     )
-    return plain(accept_by_halving(debits))
+    return plain(accept_in_order(debits))

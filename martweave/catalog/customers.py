@@ -41,19 +41,19 @@ def _spend_sql(kind: str) -> str:
     '$' || cast(round(cast(spend as {kind}), 2) as varchar) total_spend_formatted
     from {S.CUSTOMERS.sql} c left join
     (select customer_id, count(*) n, sum(amount) spend from (select customer_id, cast(amount as decimal(10,2)) amount
-     from {S.URGENT_ORDERS.sql}) group by customer_id) o on o.customer_id = c.customer_id"""
+     from {S.CUSTOMER_ORDERS.sql}) group by customer_id) o on o.customer_id = c.customer_id"""
 
 
 @catalog.add("customer_spend", _spend_sql("decimal(38,0)"))
 def _(spark, folder):
-    urgent = C.stage_orders(S.URGENT_ORDERS.frame(spark, folder))
-    return plain(C.customer_spend(customers(spark, folder), urgent))
+    all_orders = orders(spark, folder)
+    return plain(C.customer_spend(customers(spark, folder), all_orders))
 
 
 @catalog.add("customer_spend_cents", _spend_sql("decimal(30,2)"))
 def _(spark, folder):
-    urgent = C.stage_orders(S.URGENT_ORDERS.frame(spark, folder))
-    return plain(C.customer_spend(customers(spark, folder), urgent, scale=2))
+    all_orders = orders(spark, folder)
+    return plain(C.customer_spend(customers(spark, folder), all_orders, scale=2))
 
 
 _COUNTS_SQL = ", ".join(f"count(*) filter (order_status = '{s}') total_{s}_orders" for s in V.DAILY_STATUSES)
@@ -77,11 +77,11 @@ def _(spark, folder):
 @catalog.add(
     "customers_without_orders",
     f"""select customer_id from {S.CUSTOMERS.sql}
-    where customer_id not in (select customer_id from {S.URGENT_ORDERS.sql})""",
+    where customer_id not in (select customer_id from {S.CUSTOMER_ORDERS.sql})""",
 )
 def _(spark, folder):
-    urgent = C.stage_orders(S.URGENT_ORDERS.frame(spark, folder))
-    return plain(C.customers_without_orders(customers(spark, folder), urgent))
+    all_orders = orders(spark, folder)
+    return plain(C.customers_without_orders(customers(spark, folder), all_orders))
 
 
 MARK = "1999-06-30"

@@ -163,7 +163,7 @@ def _(spark, folder):
             f"""select 'orders', 'relationship', 'customer_id', cast(count(*) as double), count(*), count(*) = 0
             from {S.CUSTOMER_ORDERS.sql} where customer_id + (order_id % 50 = 0)::int * 100000000 not in (select customer_id from t)""",
             f"""select 'customer_has_orders', 'singular', '', cast(count(*) as double), count(*), count(*) = 0
-            from t where customer_id not in (select customer_id from {S.URGENT_ORDERS.sql})""",
+            from t where customer_id not in (select customer_id from {S.CUSTOMER_ORDERS.sql})""",
         ],
     ),
 )
@@ -173,12 +173,12 @@ def _(spark, folder):
     strayed = orders.withColumn(
         "customer_id", F.col("customer_id") + F.when(F.col("order_id") % 50 == 0, 100_000_000).otherwise(0)
     )
-    urgent = customers.C.stage_orders(S.URGENT_ORDERS.frame(spark, folder))
+    all_orders = customers.C.stage_orders(S.CUSTOMER_ORDERS.frame(spark, folder))
     results = [
         Q.run_rowwise("customers", people, [Q.not_null("customer_id"), Q.not_null_proportion("customer_id", 0.99)]),
         Q.run_unique("customers", people, "customer_id"),
         Q.run_relationship("orders", strayed, "customer_id", people, "customer_id"),
-        Q.run_singular("customer_has_orders", customers.C.customers_without_orders(people, urgent)),
+        Q.run_singular("customer_has_orders", customers.C.customers_without_orders(people, all_orders)),
     ]
     return plain(Q.union_results(results))
 

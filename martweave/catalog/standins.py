@@ -164,7 +164,6 @@ CUSTOMER_ORDERS = Standin(
         "order_status": nth_sql("o_orderkey % 5", V.DAILY_STATUSES),
     },
 )
-URGENT_ORDERS = Standin("orders", CUSTOMER_ORDERS.columns, "o_orderpriority = '1-URGENT'")
 
 # --- hotel -------------------------------------------------------------------------
 

@@ -19,12 +19,15 @@ from .common import Catalog, plain
 
 catalog = Catalog()
 
+# the input has a file per shuffle partition, so a stream takes several batches
+FILES_PER_BATCH = 3
+
 
 def _messages(spark, folder, place: str):
-    """Message files in arrival order, several per run."""
+    """Message files by arrival, some of which make up a batch of the stream."""
     rows = S.MESSAGES.frame(spark, folder).select("value", "arrived_at")
-    rows.repartitionByRange(4, "arrived_at").sortWithinPartitions("arrived_at").write.parquet(f"{place}/in")
-    return message_files(spark, f"{place}/in")
+    rows.repartitionByRange("arrived_at").sortWithinPartitions("arrived_at").write.parquet(f"{place}/in")
+    return message_files(spark, f"{place}/in", FILES_PER_BATCH)
 
 
 @catalog.add("stream_scored", spend.catalog.checks["parse_valid"].replace("select t.transaction_id, t.company_id, t.company_name", "select t.transaction_id"))
@@ -65,11 +68,11 @@ def _(spark, folder):
 
 
 def _topic_stream(spark, folder, place: str):
-    columns = ["topic", "value", "offset", "timestamp"]
+    columns = ["topic", "value", F.lit(0).alias("partition"), "offset", "timestamp"]
     S.TOPIC_EVENTS.frame(spark, folder).select(*columns).write.parquet(f"{place}/in/a")
     orders = S.TOPIC_ORDERS.frame(spark, folder).select(*columns)
-    orders.repartitionByRange(3, "offset").write.parquet(f"{place}/in/b")
-    return topic_files(spark, f"{place}/in/*")
+    orders.repartitionByRange("offset").write.parquet(f"{place}/in/b")
+    return topic_files(spark, f"{place}/in/*", FILES_PER_BATCH)
 
 
 def _ingest(spark, folder, label: str) -> str:
@@ -90,12 +93,10 @@ def _ingest(spark, folder, label: str) -> str:
     from newest n join docs l on l.o_orderkey = n.last_key left join docs e on e.o_orderkey = n.last_even""",
 )
 def _(spark, folder):
-    """Orders after the stream, half of the log folded into the base on the way."""
+    """Orders as they stand after several batches, each merged into what earlier ones stored."""
     place = _ingest(spark, folder, "orders")
-    log = commerce_stream.order_table(spark, f"{place}/orders")
-    log.compact()
     return plain(
-        log.read().select(
+        commerce_stream.stored_orders(spark, f"{place}/orders").select(
             "order_id", "user_id", F.col("totals.total").alias("total"), F.col("shipping_address.city").alias("city")
         )
     )

@@ -24,8 +24,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 NODE_SCHEMA = (
     "tree int, node int, feature int, threshold double, below int, above int, path double, sample int"
 )
-# over-sampling factor: with at least half of the rows usable, the chance that a tree gets
-# fewer than sample_size rows is negligible
+# over-sampling factor: the chance that a tree draws fewer than sample_size rows is negligible
 _SPARE = 3
 _HASH_SPACE = 1 << 40
 
@@ -51,29 +50,19 @@ def tree_samples(
 ) -> DataFrame:
     """At most `sample_size` rows per tree, drawn by hash so that a rerun draws the same.
 
-    On large data one hash decides both whether a row is drawn and for which tree, so the
-    scan costs one comparison per row.  On small data a row may serve several trees.
+    Every (row, tree) is drawn on its own, at any size of the table; `total` is the number of
+    rows of `df`, all of which must be usable.
     """
     columns = [F.col(f).cast("double").alias(f) for f in features]
     rows = df.select(F.col(key).alias("_key"), *columns)
     share = min(1.0, _SPARE * sample_size / max(total, 1))
-    if share * trees <= 1.0:
-        draw = F.pmod(F.xxhash64(F.col("_key"), F.lit(seed)), F.lit(_HASH_SPACE))
-        slot = share * _HASH_SPACE
-        drawn = (
-            rows.withColumn("_draw", draw)
-            .filter(F.col("_draw") < F.lit(int(slot * trees)))
-            .withColumn("tree", F.least(F.lit(trees - 1), F.floor(F.col("_draw") / F.lit(slot))).cast("int"))
-            .drop("_draw")
-        )
-    else:
-        limit = F.lit(int(share * _HASH_SPACE))
-        key_hash = F.xxhash64(F.col("_key"), F.lit(seed))
-        chosen = F.filter(
-            F.sequence(F.lit(0), F.lit(trees - 1)),
-            lambda t: F.pmod(F.xxhash64(key_hash, t), F.lit(_HASH_SPACE)) < limit,
-        )
-        drawn = rows.withColumn("tree", F.explode(chosen))
+    limit = F.lit(int(share * _HASH_SPACE))
+    key_hash = F.xxhash64(F.col("_key"), F.lit(seed))
+    chosen = F.filter(
+        F.sequence(F.lit(0), F.lit(trees - 1)),
+        lambda t: F.pmod(F.xxhash64(key_hash, t), F.lit(_HASH_SPACE)) < limit,
+    )
+    drawn = rows.withColumn("tree", F.explode(chosen))
     order = Window.partitionBy("tree").orderBy(F.xxhash64("_key", "tree", F.lit(seed + 1)), "_key")
     return drawn.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= sample_size).drop("_r")
 
@@ -123,10 +112,14 @@ def fit(
 ) -> DataFrame:
     """Node table of the fitted forest."""
     names = list(features)
-    # the count of all rows needs no feature; the over-sampling covers rows that turn out unusable
-    samples = tree_samples(usable_rows(df, names), key, names, trees, sample_size, seed, df.count())
+    usable = usable_rows(df, names)
+    total = usable.count()
+    samples = tree_samples(usable, key, names, trees, sample_size, seed, total)
+    full = min(sample_size, total)
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
+        if len(pdf) < full:
+            raise ValueError(f"a tree drew {len(pdf)} rows though {total} are usable")
         pdf = pdf.sort_values("_key", kind="stable")
         tree = int(pdf["tree"].iloc[0])
         grown = _grow(pdf[names].to_numpy(dtype=float), np.random.default_rng([seed, tree]))

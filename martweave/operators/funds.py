@@ -2,83 +2,38 @@
 
 from __future__ import annotations
 
-import sys
-
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import pin
 from .running import CHUNK_WIDTH, running_sums
 
-# task code travels with the job, so workers need not have this package installed
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-SMALL_ACCOUNT_ROWS = 100_000
-
-
-def _walk(batches):
-    """Accept debits in order while the remaining funds cover them.
-
-    Rows come sorted by account and seq; only the account at hand and its funds are kept.
-    """
-    account, left = None, 0
-    for pdf in batches:
-        verdicts = []
-        for name, debit, funds in zip(pdf["account_id"], pdf["debit"], pdf["funds"], strict=True):
-            if name != account:
-                account, left = name, funds
-            covered = debit <= left
-            if covered:
-                left -= debit
-            verdicts.append(covered)
-        yield pdf[["account_id", "seq"]].assign(accepted=verdicts)
-
 
-def accept_in_order(debits: DataFrame, small_rows: int = SMALL_ACCOUNT_ROWS, width: int = CHUNK_WIDTH) -> DataFrame:
+def accept_in_order(debits: DataFrame, width: int = CHUNK_WIDTH) -> DataFrame:
     """(account_id, seq, accepted) for `debits`(account_id, seq, debit, funds).
 
     `debit` and `funds` are integers in the smallest unit; `funds` is the balance above the
-    minimum before the first row.  Debits must be positive; `seq` is unique.
-
-    Accounts of bounded size are walked row by row in sorted partitions.  Larger ones are
-    never put in one task: see `accept_by_halving`.
+    minimum before the first row; `seq` is unique.  A debit is accepted if what earlier
+    accepted debits left covers it.  A debit that is null or not positive is no debit: it is
+    refused and changes nothing.
+
+    All accounts are decided together in rounds, whatever their size.  In a round with funds
+    A, a debit of at most A/2 is small.  Small debits are covered as long as their running sum
+    stays within A/2; a larger one is covered only if it fits in A less the small ones before
+    it.  The round ends for an account at the first row that is a covered large debit or takes
+    the small sum beyond A/2: up to and including that row everything is decided, and at most
+    half of A is left.  So there are at most as many rounds as the largest balance has bits,
+    and one more; each is a chunked running sum plus a minimum per account.  Rows above the
+    remaining funds are refused at once.
     """
     rows = debits.select("account_id", "seq", "debit", "funds")
-    sizes = rows.groupBy("account_id").agg(F.count(F.lit(1)).alias("_n"))
-    big_ids = sizes.filter(F.col("_n") > small_rows).select("account_id")
-    small = rows.join(big_ids, "account_id", "left_anti")
-    walked = (
-        small.repartition("account_id")
-        .sortWithinPartitions("account_id", "seq")
-        .mapInPandas(_walk, "account_id string, seq bigint, accepted boolean")
-    )
-    if big_ids.isEmpty():
-        return walked
-    big = rows.join(big_ids, "account_id", "left_semi")
-    return walked.unionByName(accept_by_halving(big, width))
-
-
-def accept_by_halving(rows: DataFrame, width: int = CHUNK_WIDTH) -> DataFrame:
-    """Same result by rounds over all accounts at once.
-
-    In a round with funds A, a debit of at most A/2 is small.  Small debits are covered as
-    long as their running sum stays within A/2; a larger one is covered only if it fits in
-    A less the small ones before it.  The round ends for an account at the first row that is
-    a covered large debit or takes the small sum beyond A/2: up to and including that row
-    everything is decided, and at most half of A is left.  So the number of rounds is
-    bounded by the bits of the largest balance, and each is a chunked running sum plus a
-    minimum per account.  Rows above the remaining funds are refused at once.
-    """
+    top = rows.agg(F.max("funds")).first()[0] or 0
     open_rows = pin(rows, "funds-open")
     decided = []
-    while True:
-        fits = open_rows.filter(F.col("debit") <= F.col("funds"))
-        decided.append(
-            open_rows.filter(F.coalesce(F.col("debit") > F.col("funds"), F.lit(True))).select(
-                "account_id", "seq", F.lit(False).alias("accepted")
-            )
-        )
+    for _ in range(int(top).bit_length() + 1):
+        payable = F.coalesce((F.col("debit") > 0) & (F.col("debit") <= F.col("funds")), F.lit(False))
+        fits = open_rows.filter(payable)
+        decided.append(open_rows.filter(~payable).select("account_id", "seq", F.lit(False).alias("accepted")))
         small = F.col("debit") * 2 <= F.col("funds")
         walked = running_sums(
             fits.withColumn("_small", small),
@@ -105,6 +60,9 @@ def accept_by_halving(rows: DataFrame, width: int = CHUNK_WIDTH) -> DataFrame:
         open_rows = marked.filter(~in_round).select("account_id", "seq", "debit", F.col("_left").alias("funds"))
         if open_rows.isEmpty():
             break
+    else:
+        if not open_rows.isEmpty():
+            raise RuntimeError("more rounds than the largest balance has bits")
     result = decided[0]
     for part in decided[1:]:
         result = result.unionByName(part)

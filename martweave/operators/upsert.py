@@ -1,10 +1,15 @@
-"""Field-wise upsert: in a batch, and as an append-only change log merged on read."""
+"""Field-wise upsert: in a batch, and into a stored table partitioned by key hash."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.sinks import stored_or_none
+
+BUCKETS = 64
+_BUCKET = "key_bucket"
+
 
 def merge_upsert(
     current: DataFrame, updates: DataFrame, key: str, order: str, present: str | None = None
@@ -14,6 +19,8 @@ def merge_upsert(
     A field takes the value of the latest update that carries it; a field no update carries
     keeps its stored value.  `present` names an array column listing the fields an update
     carries (a carried null overwrites); without it a non-null value counts as carried.
+    An update without order comes before all that have one.  Of updates of the same order the
+    one with the greatest value of the field counts, a null being the smallest.
 
     The latest value per field is an aggregate with map-side combine, so a key that gets a
     third of all updates is reduced before the shuffle.
@@ -23,11 +30,11 @@ def merge_upsert(
     def carried(field: str) -> Column:
         return F.array_contains(F.col(present), field) if present else F.col(field).isNotNull()
 
+    def place(field: str) -> Column:
+        return F.struct(F.col(order).isNotNull(), F.col(order), F.col(field))
+
     latest = updates.groupBy(key).agg(
-        *[
-            F.max_by(F.struct(F.col(f).alias("v")), F.when(carried(f), F.col(order))).alias(f)
-            for f in fields
-        ]
+        *[F.max_by(F.struct(F.col(f).alias("v")), F.when(carried(f), place(f))).alias(f) for f in fields]
     )
     joined = current.alias("c").join(latest.alias("n"), key, "full_outer")
     return joined.select(
@@ -39,50 +46,37 @@ def merge_upsert(
     )
 
 
-class ChangeLog:
-    """Upserted table kept as a compacted base plus one folder of changes per batch.
+def read_stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The table that `store_upsert` keeps below `path`; empty before its first batch."""
+    stored = stored_or_none(spark, path)
+    if stored is None:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(f"{schema}, {_BUCKET} int").parquet(path).drop(_BUCKET)
 
-    A batch is an append, whatever the table's size, and writing the same batch again
-    replaces only its own folder.  Reading merges base and newer changes.  `compact` folds
-    the log into a new base; a base counts only once its success marker is there.
-    """
 
-    def __init__(self, spark: SparkSession, path: str, schema, key: str, order: str, present: str | None = None):
-        self.spark, self.path, self.key, self.order, self.present = spark, path.rstrip("/"), key, order, present
-        self.schema = schema
-
-    def _numbers(self, folder: str, prefix: str) -> list[int]:
-        hadoop = self.spark._jvm.org.apache.hadoop.fs
-        place = hadoop.Path(f"{self.path}/{folder}")
-        fs = place.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(place):
-            return []
-        done = []
-        for entry in fs.listStatus(place):
-            name = entry.getPath().getName()
-            if name.startswith(prefix) and fs.exists(hadoop.Path(entry.getPath(), "_SUCCESS")):
-                done.append(int(name[len(prefix):]))
-        return sorted(done)
-
-    def write_batch(self, updates: DataFrame, batch: int) -> None:
-        updates.write.mode("overwrite").parquet(f"{self.path}/log/batch={batch}")
-
-    def _base(self, upto: int | None) -> DataFrame:
-        if upto is None:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/base/upto={upto}")
-
-    def read(self) -> DataFrame:
-        bases = self._numbers("base", "upto=")
-        upto = bases[-1] if bases else None
-        base = self._base(upto)
-        newer = [b for b in self._numbers("log", "batch=") if upto is None or b > upto]
-        if not newer:
-            return base
-        changes = self.spark.read.parquet(*[f"{self.path}/log/batch={b}" for b in newer])
-        return merge_upsert(base, changes, self.key, self.order, self.present)
-
-    def compact(self) -> None:
-        batches = self._numbers("log", "batch=")
-        if batches:
-            self.read().write.mode("overwrite").parquet(f"{self.path}/base/upto={batches[-1]}")
+def store_upsert(
+    updates: DataFrame, path: str, schema: str, key: str, order: str, present: str | None = None, buckets: int = BUCKETS
+) -> None:
+    """Merges a batch of updates into a table stored below `path`, partitioned by key hash.
+
+    Only partitions that the batch touches are read and replaced, by one dynamic overwrite:
+    the job's files take their place when all of them are written.  Running the last batch
+    once more changes nothing.
+    """
+    spark = updates.sparkSession
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+    # at most `buckets` numbers
+    touched = [r[0] for r in updates.select(bucket.alias("b")).distinct().collect()]
+    if not touched:
+        return
+    stored = stored_or_none(spark, path)
+    if stored is None:
+        current = spark.createDataFrame([], schema)
+    else:
+        current = spark.read.schema(f"{schema}, {_BUCKET} int").parquet(path)
+        current = current.where(F.col(_BUCKET).isin(touched)).drop(_BUCKET)
+    merged = merge_upsert(current, updates, key, order, present).withColumn(_BUCKET, bucket)
+    (
+        merged.repartition(_BUCKET).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy(_BUCKET).parquet(path)
+    )

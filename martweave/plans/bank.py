@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed_values as V
-from ..operators.funds import SMALL_ACCOUNT_ROWS, accept_in_order
+from ..operators.funds import accept_in_order
 from ..operators.running import next_ids, running_sums
 from ..session import pin
 
@@ -151,9 +151,7 @@ def post(requests: DataFrame, accounts: DataFrame, rates: DataFrame) -> DataFram
     return _posted(prepared, funded)
 
 
-def post_in_order(
-    requests: DataFrame, accounts: DataFrame, rates: DataFrame, small_rows: int = SMALL_ACCOUNT_ROWS
-) -> DataFrame:
+def post_in_order(requests: DataFrame, accounts: DataFrame, rates: DataFrame) -> DataFrame:
     """Requests of an account checked one after the other, each accepted debit lowering the
     funds of later ones.  Credits of the batch count from the next batch on."""
     # the check reads the prepared requests several times: join accounts and rates once
@@ -165,7 +163,7 @@ def post_in_order(
         ((F.col("debit_amount") + F.col("charge")) * unit).cast("bigint").alias("debit"),
         ((F.col("debit_balance") - F.col("debit_minimum")) * unit).cast("bigint").alias("funds"),
     )
-    verdicts = accept_in_order(debits, small_rows).select("seq", F.col("accepted").alias("_accepted"))
+    verdicts = accept_in_order(debits).select("seq", F.col("accepted").alias("_accepted"))
     return _posted(prepared.join(verdicts, "seq", "left"), F.coalesce("_accepted", F.lit(False)))
 
 

@@ -53,14 +53,18 @@ def decoded_events(routed_rows: DataFrame) -> DataFrame:
     return good.select(_as_struct(EVENT_SCHEMA).alias("e")).select("e.*")
 
 
-def decoded_orders(routed_rows: DataFrame, order: str = "offset") -> DataFrame:
-    """Sound orders with the list of fields each document carries and its position in the topic."""
+def decoded_orders(routed_rows: DataFrame) -> DataFrame:
+    """Sound orders with the list of fields each document carries and its position in the topic.
+
+    Offsets count within a partition of the topic, so the position is (partition, offset).
+    """
+    partition = F.col("partition") if "partition" in routed_rows.columns else F.lit(0)
     good = routed_rows.filter((F.col("topic") == "orders") & F.col("reason").isNull())
     present = F.array_compact(
         F.array(*[F.when(member(F.col("doc"), f".{f}", "variant").isNotNull(), F.lit(f)) for f in ORDER_FIELDS])
     )
     return good.select(
-        _as_struct(ORDER_SCHEMA).alias("o"), present.alias("present"), F.col(order).alias("position")
+        _as_struct(ORDER_SCHEMA).alias("o"), present.alias("present"), F.struct(partition.alias("partition"), "offset").alias("position")
     ).select("o.*", "present", "position")
 
 

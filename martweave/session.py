@@ -37,9 +37,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, name: str
     return spark
 
 
+_APPLIED = "spark.martweave.settings"
+
+
 def apply_settings(spark: SparkSession) -> SparkSession:
-    for key, value in RUNTIME_SETTINGS.items():
-        spark.conf.set(key, value)
+    """Sets what the operators rely on, once per session: what the caller sets later stays."""
+    if spark.conf.get(_APPLIED, None) is None:
+        for key, value in RUNTIME_SETTINGS.items():
+            spark.conf.set(key, value)
+        spark.conf.set(_APPLIED, "done")
     return spark
 
 

@@ -45,7 +45,7 @@ def message_files(spark: SparkSession, path: str, max_files: int | None = None)
 
 def topic_files(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """Stream of topic records kept in files, with the columns a Kafka source gives."""
-    reader = spark.readStream.schema("topic string, value string, offset bigint, timestamp timestamp")
+    reader = spark.readStream.schema("topic string, value string, partition int, offset bigint, timestamp timestamp")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.parquet(path)
@@ -64,7 +64,7 @@ def kafka_topics(spark: SparkSession, servers: str, topics: list[str], options:
     )
     for key, value in (options or {}).items():
         reader = reader.option(key, value)
-    return reader.load().select("topic", F.col("value").cast("string").alias("value"), "offset", "timestamp")
+    return reader.load().select("topic", F.col("value").cast("string").alias("value"), "partition", "offset", "timestamp")
 
 
 def routed_by_user(df: DataFrame, key: str = "user_id") -> DataFrame:

@@ -27,10 +27,13 @@ def rebuild_table(df: DataFrame, name: str) -> DataFrame:
 
 
 def stored_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    """The stored table, or None on the first run; any other trouble with it is an error."""
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    except AnalysisException as problem:
+        if problem.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def newer_rows(source: DataFrame, target: DataFrame | None, mark: str) -> DataFrame:
@@ -72,23 +75,14 @@ def expire(df: DataFrame, stamp, as_of, days: int) -> tuple[DataFrame, DataFrame
 def row_counts(spark: SparkSession, named: dict[str, object]) -> DataFrame:
     """(table, rows, error) per entry; a table that cannot be read gives its error and does not stop the rest.
 
-    Entries are DataFrames or functions giving one.
+    Entries are DataFrames or functions giving one.  Each is counted by a job of its own, so a
+    table that fails while it is read fails alone.
     """
-    parts = []
+    found = []
     for name, source in named.items():
         try:
             df = source() if callable(source) else source
-            part = df.agg(F.count(F.lit(1)).alias("rows")).select(
-                F.lit(name).alias("table"), "rows", F.lit(None).cast("string").alias("error")
-            )
-            part.schema  # noqa: B018  analysis errors surface here
+            found.append((name, df.count(), None))
         except Exception as problem:  # noqa: BLE001
-            text = str(problem).splitlines()[0][:200]
-            part = spark.range(1).select(
-                F.lit(name).alias("table"), F.lit(None).cast("bigint").alias("rows"), F.lit(text).alias("error")
-            )
-        parts.append(part)
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+            found.append((name, None, str(problem)))
+    return spark.createDataFrame(found, "table string, rows bigint, error string")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import apply_settings
@@ -24,34 +22,10 @@ SCHEMAS = {
 }
 
 
-# below this a single task is as fast as several
-SPREAD_BYTES = 1 << 20
-
-
-@functools.cache
-def _path_bytes(spark: SparkSession, path: str) -> int:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.getContentSummary(place).getLength()
-
-
-def spread(df: DataFrame, path: str) -> DataFrame:
-    """Rows dealt out to all cores when the files of a not-so-small table split into few tasks.
-
-    A table with splits enough for the cluster is left as it is, so at scale this never
-    shuffles.  Filters and column pruning still reach the scan.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() * 2 > cores or _path_bytes(spark, path) < SPREAD_BYTES:
-        return df
-    return df.repartition(cores)
-
-
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A given table; how its files are split is left to `spark.sql.files.maxPartitionBytes`."""
     apply_settings(spark)
-    path = f"{folder.rstrip('/')}/{name}.parquet"
-    return spread(spark.read.schema(SCHEMAS[name]).parquet(path), path)
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
 def tables(spark: SparkSession, folder: str, *names: str) -> list[DataFrame]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.upsert import ChangeLog
+from ..operators.upsert import read_stored, store_upsert
 from ..plans.commerce import ORDER_SCHEMA, decoded_events, decoded_orders, enrich_events, refused, routed
 
 
@@ -13,8 +13,8 @@ from ..plans.commerce import ORDER_SCHEMA, decoded_events, decoded_orders, enric
 AT_ONCE = {"availableNow": True}
 
 
-def order_table(spark, path: str) -> ChangeLog:
-    return ChangeLog(spark, path, ORDER_SCHEMA, "order_id", "position", "present")
+def stored_orders(spark, path: str) -> DataFrame:
+    return read_stored(spark, path, ORDER_SCHEMA)
 
 
 def deduplicated(events: DataFrame, keys: list[str], stamp: str, lateness: str = "1 hour") -> DataFrame:
@@ -38,18 +38,17 @@ def ingest(
 ) -> StreamingQuery:
     """Offsets advance only after all three writes of a batch succeed.
 
-    A batch that is run again replaces its own folders: events are not doubled and orders
-    end in the same state.
+    A batch that is run again replaces its own folders, so events are not doubled, and merges
+    the same orders once more, which changes nothing.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
         rows = routed(batch).persist()
         try:
             enrich_events(decoded_events(rows), geo_ranges).write.mode("overwrite").parquet(
                 f"{events_path}/batch={number}"
             )
-            order_table(spark, orders_path).write_batch(decoded_orders(rows), number)
+            store_upsert(decoded_orders(rows), orders_path, ORDER_SCHEMA, "order_id", "position", "present")
             refused(rows).write.mode("overwrite").text(f"{refused_path}/batch={number}")
         finally:
             rows.unpersist()

@@ -43,14 +43,18 @@ def test_every_tree_gets_its_sample(nodes):
     assert max(r.n for r in shape) <= 2 * V.FOREST_SAMPLE - 1
 
 
-@pytest.mark.parametrize("total", [3000, 3_000_000])
-def test_sampling_on_small_and_large_data(normal, total):
-    """Large data: one tree per drawn row; small data: a row may serve several."""
-    drawn = forest.tree_samples(normal, "id", V.FEATURE_NAMES, 20, 64, 7, total)
+def test_trees_draw_at_random_and_no_more_than_their_sample(normal):
+    drawn = forest.tree_samples(normal, "id", V.FEATURE_NAMES, 20, 64, 7, normal.count())
     sizes = drawn.groupBy("tree").count().collect()
-    assert all(r["count"] <= 64 for r in sizes)
-    if total == 3_000_000:
-        assert drawn.count() == drawn.select("_key").distinct().count()
+    assert len(sizes) == 20 and {r["count"] for r in sizes} == {64}
+    assert drawn.select("_key").distinct().count() > 400
+
+
+def test_trees_are_full_where_few_rows_are_usable(spark, normal):
+    few = normal.withColumn(V.FEATURE_NAMES[0], F.when(F.col("id") % 8 == 0, F.col(V.FEATURE_NAMES[0])))
+    sizes = forest.fit(few, "id").groupBy("tree").agg(F.max("sample").alias("s")).collect()
+    usable = forest.usable_rows(few, V.FEATURE_NAMES).count()
+    assert {r.s for r in sizes} == {min(V.FOREST_SAMPLE, usable)}
 
 
 def test_same_fit_twice(normal, nodes):

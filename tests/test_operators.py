@@ -6,12 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from martweave.operators import quality as Q
-from martweave.operators.funds import accept_by_halving, accept_in_order
+from martweave.operators.funds import accept_in_order
 from martweave.operators.matching import match_by_rank
 from martweave.operators.ranges import range_lookup
 from martweave.operators.ranking import page, page_totals, top_per_group
 from martweave.operators.running import next_ids, numbered_by_content, ranked, running_sums
-from martweave.operators.upsert import ChangeLog, merge_upsert
+from martweave.operators.upsert import merge_upsert, read_stored, store_upsert
 
 
 @pytest.fixture(scope="module")
@@ -93,8 +93,8 @@ def loop_accept(rows):
     return verdicts
 
 
-@pytest.mark.parametrize("seed, small_rows", [(0, 0), (1, 40), (2, 10**6)])
-def test_accept_in_order(spark, seed, small_rows):
+@pytest.mark.parametrize("seed", [0, 1])
+def test_accept_in_order(spark, seed):
     pick = random.Random(seed)
     funds = {f"a{i}": pick.choice([0, -5, 3, 100, 10_000, 10**7]) for i in range(12)}
     funds["hot"] = 200_000
@@ -104,17 +104,24 @@ def test_accept_in_order(spark, seed, small_rows):
         debit = int(10 ** pick.uniform(0, 5)) + 1
         rows.append((account, seq, debit, funds[account]))
     df = spark.createDataFrame(rows, "account_id string, seq bigint, debit bigint, funds bigint")
-    got = accept_in_order(df, small_rows, width=37)
+    got = accept_in_order(df, width=37)
     assert {(r.account_id, r.seq): r.accepted for r in got.collect()} == loop_accept(rows)
 
 
-def test_accept_by_halving_decides_every_row(spark):
+def test_accept_in_order_decides_every_row(spark):
     rows = [("a", i, 1, 10) for i in range(50)] + [("b", 100, 7, 6), ("b", 101, 6, 6), ("b", 102, 1, 6)]
     df = spark.createDataFrame(rows, "account_id string, seq bigint, debit bigint, funds bigint")
-    got = accept_by_halving(df, 4).collect()
+    got = accept_in_order(df, 4).collect()
     assert {(r.account_id, r.seq): r.accepted for r in got} == loop_accept(rows) and len(got) == len(rows)
 
 
+def test_what_is_no_debit_is_refused_and_changes_nothing(spark):
+    rows = [("a", 1, 0, 0), ("a", 2, -5, 0), ("a", 3, 3, 0), ("b", 1, None, 9), ("b", 2, 9, 9), ("b", 3, 1, 9), ("c", 1, 1, None)]
+    df = spark.createDataFrame(rows, "account_id string, seq bigint, debit bigint, funds bigint")
+    got = accept_in_order(df).collect()
+    assert {(r.account_id, r.seq) for r in got if r.accepted} == {("b", 2)} and len(got) == len(rows)
+
+
 DOC = "id string, a int, b string, present array<string>, pos bigint"
 
 
@@ -136,21 +143,27 @@ def test_merge_upsert_applies_in_order(spark):
     assert {r.id: (r.a, r.b) for r in got} == apply_docs(state, docs)
 
 
-def test_change_log(spark, folder):
-    log = ChangeLog(spark, folder, "id string, a int, b string", "id", "pos", "present")
-    assert log.read().count() == 0
-    one = [("x", 1, "p", ["a", "b"], 1)]
-    two = [("x", 2, None, ["a"], 2), ("y", 3, None, ["a"], 3)]
-    three = [("y", None, "q", ["b"], 4)]
-    log.write_batch(spark.createDataFrame(one, DOC), 0)
-    log.write_batch(spark.createDataFrame(two, DOC), 1)
-    log.write_batch(spark.createDataFrame(two, DOC), 1)  # the batch is run again
-    log.compact()
-    log.write_batch(spark.createDataFrame(three, DOC), 2)
-    got = {r.id: (r.a, r.b) for r in log.read().collect()}
+def test_upsert_without_order_and_with_equal_orders(spark):
+    current = spark.createDataFrame([("x", 1, "old")], "id string, a int, b string")
+    docs = [("x", 7, None, ["a"], None), ("y", 8, "only", ["a", "b"], None), ("z", 1, "p", ["a", "b"], 4), ("z", 2, None, ["a", "b"], 4)]
+    got = merge_upsert(current, spark.createDataFrame(docs, DOC), "id", "pos", "present").collect()
+    assert {r.id: (r.a, r.b) for r in got} == {"x": (7, "old"), "y": (8, "only"), "z": (2, "p")}
+    docs.append(("x", 5, None, ["a"], 0))
+    got = merge_upsert(current, spark.createDataFrame(docs, DOC), "id", "pos", "present").where("id = 'x'").first()
+    assert got.a == 5
+
+
+def test_store_upsert(spark, folder):
+    place, schema = f"{folder}/t", "id string, a int, b string"
+    assert read_stored(spark, place, schema).count() == 0
+    one = [(f"x{i}", i, "p", ["a", "b"], i) for i in range(20)]
+    two = [("x1", 2, None, ["a"], 30), ("y", 3, None, ["a"], 31)]
+    three = [("y", None, "q", ["b"], 40)]
+    for batch in (one, two, two, three):  # one batch is run again
+        store_upsert(spark.createDataFrame(batch, DOC), place, schema, "id", "pos", "present", buckets=4)
+    store_upsert(spark.createDataFrame([], DOC), place, schema, "id", "pos", "present", buckets=4)
+    got = {r.id: (r.a, r.b) for r in read_stored(spark, place, schema).collect()}
     assert got == apply_docs({}, one + two + three)
-    log.compact()
-    assert {r.id: (r.a, r.b) for r in log.read().collect()} == got
 
 
 def test_top_per_group_limits_before_the_shuffle(spark):

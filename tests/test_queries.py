@@ -5,8 +5,9 @@ from compare import compare, connect
 
 import __spark_entry__ as entry_points
 from conftest import SMALL
+from martweave.catalog import all_checks, all_queries
 
-NAMES = list(entry_points.queries())
+NAMES = list(all_queries())
 UNCHECKED = {"iforest_scores", "iforest_nodes", "iforest_report", "iforest_mean_scores"}
 
 
@@ -16,8 +17,9 @@ def duck():
 
 
 def test_only_named_queries_lack_a_check():
-    assert set(NAMES) - set(entry_points.oracle_sql()) == UNCHECKED
-    assert set(entry_points.oracle_sql()) <= set(NAMES)
+    assert set(NAMES) - set(all_checks()) == UNCHECKED
+    assert set(all_checks()) <= set(NAMES)
+    assert set(NAMES) <= set(entry_points.queries())
 
 
 def test_entry_runs(spark):

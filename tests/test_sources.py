@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -63,6 +64,20 @@ def test_row_counts_go_on_after_an_error(spark):
     assert got["a"].rows == 3 and got["b"].rows is None and got["b"].error and got["c"].rows == 1
 
 
+def test_row_counts_go_on_where_a_table_fails_while_it_is_read(spark):
+    broken = spark.range(3).select(F.raise_error(F.lit("lost " + "x" * 300)).alias("v")).where("v is null")
+    got = {r.table: r for r in sinks.row_counts(spark, {"a": broken, "b": spark.range(2)}).collect()}
+    assert got["a"].rows is None and "x" * 300 in got["a"].error and got["b"].rows == 2
+
+
+def test_only_a_missing_table_is_a_first_run(spark, folder):
+    assert sinks.stored_or_none(spark, f"{folder}/none") is None
+    (Path(folder) / "bad").mkdir()
+    (Path(folder) / "bad" / "part-0.parquet").write_text("this is no parquet file")
+    with pytest.raises(Exception):  # noqa: B017
+        sinks.append_newer(spark.range(3), f"{folder}/bad", "id")
+
+
 def test_shared_folder_is_the_named_one(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     place = session.run_folder(spark, "x")

@@ -78,7 +78,7 @@ def test_topics(spark, folder):
     ).awaitTermination()
     event = spark.read.parquet(f"{folder}/events").first()
     assert (event.metadata.country, event.metadata.browser) == ("Nowhere", "Firefox")
-    order = commerce_stream.order_table(spark, f"{folder}/orders").read().first()
+    order = commerce_stream.stored_orders(spark, f"{folder}/orders").first()
     assert (order.status, order.shipping_address.city) == ("shipped", "Lille")
     refused = spark.read.text(f"{folder}/refused").select(F.from_json("value", "original_topic string, reason string, failed_at string").alias("r")).select("r.*")
     assert {r.reason for r in refused.collect()} == {"missing required field: 'order_id'", "unexpected topic: other"}
