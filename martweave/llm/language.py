@@ -36,6 +36,9 @@ ROWS = 400
 GRAMS = 60_000
 UNKNOWN = "und"
 _BLANK = 0x20
+_HASH_SPACE = 1 << 40
+# with so many times the rows wanted, the chance that the first cut is short is negligible
+_SPARE = 3
 _SLOT_BITS = 20
 _SLOT_FACTOR = np.uint32(0x9E3779B1)
 
@@ -104,10 +107,14 @@ def fit(
     known = docs.select(
         F.col(id_column).alias("_id"), F.col(label_column).alias("_label"), F.col(text_column).alias("_text")
     )
-    draw = F.xxhash64("_id")
-    by_draw = Window.partitionBy("_label").orderBy(draw, "_id")
     usable = known.where("_id is not null and _label is not null and _text is not null")
-    chosen = usable.select("_id", "_label").withColumn("_n", F.row_number().over(by_draw)).where(F.col("_n") <= rows)
+    draw = F.pmod(F.xxhash64("_id"), F.lit(_HASH_SPACE))
+    ids = usable.select("_id", "_label", draw.alias("_draw"))
+    # a first cut by hash leaves some `_SPARE * rows` ids of a language, however many it has
+    share = ids.groupBy("_label").agg((F.lit(float(_SPARE * rows)) / F.count(F.lit(1))).alias("_share"))
+    near = ids.join(share, "_label").where(F.col("_draw") < F.col("_share") * _HASH_SPACE)
+    by_draw = Window.partitionBy("_label").orderBy("_draw", "_id")
+    chosen = near.withColumn("_n", F.row_number().over(by_draw)).where(F.col("_n") <= rows)
     # at most `rows` ids per language
     sample = usable.join(F.broadcast(chosen.select("_id").distinct()), "_id", "left_semi")
     counts = sample.select("_label", "_text").mapInArrow(

@@ -121,7 +121,7 @@ class _Counters:
     """Carry-save counters: `digits[k]` holds binary digit k of 64 counts a word."""
 
     def __init__(self, shape, radius: int):
-        self.digits = [np.zeros(shape, np.uint64) for _ in range(max(1, radius.bit_length()))]
+        self.digits = [np.zeros(shape, np.uint64) for _ in range(radius.bit_length())]
         self.over = np.zeros(shape, np.uint64)
 
     def add(self, carry: np.ndarray) -> None:
