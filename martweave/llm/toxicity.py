@@ -9,7 +9,7 @@ of fewer than `LEAST` texts of the sample stay out: what only a few texts hold i
 
 *Fit.*  Labels of at most `POSITIVE` toxic and `NEGATIVE` clean texts (documented bounds, drawn
 by hash) are learned from; their bags are made by Spark from whole texts, and the small model is
-trained in numpy on the driver.  The loss weighs the classes as they occur among all labels.
+trained in numpy by one task.  The loss weighs the classes as they occur among all labels.
 
 *Score.*  Averaging and the linear layer commute, so the trained model folds into one number
 per table row; a text's logit is the mean of its subwords' numbers plus the bias.
@@ -117,15 +117,28 @@ def fit(
     # at most `positive + negative` ids
     chosen = F.broadcast(parts[0].unionByName(parts[1]))
     sample = texts.join(chosen, "_id").select("toxic", "_text")
-    bags = sample.mapInArrow(_bags, "toxic int, rows binary, n binary").collect()
     share = there.agg(F.avg("toxic")).first()[0]
-    return train(
-        [np.frombuffer(b.rows, "<u4") for b in bags],
-        [np.frombuffer(b.n, "<u4") for b in bags],
-        np.array([b.toxic for b in bags], np.int64),
-        share or 0.0,
-        seed,
-    )
+    bags = sample.mapInArrow(_bags, "toxic int, rows binary, n binary")
+    # the sample is bounded, so one task holds its bags
+    trained = bags.repartition(1).mapInArrow(_trained(share or 0.0, seed), "weight binary, bias double").collect()
+    if not trained:
+        return train([], [], np.zeros(0, np.int64), 0.0, seed)
+    return Model(np.frombuffer(trained[0].weight, np.float32), trained[0].bias)
+
+
+def _trained(share: float, seed: int):
+    def task(batches):
+        rows, counts, toxic = [], [], []
+        for batch in batches:
+            for bag in batch.to_pylist():
+                rows.append(np.frombuffer(bag["rows"], "<u4"))
+                counts.append(np.frombuffer(bag["n"], "<u4"))
+                toxic.append(bag["toxic"])
+        model = train(rows, counts, np.array(toxic, np.int64), share, seed)
+        columns = [pa.array([model.weight.tobytes()], pa.binary()), pa.array([model.bias])]
+        yield pa.RecordBatch.from_arrays(columns, names=["weight", "bias"])
+
+    return task
 
 
 def train(rows: list, counts: list, toxic: np.ndarray, share: float, seed: int = 7) -> Model:
