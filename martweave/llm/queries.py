@@ -155,3 +155,61 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, folder, "pages"), carry=["page_id"])
+
+
+_AB = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+
+def _parts(rest: str) -> tuple[str, str, str]:
+    """SQL of host, path and node of what follows the scheme."""
+    host = f"translate(regexp_extract({rest}, '^[^/?#]*'), {_AB})"
+    return host, f"regexp_extract({rest}, '^[^/?#]*([^?#]*)', 1)", f"{host} || regexp_extract({rest}, '^[^/?#]*([^#]*)', 1)"
+
+
+_RULES = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in url_filter.RULES)
+_BEST = """(SELECT max_by({what}, (length(h || s), v = 'allow')) FROM rules
+  WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, s))"""
+_HOST, _PATH, _NODE = _parts("rest")
+_THERE = _parts("there")[2]
+_NODE_HOST, _NODE_PATH, _ = _parts("node")
+
+CHECKS["op10_url_filter"] = rf"""
+WITH RECURSIVE rules(v, h, s) AS (VALUES {_RULES}), p AS (
+  SELECT page_id, html, {_HOST} AS host, {_PATH} AS path, {_NODE} AS node FROM (
+    SELECT *, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages)
+), tags AS (
+  SELECT host, path, node, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b[^>]*>')) AS tag FROM p WHERE node <> ''
+), links AS (
+  SELECT *, replace(trim(CASE
+    WHEN regexp_matches(tag, '(?is)\brel\s*=\s*["'']?\s*canonical\b') THEN
+      regexp_extract(tag, '(?is)\bhref\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))', 1)
+      || regexp_extract(tag, '(?is)\bhref\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))', 2)
+      || regexp_extract(tag, '(?is)\bhref\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))', 3)
+    WHEN regexp_matches(tag, '(?is)\bhttp-equiv\s*=\s*["'']?\s*refresh\b') THEN
+      regexp_extract(tag, '(?is)\burl\s*=\s*["'']?([^"''>\s;]+)', 1) END), '&amp;', '&') AS link FROM tags
+), edges AS (
+  SELECT node AS a, {_THERE} AS b FROM (SELECT node, CASE
+    WHEN regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN substr(link, instr(link, '://') + 3)
+    WHEN starts_with(link, '//') THEN substr(link, 3)
+    WHEN regexp_matches(link, '^(#|$|[A-Za-z][A-Za-z0-9+.-]*:)') THEN NULL
+    WHEN starts_with(link, '/') THEN host || link
+    WHEN starts_with(link, '?') THEN host || path || link
+    ELSE host || coalesce(nullif(regexp_replace(path, '[^/]*$', ''), ''), '/') || link END AS there FROM links WHERE link <> '')
+  WHERE there IS NOT NULL
+), pairs AS (
+  SELECT a, b FROM edges WHERE a <> b UNION SELECT b, a FROM edges WHERE a <> b
+), reach(node, other) AS (
+  SELECT a, a FROM pairs UNION SELECT r.node, e.b FROM reach r JOIN pairs e ON r.other = e.a
+), ruled AS (
+  SELECT node, {_BEST.format(what="v")} AS own FROM (
+    SELECT DISTINCT other AS node, {_NODE_HOST.replace("node", "other")} AS host, {_NODE_PATH.replace("node", "other")} AS path FROM reach)
+), groups AS (
+  SELECT r.node, bool_or(own = 'allow') AS allowed, bool_or(own = 'block') AS blocked
+  FROM reach r JOIN ruled u ON u.node = r.other GROUP BY r.node
+), judged AS (
+  SELECT *, {_BEST.format(what="h || s")} AS rule, {_BEST.format(what="v")} AS own FROM p
+)
+SELECT page_id, host, path, rule,
+  coalesce(own, CASE WHEN coalesce(blocked, false) AND NOT coalesce(allowed, false) THEN 'block' ELSE 'allow' END) AS verdict
+FROM judged LEFT JOIN groups USING (node)
+"""

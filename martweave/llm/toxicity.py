@@ -36,7 +36,7 @@ SIZES = (3, 4, 5, 6, 7)
 WIDTH = 4
 POSITIVE, NEGATIVE = 1500, 3000
 LEAST = 5
-EPOCHS, BATCH, RATE, MOMENTUM = 8, 128, 0.5, 0.9
+STEPS, BATCH, RATE, MOMENTUM = 300, 128, 0.5, 0.9
 # averages of rare subwords are small numbers; this brings them near one
 _GAIN = 100.0
 # the bias where all labels are alike
@@ -167,29 +167,31 @@ def train(rows: list, counts: list, toxic: np.ndarray, share: float, seed: int =
     params, rates = [table, layer, bias], [RATE, RATE / 10, RATE / 10]
     pace = [np.zeros_like(p) for p in params]
     class_weight = np.array([1 - share, share]) / (np.bincount(toxic, minlength=2) / len(toxic))
-    for _ in range(EPOCHS):
-        shuffled = random.permutation(len(bags))
-        for low in range(0, len(bags), BATCH):
-            chosen = shuffled[low : low + BATCH]
-            at = np.concatenate([bags[i][0] for i in chosen])
-            x = np.concatenate([bags[i][1] for i in chosen])
-            of = np.repeat(np.arange(len(chosen)), [len(bags[i][0]) for i in chosen])
-            hidden = np.stack([np.bincount(of, table[at, d] * x, len(chosen)) for d in range(WIDTH)], axis=1)
-            logits = hidden @ layer + bias
-            odds = np.exp(logits - logits.max(axis=1, keepdims=True))
-            miss = odds / odds.sum(axis=1, keepdims=True)
-            miss[np.arange(len(chosen)), toxic[chosen]] -= 1
-            miss *= class_weight[toxic[chosen], None] / len(chosen)
-            back = miss @ layer.T
-            slopes = [
-                np.stack([np.bincount(at, back[of, d] * x, len(used)) for d in range(WIDTH)], axis=1),
-                hidden.T @ miss,
-                miss.sum(axis=0),
-            ]
-            for p, v, g, rate in zip(params, pace, slopes, rates):
-                v *= MOMENTUM
-                v += g
-                p -= rate * v
+    # a step takes the next bags of a shuffled round; small samples go round more often
+    queue = np.zeros(0, np.int64)
+    for _ in range(STEPS):
+        if len(queue) < min(BATCH, len(bags)):
+            queue = random.permutation(len(bags))
+        chosen, queue = queue[:BATCH], queue[BATCH:]
+        at = np.concatenate([bags[i][0] for i in chosen])
+        x = np.concatenate([bags[i][1] for i in chosen])
+        of = np.repeat(np.arange(len(chosen)), [len(bags[i][0]) for i in chosen])
+        hidden = np.stack([np.bincount(of, table[at, d] * x, len(chosen)) for d in range(WIDTH)], axis=1)
+        logits = hidden @ layer + bias
+        odds = np.exp(logits - logits.max(axis=1, keepdims=True))
+        miss = odds / odds.sum(axis=1, keepdims=True)
+        miss[np.arange(len(chosen)), toxic[chosen]] -= 1
+        miss *= class_weight[toxic[chosen], None] / len(chosen)
+        back = miss @ layer.T
+        slopes = [
+            np.stack([np.bincount(at, back[of, d] * x, len(used)) for d in range(WIDTH)], axis=1),
+            hidden.T @ miss,
+            miss.sum(axis=0),
+        ]
+        for p, v, g, rate in zip(params, pace, slopes, rates):
+            v *= MOMENTUM
+            v += g
+            p -= rate * v
     weight[used] = _GAIN * rarity * (table @ (layer[:, 1] - layer[:, 0]))
     return Model(weight, float(bias[1] - bias[0]))
 
