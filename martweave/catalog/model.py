@@ -1,16 +1,21 @@
-"""Registered model queries.  A fitted forest has no SQL equivalent; its parts are tested on their own."""
+"""Registered model queries.  A fitted forest has no SQL equivalent; its shape and a given forest's scores have."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
+from .. import fixed_values as V
 from ..functions.risk import with_features
 from ..operators import forest
+from ..operators.forest import average_path
 from ..plans import spend as P
 from ..session import pin
 from ..streaming.spend import scored
 from . import spend
-from .common import Catalog, plain
+from .common import Catalog, plain, rounded
+from .standins import TRANSACTIONS
 
 catalog = Catalog()
 
@@ -30,19 +35,61 @@ def _(spark, folder):
     return plain(rows.select(*columns.split()))
 
 
-@catalog.add("iforest_nodes")
+@catalog.add(
+    "iforest_nodes",
+    f"""select unnest(range({V.FOREST_TREES})) tree, least(count(*), {V.FOREST_SAMPLE}) sample, true twice_the_leaves_less_one,
+    true within_depth, true every_node_once from {TRANSACTIONS.sql}""",
+)
 def _(spark, folder):
-    """Shape of the fitted trees: nodes, leaves and rows per tree."""
+    """What must hold of every fitted tree: its sample, a full binary shape, its depth, no node missing."""
     nodes = fitted(spark, folder)
+    depth = math.ceil(math.log2(V.FOREST_SAMPLE))
     return plain(
         nodes.groupBy("tree").agg(
-            F.count(F.lit(1)).alias("nodes"),
-            F.count_if(F.col("feature") == -1).alias("leaves"),
             F.max("sample").alias("sample"),
+            (F.count(F.lit(1)) == 2 * F.count_if(F.col("feature") == -1) - 1).alias("twice_the_leaves_less_one"),
+            # the path of a leaf holds its depth and, for several rows, the mean search path below it
+            (F.min(F.when(F.col("feature") == -1, F.col("path"))) <= depth).alias("within_depth"),
+            ((F.count_distinct("node") == F.count(F.lit(1))) & (F.max("node") == F.count(F.lit(1)) - 1)).alias("every_node_once"),
         )
     )
 
 
+# two small trees that SQL can walk: (tree, node, feature, threshold, below, above, path)
+_NODES = [
+    (0, 0, 0, 2500.0, 1, 2, 0.0),
+    (0, 1, 3, 11.5, 3, 4, 0.0),
+    (0, 2, -1, 0.0, 2, 2, 1.0),
+    (0, 3, -1, 0.0, 3, 3, 2.0),
+    (0, 4, -1, 0.0, 4, 4, 3.5),
+    (1, 0, 4, 3.5, 1, 2, 0.0),
+    (1, 1, -1, 0.0, 1, 1, 4.25),
+    (1, 2, 7, 1.5, 3, 4, 0.0),
+    (1, 3, -1, 0.0, 3, 3, 2.5),
+    (1, 4, -1, 0.0, 4, 4, 5.0),
+]
+_WALK_ROWS = 16
+
+
+@catalog.add(
+    "forest_walk",
+    f"""with recursive nodes(tree, node, feature, threshold, below, above, path) as (values {", ".join(map(str, _NODES))}),
+    x as (select transaction_id, [amount_usd, amount_to_baseline_ratio, log_amount, hour_of_day, day_of_week, is_weekend,
+      is_high_risk_vendor, vendor_category_encoded] v from ({spend.catalog.checks["features"]})),
+    walk as (select transaction_id, v, tree, 0 node from x, (values (0), (1)) t(tree)
+      union all select transaction_id, v, w.tree, if(v[n.feature + 1] <= n.threshold, n.below, n.above)
+      from walk w join nodes n on n.tree = w.tree and n.node = w.node where n.feature >= 0)
+    select transaction_id, {rounded(f"-pow(2.0, -avg(path) / {float(average_path([_WALK_ROWS])[0])!r})", 9)} ml_raw_score
+    from walk w join nodes n on n.tree = w.tree and n.node = w.node where n.feature = -1 group by transaction_id""",
+)
+def _(spark, folder):
+    """All transactions scored by a given forest."""
+    nodes = spark.createDataFrame([(*n, _WALK_ROWS) for n in _NODES], forest.NODE_SCHEMA)
+    features = P.transaction_features(spend.transactions(spark, folder))
+    scores = forest.with_raw_score(features, nodes, trees=2, sample_size=_WALK_ROWS)
+    return plain(scores.select("transaction_id", "ml_raw_score"), {"ml_raw_score": 9})
+
+
 def _evaluated(spark, folder):
     nodes = fitted(spark, folder)
     rows = spend.transactions(spark, folder)

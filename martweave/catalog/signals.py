@@ -43,14 +43,13 @@ def _(spark, folder):
 @catalog.add(
     "duplicate_like",
     f"""select transaction_id, company_id, vendor_id, {rounded("date_diff('microsecond', before, ts) / 1000000.0", 6)} seconds_since
-    from (select *, lag(ts) over (partition by company_id, vendor_id, payment_method order by ts) before from {_ROWS_SQL})
+    from (select *, lag(ts) over (partition by company_id, vendor_id, floor(amount_usd / 500) order by ts) before from {_ROWS_SQL})
     where before >= ts - interval 2880 minute""",
 )
 def _(spark, folder):
-    """Same company, vendor and kind within two days (amounts hardly repeat in the data)."""
-    repeated = S.repeated_payments(
-        rows(spark, folder), ["company_id", "vendor_id", "payment_method"], "ts", minutes=2880
-    )
+    """Same company, vendor and amount within two days; amounts in steps of 500, so that they repeat."""
+    stepped = rows(spark, folder).withColumn("amount_usd", F.floor(F.col("amount_usd") / 500))
+    repeated = S.repeated_payments(stepped, ["company_id", "vendor_id", "amount_usd"], "ts", minutes=2880)
     return plain(repeated.select("transaction_id", "company_id", "vendor_id", "seconds_since"), {"seconds_since": 6})
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as V
 from ..functions.dates import days_between
+from ..operators.distinct import with_distinct_counts
 
 
 def _staged(raw: DataFrame, keys: list[str], columns: Mapping[str, str], dates: Mapping[str, str] | None = None) -> DataFrame:
@@ -173,15 +174,25 @@ def stage_deals(raw: DataFrame) -> DataFrame:
 
 
 def order_items_rollup(items: DataFrame) -> DataFrame:
-    """Totals per order.  Both distinct counts are built from partially combined (order, value) pairs."""
-    return items.groupBy("order_id").agg(
-        F.sum("price").alias("total_items_price"),
-        F.sum("freight_value").alias("total_freight_value"),
-        F.sum(F.col("price") + F.col("freight_value")).alias("total_order_item_value"),
-        F.countDistinct("product_id").alias("unique_products_count"),
-        F.countDistinct("seller_id").alias("unique_sellers_count"),
-        F.count("order_item_id").alias("total_items_count"),
+    """Totals per order."""
+    totals = with_distinct_counts(
+        items,
+        ["order_id"],
+        {"unique_products_count": "product_id", "unique_sellers_count": "seller_id"},
+        {
+            "_price": F.sum("price"),
+            "_freight": F.sum("freight_value"),
+            "_value": F.sum(F.col("price") + F.col("freight_value")),
+            "_items": F.count("order_item_id"),
+        },
+        {
+            "total_items_price": F.sum("_price"),
+            "total_freight_value": F.sum("_freight"),
+            "total_order_item_value": F.sum("_value"),
+            "total_items_count": F.sum("_items"),
+        },
     )
+    return totals.select("order_id", *ROLLUP_DEFAULTS)
 
 
 ROLLUP_DEFAULTS = [

@@ -13,6 +13,7 @@ from ..functions.ladders import at_least
 from ..functions.numbers import ratio
 from ..functions.risk import with_features, with_risk_score, with_rule_flags
 from ..functions.text import alert_reason
+from ..operators.distinct import with_distinct_counts
 
 NUMERIC = "decimal(38,9)"
 # a dividend of this type makes Spark's decimal quotient keep nine decimals
@@ -95,20 +96,32 @@ def transaction_facts(enriched: DataFrame) -> DataFrame:
 
 
 def company_daily_spend(enriched: DataFrame) -> DataFrame:
-    daily = enriched.groupBy(
-        "transaction_date", "company_id", "company_name", "company_size_tier", "baseline_monthly_spend"
-    ).agg(
-        F.count(F.lit(1)).alias("transaction_count"),
-        F.countDistinct("vendor_id").alias("distinct_vendor_count"),
-        F.countDistinct("vendor_category").alias("distinct_category_count"),
-        F.sum("amount_usd").alias("total_amount_usd"),
-        F.avg("amount_usd").alias("avg_amount_usd"),
-        F.max("amount_usd").alias("max_amount_usd"),
-        F.count_if("risk_flag").alias("risk_flagged_count"),
-        F.count_if("rule_spend_spike").alias("spend_spike_count"),
-        F.count_if("rule_high_risk_vendor").alias("high_risk_vendor_count"),
-        F.count_if("rule_off_hours").alias("off_hours_count"),
-        F.count_if("is_simulated_anomaly").alias("known_anomaly_count"),
+    flags = {
+        "risk_flagged_count": "risk_flag",
+        "spend_spike_count": "rule_spend_spike",
+        "high_risk_vendor_count": "rule_high_risk_vendor",
+        "off_hours_count": "rule_off_hours",
+        "known_anomaly_count": "is_simulated_anomaly",
+    }
+    mean = F.try_divide(F.sum("_amount"), F.sum("_amounts"))
+    daily = with_distinct_counts(
+        enriched,
+        ["transaction_date", "company_id", "company_name", "company_size_tier", "baseline_monthly_spend"],
+        {"distinct_vendor_count": "vendor_id", "distinct_category_count": "vendor_category"},
+        {
+            "_rows": F.count(F.lit(1)),
+            "_amount": F.sum("amount_usd"),
+            "_amounts": F.count("amount_usd"),
+            "_largest": F.max("amount_usd"),
+            **{f"_{name}": F.count_if(flag) for name, flag in flags.items()},
+        },
+        {
+            "transaction_count": F.sum("_rows"),
+            "total_amount_usd": F.sum("_amount"),
+            "avg_amount_usd": mean,
+            "max_amount_usd": F.max("_largest"),
+            **{name: F.sum(f"_{name}") for name in flags},
+        },
     )
     return daily.withColumn("daily_to_baseline_ratio", numeric_ratio("total_amount_usd", "baseline_monthly_spend"))
 

@@ -346,13 +346,19 @@ def tuition_statement(
     def aid(kind: str) -> DataFrame:
         return awards.select(F.col("name").alias(kind), F.col("amount").alias(f"_{kind}_amount"))
 
-    joined = (
-        students.select("student_id", "housing", "award", "scholarship")
-        .join(costs, "student_id", "left")
-        .join(rents, "housing", "left")
-        .join(aid("award"), "award", "left")
-        .join(aid("scholarship"), "scholarship", "left")
-    )
+    def matched(rows: DataFrame, key: str, table: DataFrame, known: Column) -> DataFrame:
+        """Left join that sends only rows that can match through the join: nulls and the like
+        are one key each and would meet in one task."""
+        some = rows.filter(known).join(table, key, "left").select(*rows.columns, *[c for c in table.columns if c != key])
+        none = rows.filter(~known)
+        blank = [F.lit(None).cast(k).alias(c) for c, k in table.dtypes if c != key]
+        return some.unionByName(none.select(*rows.columns, *blank))
+
+    joined = students.select("student_id", "housing", "award", "scholarship").join(costs, "student_id", "left")
+    has_room = F.col("housing").isNotNull() & ~F.col("housing").isin(V.HOUSING_PENDING, V.HOUSING_EXTERNAL)
+    joined = matched(joined, "housing", rents, F.coalesce(has_room, F.lit(False)))
+    for kind in ("award", "scholarship"):
+        joined = matched(joined, kind, aid(kind), F.col(kind).isNotNull())
 
     def zero(name: str) -> Column:
         return F.coalesce(F.col(name), F.lit(0))

@@ -13,8 +13,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import ratio
+from ..session import pin
 
 MICROS = 1_000_000
+# time blocks are at least so many spans long
+_SPANS = 8
 
 
 def _micros(stamp: str) -> Column:
@@ -35,6 +38,11 @@ def _with_lead_in(df: DataFrame, stamp: str, span: int, block: int) -> DataFrame
     )
 
 
+def _block(span: int, hours: int) -> int:
+    """Several spans long, so that only the rows near a block's end are copied."""
+    return max(hours * 3600 * MICROS, _SPANS * span)
+
+
 def velocity(
     transactions: DataFrame, company: str, stamp: str, limit: int, minutes: int, block_hours: int = 1
 ) -> DataFrame:
@@ -43,7 +51,7 @@ def velocity(
     The count includes the row itself and everything up to and at its instant.
     """
     span = minutes * 60 * MICROS
-    block = max(block_hours * 3600 * MICROS, span)
+    block = _block(span, block_hours)
     rows = _with_lead_in(transactions, stamp, span, block)
     recent = Window.partitionBy(company, "_block").orderBy("_at").rangeBetween(-span, 0)
     return (
@@ -64,7 +72,7 @@ def repeated_payments(
 ) -> DataFrame:
     """Transactions with an earlier one of the same `keys` (company, vendor, amount) within `minutes`."""
     span = minutes * 60 * MICROS
-    block = max(block_hours * 3600 * MICROS, span)
+    block = _block(span, block_hours)
     rows = _with_lead_in(transactions, stamp, span, block)
     earlier = Window.partitionBy(*keys, "_block").orderBy("_at").rangeBetween(-span, -1)
     return (
@@ -100,19 +108,26 @@ def extra_features(transactions: DataFrame, company: str, stamp: str, tie: str)
     category, and share of the amount in its department's spend.
 
     Previous times come from blocks of an hour plus the newest time of the last earlier hour
-    with rows; the two shares join pre-aggregated totals.  No window spans a company.
+    with rows.  All totals come from one table of hourly totals per category and department,
+    written once, so the transactions are read twice and no window spans a company.
     """
     rows = transactions.withColumn("_at", _micros(stamp)).withColumn("_hour", F.date_trunc("hour", stamp))
-    hours = rows.groupBy(company, "_hour").agg(F.max("_at").alias("_newest"))
+    totals = pin(
+        rows.groupBy(company, "_hour", "vendor_category", "department").agg(
+            F.max("_at").alias("_newest"), F.count(F.lit(1)).alias("_n"), F.sum("amount_usd").alias("_amount")
+        ),
+        "hourly",
+    )
     earlier = Window.partitionBy(company).orderBy("_hour")
+    hours = totals.groupBy(company, "_hour").agg(F.max("_newest").alias("_newest"))
     hours = hours.select(company, "_hour", F.lag("_newest").over(earlier).alias("_before_hour"))
     inside = Window.partitionBy(company, "_hour").orderBy("_at", tie)
     rows = rows.join(hours, [company, "_hour"], "inner").withColumn(
         "_previous", F.coalesce(F.lag("_at").over(inside), F.col("_before_hour"))
     )
-    by_category = transactions.groupBy(company, "vendor_category").agg(F.count(F.lit(1)).alias("_n_category"))
+    by_category = totals.groupBy(company, "vendor_category").agg(F.sum("_n").alias("_n_category"))
     by_company = by_category.groupBy(company).agg(F.sum("_n_category").alias("_n_company"))
-    by_department = transactions.groupBy(company, "department").agg(F.sum("amount_usd").alias("_department_total"))
+    by_department = totals.groupBy(company, "department").agg(F.sum("_amount").alias("_department_total"))
     return (
         rows.join(by_category, [company, "vendor_category"], "left")
         .join(by_company, company, "left")

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from martweave.operators import quality as Q
+from martweave.operators.distinct import with_distinct_counts
 from martweave.operators.funds import accept_in_order
 from martweave.operators.matching import match_by_rank
 from martweave.operators.ranges import range_lookup
@@ -83,6 +84,27 @@ def test_range_lookup(spark, salts):
     assert {(r.v, r.name) for r in got.collect()} == expected and got.count() == len(values)
 
 
+def test_wide_ranges_touch_few_blocks(spark):
+    ranges = [(0, 10, "a"), (1000, 2**60, "wide"), (2**60 + 1, 2**60 + 70_000, "b"), (-500, -1, "below")]
+    values = [0, 10, 11, 999, 1000, 2**40 + 3, 2**60, 2**60 + 1, 2**60 + 70_000, 2**60 + 70_001, -500, -501, -1, 2**62]
+    got = range_lookup(
+        spark.createDataFrame([(v,) for v in values], "v bigint"), spark.createDataFrame(ranges, "lo bigint, hi bigint, name string"),
+        "v", "lo", "hi", ["name"], block=64,
+    )
+    expected = {(v, next((n for lo, hi, n in ranges if lo <= v <= hi), None)) for v in values}
+    assert {(r.v, r.name) for r in got.collect()} == expected and got.count() == len(values)
+    none = range_lookup(spark.range(3), spark.createDataFrame([], "lo bigint, hi bigint, name string"), "id", "lo", "hi", ["name"])
+    assert [r.name for r in none.collect()] == [None] * 3
+
+
+def test_distinct_counts_without_expand(spark):
+    rows = [(1, "a", "x", 2), (1, "a", "y", 3), (1, "b", "x", 4), (2, None, "x", 1), (2, None, None, 1), (None, "a", "x", 5)]
+    df = spark.createDataFrame(rows, "g int, p string, s string, v int")
+    got = with_distinct_counts(df, ["g"], {"ps": "p", "ss": "s"}, {"_v": F.sum("v")}, {"v": F.sum("_v")})
+    assert {tuple(r) for r in got.collect()} == {(1, 2, 2, 9), (2, 0, 1, 2), (None, 1, 1, 5)}
+    assert "Expand" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def loop_accept(rows):
     left, verdicts = {}, {}
     for account, seq, debit, funds in sorted(rows, key=lambda r: r[1]):

@@ -8,7 +8,7 @@ from conftest import SMALL
 from martweave.catalog import all_checks, all_queries
 
 NAMES = list(all_queries())
-UNCHECKED = {"iforest_scores", "iforest_nodes", "iforest_report", "iforest_mean_scores"}
+UNCHECKED = {"iforest_scores", "iforest_report", "iforest_mean_scores"}
 
 
 @pytest.fixture(scope="module")
