@@ -71,22 +71,29 @@ _NODES = [
 _WALK_ROWS = 16
 
 
-@catalog.add(
-    "forest_walk",
-    f"""with recursive nodes(tree, node, feature, threshold, below, above, path) as (values {", ".join(map(str, _NODES))}),
-    x as (select transaction_id, [amount_usd, amount_to_baseline_ratio, log_amount, hour_of_day, day_of_week, is_weekend,
-      is_high_risk_vendor, vendor_category_encoded] v from ({spend.catalog.checks["features"]})),
+def walk_sql(source: str) -> str:
+    """SQL of (transaction_id, raw) for `source`(transaction_id, v): its features walked down the given trees."""
+    return f"""(with recursive nodes(tree, node, feature, threshold, below, above, path) as (values {", ".join(map(str, _NODES))}),
+    x as (select * from {source}),
     walk as (select transaction_id, v, tree, 0 node from x, (values (0), (1)) t(tree)
       union all select transaction_id, v, w.tree, if(v[n.feature + 1] <= n.threshold, n.below, n.above)
       from walk w join nodes n on n.tree = w.tree and n.node = w.node where n.feature >= 0)
-    select transaction_id, {rounded(f"-pow(2.0, -avg(path) / {float(average_path([_WALK_ROWS])[0])!r})", 9)} ml_raw_score
-    from walk w join nodes n on n.tree = w.tree and n.node = w.node where n.feature = -1 group by transaction_id""",
-)
+    select transaction_id, -pow(2.0, -avg(path) / {float(average_path([_WALK_ROWS])[0])!r}) raw
+    from walk w join nodes n on n.tree = w.tree and n.node = w.node where n.feature = -1 group by transaction_id)"""
+
+
+def given_forest(spark):
+    return spark.createDataFrame([(*n, _WALK_ROWS) for n in _NODES], forest.NODE_SCHEMA)
+
+
+_FEATURE_LIST = f"(select transaction_id, [{', '.join(V.FEATURE_NAMES)}] v from ({spend.catalog.checks['features']}))"
+
+
+@catalog.add("forest_walk", f"select transaction_id, {rounded('raw', 9)} ml_raw_score from {walk_sql(_FEATURE_LIST)}")
 def _(spark, folder):
     """All transactions scored by a given forest."""
-    nodes = spark.createDataFrame([(*n, _WALK_ROWS) for n in _NODES], forest.NODE_SCHEMA)
     features = P.transaction_features(spend.transactions(spark, folder))
-    scores = forest.with_raw_score(features, nodes, trees=2, sample_size=_WALK_ROWS)
+    scores = forest.with_raw_score(features, given_forest(spark))
     return plain(scores.select("transaction_id", "ml_raw_score"), {"ml_raw_score": 9})
 
 

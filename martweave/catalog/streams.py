@@ -8,14 +8,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .. import fixed_values as V
 from ..plans import commerce as C
 from ..sources.readers import message_files, topic_files
 from ..session import run_folder
 from ..streaming import commerce as commerce_stream
 from ..streaming import spend as spend_stream
-from . import shop, spend
+from . import model, shop, spend
 from . import standins as S
-from .common import Catalog, plain
+from .common import Catalog, big, plain, rounded
 
 catalog = Catalog()
 
@@ -30,14 +31,41 @@ def _messages(spark, folder, place: str):
     return message_files(spark, f"{place}/in", FILES_PER_BATCH)
 
 
-@catalog.add("stream_scored", spend.catalog.checks["parse_valid"].replace("select t.transaction_id, t.company_id, t.company_name", "select t.transaction_id"))
+_GOOD_SQL = f"""(select t.transaction_id, t.company_id, t.company_name, if(m.event_id % 50 = 9, null, 'smb') company_size_tier,
+  t.vendor_id, t.vendor_category, 'low' vendor_risk_tier, t."timestamp", if(m.event_id % 50 = 7, 1.0, t.amount_usd) amount_usd,
+  t.baseline_monthly_spend, t.ts from {S.MESSAGES.sql} m join {S.TRANSACTIONS.sql} t on t.event_id = m.event_id
+  where {spend._ERROR_SQL.replace('event_id', 'm.event_id')} is null)"""
+_GOOD_FEATURES = f"""(select transaction_id, [amount_usd, if(baseline_monthly_spend > 0, amount_usd / nullif(baseline_monthly_spend, 0), 0.0),
+  ln(1 + amount_usd), hour(ts), isodow(ts) - 1, (isodow(ts) >= 6)::int, 0,
+  coalesce(nullif(list_position({V.VENDOR_CATEGORIES}, vendor_category), 0) - 1, 0)] v from {_GOOD_SQL})"""
+_LOW, _HIGH = V.RAW_SCORE_BOUNDS
+
+
+@catalog.add(
+    "stream_scored",
+    f"""select transaction_id, company_id, company_name, company_size_tier, vendor_id, vendor_category, vendor_risk_tier,
+    "timestamp", amount_usd, baseline_monthly_spend, spike rule_spend_spike, risky rule_high_risk_vendor, night rule_off_hours,
+    round_sum rule_round_amount, {big('fired')} rule_flag_count, fired > 0 any_rule_triggered, {rounded('raw', 6)} ml_raw_score,
+    model_score ml_anomaly_score, {rounded('least(fired * 0.2, 0.4)', 4)} rule_contribution,
+    {rounded('least(1.0, model_score + least(fired * 0.2, 0.4))', 4)} final_risk_score,
+    {rounded('least(1.0, model_score + least(fired * 0.2, 0.4))', 4)} >= {V.RISK_FLAG_AT} risk_flag
+    from (select *, spike::int + risky::int + night::int + round_sum::int fired,
+      {rounded(f'1.0 - (greatest({_LOW}, least({_HIGH}, raw)) + 0.5) / 0.6', 4)} model_score
+      from (select g.*, raw,
+        baseline_monthly_spend > 0 and amount_usd > baseline_monthly_spend * {V.EXPECTED_SHARE_OF_BASELINE} * {V.SPEND_SPIKE_MULTIPLIER} spike,
+        vendor_risk_tier = 'high' and amount_usd > {V.HIGH_RISK_VENDOR_AMOUNT} risky, hour(ts) < {V.OFF_HOURS[1]} night,
+        amount_usd >= {V.ROUND_AMOUNT_FLOOR} and amount_usd % {V.ROUND_AMOUNT_STEP} = 0 round_sum
+        from {_GOOD_SQL} g join {model.walk_sql(_GOOD_FEATURES)} w using (transaction_id)))""",
+)
 def _(spark, folder):
+    """Messages decoded, scored by a given forest and by the rules, in several batches."""
     place = run_folder(spark, "scored")
     messages = _messages(spark, folder, place)
-    spend_stream.write_scored(messages, f"{place}/scored", f"{place}/refused", f"{place}/state").awaitTermination()
-    columns = (
-        "transaction_id company_size_tier vendor_id vendor_category vendor_risk_tier timestamp amount_usd baseline_monthly_spend"
-    ).split()
+    spend_stream.write_scored(
+        messages, f"{place}/scored", f"{place}/refused", f"{place}/state", model.given_forest(spark)
+    ).awaitTermination()
+    other = ["vendor_name", "currency", "payment_method", "department", "is_anomaly", "anomaly_type"]
+    columns = [c for c in spend_stream.SCORED_COLUMNS if c not in other]
     return plain(spark.read.parquet(f"{place}/scored").select(*columns))
 
 

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark import cloudpickle
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -177,16 +177,21 @@ def raw_scores(model: dict[str, np.ndarray], points: np.ndarray) -> np.ndarray:
     return -np.power(2.0, -mean_path / model["scale"][0])
 
 
+def shared_model(nodes: DataFrame, trees: int = V.FOREST_TREES, sample_size: int = V.FOREST_SAMPLE) -> Broadcast:
+    """The model packed and broadcast once, for callers that score many batches."""
+    return nodes.sparkSession.sparkContext.broadcast(_packed(nodes, trees, sample_size))
+
+
 def with_raw_score(
     df: DataFrame,
-    nodes: DataFrame,
+    nodes: DataFrame | Broadcast,
     features: Sequence[str] = tuple(V.FEATURE_NAMES),
     name: str = "ml_raw_score",
     trees: int = V.FOREST_TREES,
     sample_size: int = V.FOREST_SAMPLE,
 ) -> DataFrame:
-    """Adds the raw score; null where a feature is missing."""
-    model = df.sparkSession.sparkContext.broadcast(_packed(nodes, trees, sample_size))
+    """Adds the raw score; null where a feature is missing.  `nodes`: the node table or `shared_model` of it."""
+    model = nodes if isinstance(nodes, Broadcast) else shared_model(nodes, trees, sample_size)
 
     @F.pandas_udf("double")
     def score(*columns: pd.Series) -> pd.Series:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -9,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from .. import fixed_values as V
 from ..functions.messages import dead_letters, parse_transactions, valid_rows
 from ..functions.risk import with_features
-from ..operators.forest import with_raw_score
+from ..operators.forest import shared_model, with_raw_score
 from ..plans.spend import score_transactions, spend_windows
 
 # process what is there and stop; a running service passes {"processingTime": "30 seconds"} or the like
@@ -24,7 +25,7 @@ SCORED_COLUMNS = (
 ).split()
 
 
-def scored(transactions: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
+def scored(transactions: DataFrame, nodes: DataFrame | Broadcast | None = None) -> DataFrame:
     """Sound transactions with model score and rules; works on batches and streams.
 
     Without a model every row counts as unscored, which leaves the rules.
@@ -48,10 +49,12 @@ def write_scored(
     failure replaces its rows and does not add them twice.
     """
 
+    model = None if nodes is None else shared_model(nodes)
+
     def both(batch: DataFrame, number: int) -> None:
         parsed = parse_transactions(batch).persist()
         try:
-            good = scored(valid_rows(parsed), nodes)
+            good = scored(valid_rows(parsed), model)
             good.write.mode("overwrite").parquet(f"{scored_path}/batch={number}")
             dead_letters(parsed).write.mode("overwrite").json(f"{refused_path}/batch={number}")
         finally:
