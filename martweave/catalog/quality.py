@@ -282,15 +282,6 @@ def _(spark, folder):
     return plain(Q.run_rowwise("events", shop.events(spark, folder), checks))
 
 
-@catalog.add(
-    "quality_overall",
-    f"""select bool_and(success) success, count(*) filter (not success) failed_checks, count(*) checks
-    from ({catalog.checks['quality_fct_orders']})""",
-)
-def _(spark, folder):
-    return plain(Q.overall(catalog.queries["quality_fct_orders"](spark, folder)))
-
-
 # --- reconciliation and freshness -------------------------------------------------------------------
 
 
