@@ -9,12 +9,27 @@ from .common import Catalog, big, day, dbl, groups_sql, plain, quoted, rounded,
 
 catalog = Catalog()
 
-_INTS = (
-    "is_canceled lead_time arrival_date_year arrival_date_week_number arrival_date_day_of_month "
-    "stays_in_weekend_nights stays_in_week_nights adults children babies is_repeated_guest previous_cancellations "
-    "previous_bookings_not_canceled booking_changes agent company days_in_waiting_list required_car_parking_spaces "
-    "total_of_special_requests"
-).split()
+_INTS = [
+    "is_canceled",
+    "lead_time",
+    "arrival_date_year",
+    "arrival_date_week_number",
+    "arrival_date_day_of_month",
+    "stays_in_weekend_nights",
+    "stays_in_week_nights",
+    "adults",
+    "children",
+    "babies",
+    "is_repeated_guest",
+    "previous_cancellations",
+    "previous_bookings_not_canceled",
+    "booking_changes",
+    "agent",
+    "company",
+    "days_in_waiting_list",
+    "required_car_parking_spaces",
+    "total_of_special_requests",
+]
 
 
 def staged(spark, folder):

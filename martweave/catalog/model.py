@@ -31,8 +31,16 @@ def _(spark, folder):
     """All transactions scored by the fitted forest, with rules and combined risk."""
     nodes = fitted(spark, folder)
     rows = scored(spend.transactions(spark, folder).drop("ml_raw_score", "event_id", "ts"), nodes)
-    columns = "transaction_id ml_raw_score ml_anomaly_score rule_flag_count rule_contribution final_risk_score risk_flag"
-    return plain(rows.select(*columns.split()))
+    columns = [
+        "transaction_id",
+        "ml_raw_score",
+        "ml_anomaly_score",
+        "rule_flag_count",
+        "rule_contribution",
+        "final_risk_score",
+        "risk_flag",
+    ]
+    return plain(rows.select(*columns))
 
 
 @catalog.add(

@@ -242,10 +242,18 @@ def parsed(spark, folder):
     where {_ERROR_SQL.replace('event_id', 'm.event_id')} is null""",
 )
 def _(spark, folder):
-    columns = (
-        "transaction_id company_id company_name company_size_tier vendor_id vendor_category vendor_risk_tier "
-        "timestamp amount_usd baseline_monthly_spend"
-    ).split()
+    columns = [
+        "transaction_id",
+        "company_id",
+        "company_name",
+        "company_size_tier",
+        "vendor_id",
+        "vendor_category",
+        "vendor_risk_tier",
+        "timestamp",
+        "amount_usd",
+        "baseline_monthly_spend",
+    ]
     return plain(valid_rows(parsed(spark, folder)).select(*columns))
 
 

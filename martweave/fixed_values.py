@@ -7,15 +7,15 @@ reads these names and holds no literal business constants of its own.
 # --- spend monitoring --------------------------------------------------------
 
 REQUIRED_TRANSACTION_FIELDS = [
-    "amount_usd",
-    "baseline_monthly_spend",
-    "company_id",
-    "company_size_tier",
-    "timestamp",
     "transaction_id",
-    "vendor_category",
+    "company_id",
     "vendor_id",
+    "vendor_category",
     "vendor_risk_tier",
+    "amount_usd",
+    "timestamp",
+    "baseline_monthly_spend",
+    "company_size_tier",
 ]
 
 # Position in the list is the model's integer code.
@@ -193,10 +193,10 @@ LEDGER_TYPES = [
     "deposit",
     "withdrawal",
     "purchase",
-    "POS",
-    "payment",
     "cheque deposit",
     "cheque withdrawal",
+    "POS",
+    "payment",
     "transfer",
 ]
 MERCHANT_TYPES = ["purchase", "POS", "payment"]

@@ -13,14 +13,42 @@ from ..functions.ladders import at_least, member_of, text_flag
 from ..functions.numbers import share_pct, sum_if
 from ..operators.running import numbered_by_content
 
-BOOKING_COLUMNS = (
-    "hotel hotel_id hotel_name region is_canceled lead_time arrival_date_year arrival_date_month "
-    "arrival_date_week_number arrival_date_day_of_month stays_in_weekend_nights stays_in_week_nights "
-    "adults children babies meal market_segment distribution_channel is_repeated_guest "
-    "previous_cancellations previous_bookings_not_canceled reserved_room_type assigned_room_type "
-    "booking_changes deposit_type agent company days_in_waiting_list customer_type adr "
-    "required_car_parking_spaces total_of_special_requests reservation_status reservation_status_date"
-).split()
+BOOKING_COLUMNS = [
+    "hotel",
+    "hotel_id",
+    "hotel_name",
+    "region",
+    "is_canceled",
+    "lead_time",
+    "arrival_date_year",
+    "arrival_date_month",
+    "arrival_date_week_number",
+    "arrival_date_day_of_month",
+    "stays_in_weekend_nights",
+    "stays_in_week_nights",
+    "adults",
+    "children",
+    "babies",
+    "meal",
+    "market_segment",
+    "distribution_channel",
+    "is_repeated_guest",
+    "previous_cancellations",
+    "previous_bookings_not_canceled",
+    "reserved_room_type",
+    "assigned_room_type",
+    "booking_changes",
+    "deposit_type",
+    "agent",
+    "company",
+    "days_in_waiting_list",
+    "customer_type",
+    "adr",
+    "required_car_parking_spaces",
+    "total_of_special_requests",
+    "reservation_status",
+    "reservation_status_date",
+]
 
 DIMENSIONS = [
     "hotel",

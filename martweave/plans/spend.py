@@ -82,13 +82,38 @@ def enrich_transactions(staged: DataFrame) -> DataFrame:
     )
 
 
-FACT_COLUMNS = (
-    "transaction_id company_id vendor_id transacted_at transaction_date transaction_hour day_of_week "
-    "company_name company_size_tier baseline_monthly_spend vendor_name vendor_category vendor_risk_tier "
-    "department payment_method currency amount_usd amount_to_baseline_ratio risk_tier final_risk_score "
-    "ml_anomaly_score rule_flag_count risk_flag rule_spend_spike rule_high_risk_vendor rule_off_hours "
-    "rule_round_amount any_rule_triggered is_simulated_anomaly simulated_anomaly_type"
-).split()
+FACT_COLUMNS = [
+    "transaction_id",
+    "company_id",
+    "vendor_id",
+    "transacted_at",
+    "transaction_date",
+    "transaction_hour",
+    "day_of_week",
+    "company_name",
+    "company_size_tier",
+    "baseline_monthly_spend",
+    "vendor_name",
+    "vendor_category",
+    "vendor_risk_tier",
+    "department",
+    "payment_method",
+    "currency",
+    "amount_usd",
+    "amount_to_baseline_ratio",
+    "risk_tier",
+    "final_risk_score",
+    "ml_anomaly_score",
+    "rule_flag_count",
+    "risk_flag",
+    "rule_spend_spike",
+    "rule_high_risk_vendor",
+    "rule_off_hours",
+    "rule_round_amount",
+    "any_rule_triggered",
+    "is_simulated_anomaly",
+    "simulated_anomaly_type",
+]
 
 
 def transaction_facts(enriched: DataFrame) -> DataFrame:
@@ -142,11 +167,23 @@ def company_spend_summary(daily: DataFrame) -> DataFrame:
     )
 
 
-ALERT_COLUMNS = (
-    "transaction_id transacted_at company_id company_name company_size_tier vendor_name vendor_category "
-    "vendor_risk_tier department amount_usd baseline_monthly_spend amount_to_baseline_ratio "
-    "final_risk_score ml_anomaly_score risk_tier"
-).split()
+ALERT_COLUMNS = [
+    "transaction_id",
+    "transacted_at",
+    "company_id",
+    "company_name",
+    "company_size_tier",
+    "vendor_name",
+    "vendor_category",
+    "vendor_risk_tier",
+    "department",
+    "amount_usd",
+    "baseline_monthly_spend",
+    "amount_to_baseline_ratio",
+    "final_risk_score",
+    "ml_anomaly_score",
+    "risk_tier",
+]
 
 
 def fraud_alerts(facts: DataFrame) -> DataFrame:

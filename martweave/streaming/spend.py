@@ -16,13 +16,35 @@ from ..plans.spend import score_transactions, spend_windows
 # process what is there and stop; a running service passes {"processingTime": "30 seconds"} or the like
 AT_ONCE = {"availableNow": True}
 
-SCORED_COLUMNS = (
-    "transaction_id company_id company_name company_size_tier vendor_id vendor_name vendor_category "
-    "vendor_risk_tier amount_usd currency payment_method department timestamp is_anomaly anomaly_type "
-    "rule_spend_spike rule_high_risk_vendor rule_off_hours rule_round_amount rule_flag_count "
-    "any_rule_triggered ml_raw_score ml_anomaly_score rule_contribution final_risk_score risk_flag "
-    "baseline_monthly_spend"
-).split()
+SCORED_COLUMNS = [
+    "transaction_id",
+    "company_id",
+    "company_name",
+    "company_size_tier",
+    "vendor_id",
+    "vendor_name",
+    "vendor_category",
+    "vendor_risk_tier",
+    "amount_usd",
+    "currency",
+    "payment_method",
+    "department",
+    "timestamp",
+    "is_anomaly",
+    "anomaly_type",
+    "rule_spend_spike",
+    "rule_high_risk_vendor",
+    "rule_off_hours",
+    "rule_round_amount",
+    "rule_flag_count",
+    "any_rule_triggered",
+    "ml_raw_score",
+    "ml_anomaly_score",
+    "rule_contribution",
+    "final_risk_score",
+    "risk_flag",
+    "baseline_monthly_spend",
+]
 
 
 def scored(transactions: DataFrame, nodes: DataFrame | Broadcast | None = None) -> DataFrame:
