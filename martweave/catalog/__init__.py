@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-PARTS = ["marketplace", "customers", "hotel", "spend", "shop", "bank", "university", "quality", "declared", "model", "signals", "streams"]
+PARTS = ["marketplace", "customers", "hotel", "spend", "shop", "bank", "university", "quality", "declared", "stored", "model", "signals", "streams"]
 
 
 def _catalogs():
