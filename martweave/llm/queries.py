@@ -213,3 +213,27 @@ SELECT page_id, host, path, rule,
   coalesce(own, CASE WHEN coalesce(blocked, false) AND NOT coalesce(allowed, false) THEN 'block' ELSE 'allow' END) AS verdict
 FROM judged LEFT JOIN groups USING (node)
 """
+
+CHECKS["op4_decontamination"] = rf"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_AB}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents
+), b AS (
+  SELECT item_id::VARCHAR AS item, regexp_extract_all(translate(coalesce(text, ''), {_AB}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM benchmark WHERE item_id IS NOT NULL
+), items AS (
+  SELECT DISTINCT item, n, array_to_string(ws[p:p + n - 1], ' ') AS s
+  FROM (SELECT item, ws, n, unnest(range(1, len(ws) - n + 2)) AS p FROM (SELECT *, least(10, len(ws)) AS n FROM b WHERE len(ws) > 0))
+), places AS (
+  SELECT doc_id, n, p, array_to_string(ws[p:p + n - 1], ' ') AS s
+  FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS p FROM d, (SELECT DISTINCT n FROM items))
+), met AS (
+  SELECT doc_id, item, n, p FROM places JOIN items USING (n, s)
+), hit AS (
+  SELECT doc_id, count(DISTINCT i) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS i FROM met) GROUP BY doc_id
+), named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT doc_id, item FROM met) GROUP BY doc_id
+)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+"""

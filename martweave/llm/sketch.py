@@ -26,13 +26,14 @@ _SALTS = (0x2545F4914F6CDD1D, 0x8EBC6AF09C88C6E3)
 _SCHEMA = pa.schema([("row", pa.int32()), ("slice", pa.int32()), ("cells", pa.binary())])
 
 
-def bits_for(keys: int) -> int:
+def bits_for(keys: int, most: int = MAX_BITS) -> int:
     """Width (as a power of two) with at least eight cells per key, within the bounds.
 
-    `2**MAX_BITS` cells are 128 MB over both rows.  Beyond that the sketch fills up: it
-    overestimates more keys, which the exact pass then has to sort out, and still loses none.
+    `2**MAX_BITS` cells are 128 MB over both rows, enough for 67 million keys at that width.
+    Beyond that the sketch fills up: it overestimates more keys, which the exact pass then has
+    to sort out, and still loses none.  A cluster of larger executors can afford a higher `most`.
     """
-    return min(MAX_BITS, max(MIN_BITS, int(max(keys, 1) * 8 - 1).bit_length()))
+    return min(most, max(MIN_BITS, int(max(keys, 1) * 8 - 1).bit_length()))
 
 
 def cells(keys: np.ndarray, row: int, bits: int) -> np.ndarray:

@@ -193,10 +193,12 @@ def _covered(runs: DataFrame, length: int) -> DataFrame:
     )
 
 
-def removed_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def removed_spans(
+    texts: DataFrame, length: int = LENGTH, gram: int = GRAM, max_bits: int = sketch.MAX_BITS
+) -> DataFrame:
     """Word ranges to remove, per (`_id`, `_key`): `_spans` of `_start` and `_stop`, ordered."""
     size = texts.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
-    bits = sketch.bits_for(size // _BYTES_PER_ANCHOR)
+    bits = sketch.bits_for(size // _BYTES_PER_ANCHOR, max_bits)
     first = _repeated_runs(texts, bits, length, gram)
     rivals = kept(_with_segments(texts, first), "rivals")
     second = _repeated_runs(rivals, bits, length, gram)
@@ -250,11 +252,17 @@ def _cut(text_column: str):
 
 
 def remove_repeats(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", length: int = LENGTH, gram: int = GRAM
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    length: int = LENGTH,
+    gram: int = GRAM,
+    max_bits: int = sketch.MAX_BITS,
 ) -> DataFrame:
     """`docs` with `n_words`, `n_removed` and `kept_text` (the kept words joined by one space).
 
-    Columns of these names are replaced; all others pass through.
+    Columns of these names are replaced; all others pass through.  `max_bits` bounds the size of
+    the sketch, see `sketch.bits_for`; it has no influence on the result.
     """
     if not 1 <= gram <= length:
         raise ValueError("gram must be from 1 to length")
@@ -266,7 +274,7 @@ def remove_repeats(
         doc_field(text_column).alias("_text"),
     )
     texts = keyed.where("_id is not null and _text is not null").select("_id", "_key", "_text")
-    spans = removed_spans(texts, length, gram)
+    spans = removed_spans(texts, length, gram, max_bits)
     none = F.array().cast("array<struct<_start:int,_stop:int>>")
     ready = keyed.join(spans, ["_id", "_key"], "left").select("_doc", F.coalesce("_spans", none).alias("_spans"))
     layout = keyed.select("_doc").schema.add("n_words", "long").add("n_removed", "long").add("kept_text", "string")
