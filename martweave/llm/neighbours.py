@@ -118,11 +118,15 @@ def _needed_share(forest: Forest, sample: np.ndarray, recall: float, k: int) ->
     return float(np.quantile(np.concatenate(needed), recall)) if needed else 1.0
 
 
-def open_leaves(forest: Forest, sizes: np.ndarray, query: np.ndarray) -> list[tuple[int, int]]:
-    """(tree, leaf) in the order of one queue over all trees, until enough rows are opened."""
+def open_leaves(forest: Forest, sizes: np.ndarray, query: np.ndarray, k: int) -> list[tuple[int, int]]:
+    """(tree, leaf) in the order of one queue over all trees, until enough rows are opened.
+
+    A row is met at most once per tree, so `trees * (k + 1)` rows hold k besides the query.
+    """
     trees, depth, _ = forest.directions.shape
     spots = (forest.directions @ query).tolist()
-    thresholds, limit, got = forest.thresholds, forest.share * sizes.sum(), 0
+    thresholds, got = forest.thresholds, 0
+    limit = max(forest.share * sizes.sum(), trees * (k + 1))
     queue = [(0.0, t, 0, 0) for t in range(trees)]
     opened = []
     while queue and (got < limit or not opened):
@@ -161,7 +165,7 @@ def _units(parts: np.ndarray, t, leaf, part) -> np.ndarray:
     return begin[t, leaf] + part
 
 
-def _placed(shared, size: int):
+def _placed(shared, size: int, k: int):
     """Rows go to one unit per tree, queries to all parts of the leaves they open."""
 
     def task(batches):
@@ -178,7 +182,7 @@ def _placed(shared, size: int):
                 units = _units(parts, t, leaves[:, t], part.astype(np.int64))
                 yield _routed(units, np.zeros(len(ids), np.int8), ids, vectors)
             for i in np.flatnonzero(asks):
-                t, leaf = np.array(open_leaves(forest, sizes, vectors[i])).T
+                t, leaf = np.array(open_leaves(forest, sizes, vectors[i], k)).T
                 n = parts[t, leaf]
                 units = np.repeat(_units(parts, t, leaf, 0), n) + (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
                 yield _routed(units, np.ones(len(units), np.int8), np.full(len(units), ids[i]), vectors[[i] * len(units)])
@@ -286,7 +290,7 @@ def search(
     for t, node, n in counts.groupBy("tree", "leaf").agg(F.sum("n")).collect():
         sizes[t, node] = n
     index = spark.sparkContext.broadcast((forest, sizes, np.maximum(1, -(-sizes // PART))))
-    placed = every.mapInArrow(_placed(index, size), "_unit long, _kind tinyint, _id long, _vector array<double>")
+    placed = every.mapInArrow(_placed(index, size, k), "_unit long, _kind tinyint, _id long, _vector array<double>")
     met = placed.repartition("_unit").sortWithinPartitions("_unit", "_kind")
     found = met.mapInArrow(_measured(size, k), "query_id long, vec_id long, score double")
     by_nearness = Window.partitionBy("query_id").orderBy("score", "vec_id")

@@ -168,12 +168,6 @@ def owners(first: np.ndarray) -> np.ndarray:
     return np.repeat(np.arange(len(first) - 1), np.diff(first))
 
 
-def ranges(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the runs of true flags."""
-    edges = np.flatnonzero(np.diff(np.concatenate(([False], flags, [False])).astype(np.int8)))
-    return edges[::2], edges[1::2]
-
-
 def joined(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> bytes:
     """The given words joined by one space."""
     raw = data.tobytes()

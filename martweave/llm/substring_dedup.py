@@ -4,17 +4,18 @@ A window is `length` consecutive words.  A word goes if any window over it also
 document with a smaller id.  The steps:
 
 1. *Prefilter.*  Every window has an anchor: the smallest hash among its `gram`-word spans.
-   Equal windows have equal anchors, and about one anchor serves `length / 2` windows.  A
-   count-min sketch (`sketch.py`) counts in how many documents each anchor occurs; the
-   partitions' sketches are merged and broadcast.  It only overestimates, so a window whose
-   anchor is estimated to occur in one document is unique: none that repeats is lost.
-2. *Runs.*  Consecutive windows estimated repeated form a run.  Runs with the same words are
-   grouped by a 128-bit digest; all but those of the smallest id are covered whole.  What
-   copies have in common so costs one row per copy, not one per window.
-3. *Second sketch.*  The remaining runs go through steps 1 and 2 once more: a document that
-   was only ever copied whole has no rival left and drops out.
-4. *Exact pass.*  The windows of the runs that are left are grouped by a 128-bit digest, and
-   those that start in a smaller id too are covered.
+   Equal windows have equal anchors, and one anchor serves a stretch of about `length / 2`
+   windows.  A count-min sketch (`sketch.py`) counts in how many documents each anchor occurs;
+   the partitions' sketches are merged and broadcast.  It only overestimates, so a window
+   whose anchor is estimated to occur in one document is unique: none that repeats is lost.
+2. *Anchors.*  The stretches estimated repeated are grouped exactly by anchor; those that occur
+   under one id only, which a full sketch lets through, end here at the cost of a row each.
+3. *Runs.*  Consecutive windows that are left form a run.  Runs with the same words are grouped
+   by a 128-bit digest; all but those of the smallest id are covered whole.  What copies have
+   in common so costs one row per copy, not one per window.
+4. *Windows.*  A second sketch over the runs that are left drops those whose copies are all
+   covered.  The other windows are grouped exactly by a 128-bit digest, and those that start in
+   a smaller id too are covered.
 
 Grouping is a minimum with map-side combination, joined back to the rows, so a passage shared
 by a third of all documents is never gathered in one task.
@@ -99,17 +100,45 @@ def _anchor_keys(length: int, gram: int):
     return keys
 
 
-def _runs_of(planes, bits: int, length: int, gram: int):
+def _keys_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    return tuple(np.asarray(batch.column(batch.schema.names.index(n))) for n in ("_id", "_key"))
+
+
+def _anchored(planes, bits: int, length: int, gram: int):
+    """Stretches of windows with the same anchor, where it is estimated repeated."""
+
     def task(batches):
         for batch in batches:
-            ids = np.asarray(batch.column(batch.schema.names.index("_id")))
-            keys = np.asarray(batch.column(batch.schema.names.index("_key")))
-            for low, data, found, hashes, at, anchor in _stretches(batch, length, gram):
+            ids, keys = _keys_of(batch)
+            for low, _, found, _, at, anchor in _stretches(batch, length, gram):
+                text = np.searchsorted(found.first, at, "right") - 1
+                begins = np.ones(len(at), bool)
+                begins[1:] = (at[1:] != at[:-1] + 1) | (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])
+                head = np.flatnonzero(begins)
+                count = np.diff(np.append(head, len(at)))
+                flagged = sketch.reached(planes.value, anchor[head], bits)
+                head, count = head[flagged], count[flagged]
+                text = text[head]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        _signed(anchor[head]),
+                        pa.array(ids[low + text]),
+                        pa.array(keys[low + text]),
+                        pa.array((at[head] - found.first[text]).astype(np.int32)),
+                        pa.array(count.astype(np.int32)),
+                    ],
+                    names=["_anchor", "_id", "_key", "_start", "_n"],
+                )
+
+    return task
+
+
+def _runs_of(length: int, gram: int):
+    def task(batches):
+        for batch in batches:
+            ids, keys = _keys_of(batch)
+            for low, data, found, hashes, at, _ in _stretches(batch, length, gram):
                 text = np.searchsorted(found.first, at, "right") - 1
-                flagged = sketch.reached(planes.value, anchor, bits)
-                at, text = at[flagged], text[flagged]
-                if not len(at):
-                    continue
                 begins = np.ones(len(at), bool)
                 begins[1:] = (at[1:] != at[:-1] + 1) | (text[1:] != text[:-1])
                 head = np.flatnonzero(begins)
@@ -135,12 +164,16 @@ def _runs_of(planes, bits: int, length: int, gram: int):
     return task
 
 
-def _windows_of(length: int, gram: int):
+def _windows_of(planes, bits: int, length: int, gram: int):
+    """The windows whose anchor is estimated repeated."""
+
     def task(batches):
         for batch in batches:
-            ids = np.asarray(batch.column(batch.schema.names.index("_id")))
-            keys = np.asarray(batch.column(batch.schema.names.index("_key")))
-            for low, data, found, hashes, at, _ in _stretches(batch, length, gram):
+            ids, keys = _keys_of(batch)
+            for low, data, found, hashes, at, anchor in _stretches(batch, length, gram):
+                at = at[sketch.reached(planes.value, anchor, bits)]
+                if not len(at):
+                    continue
                 text = np.searchsorted(found.first, at, "right") - 1
                 digest = [
                     scan.Prefix(h, w).every(length)[at] for w, h in ((0, hashes), (1, scan.word_hashes(data, found, 1)))
@@ -159,17 +192,6 @@ def _windows_of(length: int, gram: int):
     return task
 
 
-def _repeated_runs(texts: DataFrame, bits: int, length: int, gram: int) -> DataFrame:
-    """Runs of windows estimated repeated, each with the smallest id that has the same words."""
-    planes = sketch.build(texts, _anchor_keys(length, gram), bits)
-    shared = texts.sparkSession.sparkContext.broadcast(planes)
-    runs = kept(texts.mapInArrow(_runs_of(shared, bits, length, gram), _RUNS), "runs")
-    shared.unpersist()
-    same = ["_hi", "_lo", "_n"]
-    several = kept(_several(runs, same), "several")
-    return kept(runs.join(several, same, "left").withColumn("_first", F.coalesce("_first", "_id")), "owned")
-
-
 def _several(rows: DataFrame, same: list[str]) -> DataFrame:
     """The smallest id of each digest that occurs under more than one id.
 
@@ -179,11 +201,9 @@ def _several(rows: DataFrame, same: list[str]) -> DataFrame:
     return ends.where("_first < _last").drop("_last")
 
 
-def _with_segments(texts: DataFrame, runs: DataFrame) -> DataFrame:
-    """The texts that own runs, with those runs (as many as the text has room for)."""
-    own = runs.where("_id = _first").groupBy("_id", "_key").agg(
-        F.sort_array(F.collect_set(F.struct("_start", "_n"))).alias("_segments")
-    )
+def _with_segments(texts: DataFrame, stretches: DataFrame) -> DataFrame:
+    """The texts that have stretches, with those (as many as the text has room for)."""
+    own = stretches.groupBy("_id", "_key").agg(F.sort_array(F.collect_set(F.struct("_start", "_n"))).alias("_segments"))
     return texts.join(own, ["_id", "_key"])
 
 
@@ -199,19 +219,33 @@ def removed_spans(
     """Word ranges to remove, per (`_id`, `_key`): `_spans` of `_start` and `_stop`, ordered."""
     size = texts.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     bits = sketch.bits_for(size // _BYTES_PER_ANCHOR, max_bits)
-    first = _repeated_runs(texts, bits, length, gram)
-    rivals = kept(_with_segments(texts, first), "rivals")
-    second = _repeated_runs(rivals, bits, length, gram)
-    last = _with_segments(rivals.drop("_segments"), second)
+    context = texts.sparkSession.sparkContext
+    # anchors: estimated, then exactly
+    planes = context.broadcast(sketch.build(texts, _anchor_keys(length, gram), bits))
+    anchored = kept(
+        texts.mapInArrow(_anchored(planes, bits, length, gram), "_anchor long, _id long, _key long, _start int, _n int"),
+        "anchored",
+    )
+    planes.unpersist()
+    several = kept(_several(anchored, ["_anchor"]), "several")
+    rivals = kept(_with_segments(texts, anchored.join(several, "_anchor").drop("_first")), "rivals")
+    # runs: the smallest id owns one, the others are copies
+    same = ["_hi", "_lo", "_n"]
+    runs = kept(rivals.mapInArrow(_runs_of(length, gram), _RUNS), "runs")
+    several = kept(_several(runs, same), "several")
+    runs = kept(runs.join(several, same, "left").withColumn("_first", F.coalesce("_first", "_id")), "runs")
+    owners = kept(_with_segments(rivals.drop("_segments"), runs.where("_id = _first")), "owners")
+    # windows: estimated among the owners, then exactly
+    planes = context.broadcast(sketch.build(owners, _anchor_keys(length, gram), bits))
     windows = kept(
-        last.mapInArrow(_windows_of(length, gram), "_id long, _key long, _start int, _hi long, _lo long"), "windows"
+        owners.mapInArrow(_windows_of(planes, bits, length, gram), "_id long, _key long, _start int, _hi long, _lo long"),
+        "windows",
     )
+    planes.unpersist()
     same = ["_hi", "_lo"]
     several = kept(_several(windows, same), "several")
     late = windows.join(several, same).withColumn("_n", F.lit(1))
-    covered = kept(
-        _covered(first, length).unionByName(_covered(second, length)).unionByName(_covered(late, length)), "covered"
-    )
+    covered = kept(_covered(runs, length).unionByName(_covered(late, length)), "covered")
     return covered.groupBy("_id", "_key").agg(F.sort_array(F.collect_list(F.struct("_start", "_stop"))).alias("_spans"))
 
 
