@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as V
 from ..functions.text import full_name
-from ..operators.ranking import page_totals
+from ..operators.ranking import page_after, page_totals
 from ..plans import university as U
 from ..plans import velocity
 from . import standins as S
@@ -514,6 +514,17 @@ def _(spark, folder):
     return plain(U.students_totals(students(spark, folder), year=2022))
 
 
+@catalog.add(
+    "students_after",
+    f"""select student_id, last_name, first_name from {S.STUDENTS.sql} where (last_name, first_name, student_id) > ('L20', 'F31', 'S5')
+    order by last_name, first_name, student_id limit 15""",
+)
+def _(spark, folder):
+    """The page that follows a given last row, however deep it lies."""
+    rows = page_after(students(spark, folder), ["last_name", "first_name", "student_id"], ["L20", "F31", "S5"], 15)
+    return plain(rows.select("student_id", "last_name", "first_name"))
+
+
 @catalog.add(
     "rooms_page",
     f"""select room_id, {big('rent')} rent, status from {S.ROOMS.sql} where status = '{V.ROOM_STATUSES[1]}' order by rent, room_id limit 20""",

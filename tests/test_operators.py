@@ -10,7 +10,7 @@ from martweave.operators.distinct import with_distinct_counts
 from martweave.operators.funds import accept_in_order
 from martweave.operators.matching import match_by_rank
 from martweave.operators.ranges import range_lookup
-from martweave.operators.ranking import page, page_totals, top_per_group
+from martweave.operators.ranking import page, page_after, page_totals, top_per_group
 from martweave.operators.running import next_ids, numbered_by_content, ranked, running_sums
 from martweave.operators.upsert import merge_upsert, read_stored, store_upsert
 
@@ -202,6 +202,16 @@ def test_pages(spark):
     assert page_totals(df, 10).first().total_pages == 3
 
 
+def test_pages_go_on_from_the_last_key(spark):
+    rows = [(a, b) for a in (None, "x", "y") for b in (None, 1, 2)]
+    df = spark.createDataFrame(rows, "a string, b int").repartition(3)
+    seen, last = [], None
+    while got := page_after(df, ["a", "b"], last, 2).collect():
+        seen += [tuple(r) for r in got]
+        last = tuple(got[-1])
+    assert seen == rows
+
+
 def test_quality_verdicts(spark):
     df = spark.createDataFrame([(1, "a", 5.0), (1, "b", None), (2, None, -1.0)], "k int, s string, v double")
     checks = [
