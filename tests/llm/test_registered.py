@@ -43,7 +43,7 @@ def test_pipeline_stages(spark):
     """Each stage against a plain version of itself on what its predecessor kept."""
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     odd = spark.createDataFrame(
-        [(900001, "12 34 !!", None, "src0", 8), (900002, None, "en", None, 0), (None, "the of and to in was for that", "en", "src1", 29)],
+        [(900003, "".join(chr(0x4E00 + 37 * i % 9000) for i in range(400)), None, "src0", 400), (900001, "12 34 !!", None, "src0", 8), (900002, None, "en", None, 0), (None, "the of and to in was for that", "en", "src1", 29)],
         docs.schema,
     )
     docs = docs.unionByName(odd)
@@ -53,9 +53,9 @@ def test_pipeline_stages(spark):
     first = stages["language"](spark, docs, SMALL)
     assert first.columns == docs.columns
     model = language.fit(docs.where(language.learnable()))
-    refused = language.predict(docs, model).where("lang_pred = 'und' or bits_per_byte >= 8").select("doc_id")
-    assert {r.doc_id for r in refused.collect()} == {900001, 900002}
-    assert first.count() == docs.count() - 2
+    refused = language.predict(docs, model).where("lang_pred = 'und' or (bits_per_byte >= 8 and octet_length(text) >= 64)")
+    assert {r.doc_id for r in refused.select("doc_id").collect()} == {900001, 900002, 900003}
+    assert first.count() == docs.count() - 3
 
     rows = first.collect()
     root = groups([print_of(r.text) for r in rows], 3)

@@ -51,6 +51,11 @@ def test_short_windows_over_random_words(spark):
     assert found(df, length=1, gram=1) == expected(pairs, 1)
 
 
+def test_a_full_sketch_changes_nothing(odd, monkeypatch):
+    monkeypatch.setattr(sketch, "reached", lambda planes, keys, bits: keys == keys)
+    assert found(odd) == expected([r[:2] for r in rows()], 50)
+
+
 def test_blocks_do_not_change_words():
     import pyarrow as pa
 
