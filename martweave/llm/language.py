@@ -112,7 +112,8 @@ def fit(
     ids = usable.select("_id", "_label", draw.alias("_draw"))
     # a first cut by hash leaves some `_SPARE * rows` ids of a language, however many it has
     share = ids.groupBy("_label").agg((F.lit(float(_SPARE * rows)) / F.count(F.lit(1))).alias("_share"))
-    near = ids.join(share, "_label").where(F.col("_draw") < F.col("_share") * _HASH_SPACE)
+    # one row per language; the model holds far more for each
+    near = ids.join(F.broadcast(share), "_label").where(F.col("_draw") < F.col("_share") * _HASH_SPACE)
     by_draw = Window.partitionBy("_label").orderBy("_draw", "_id")
     chosen = near.withColumn("_n", F.row_number().over(by_draw)).where(F.col("_n") <= rows)
     # at most `rows` ids per language

@@ -61,7 +61,19 @@ def test_copies_follow_the_running_sum(spark):
             assert r.copies == math.floor((n + 1) * expected + offset) - math.floor(n * expected + offset)
             total += r.taken
         assert abs(total - own[0].target) <= 14
-    assert mixing.emitted(mixing.mix(df)).count() == sum(r.copies for r in mixing.mix(df).collect())
+
+
+def test_emitted_rows_are_the_copies_drawn(odd, nothing):
+    drawn = mixing.mix(odd).collect()
+    rows = mixing.mix_rows(odd)
+    assert rows.columns == [*odd.columns, "copy"]
+    got = rows.collect()
+    for key in {(r.doc_id, r.text) for r in drawn}:
+        copies = [r.copies for r in drawn if (r.doc_id, r.text) == key]
+        assert sorted(r["copy"] for r in got if (r.doc_id, r.text) == key) == sorted(
+            n for c in copies for n in range(1, c + 1)
+        )
+    assert mixing.mix_rows(nothing).collect() == []
 
 
 def test_targets_stop_at_what_a_source_has(spark):
