@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .sampling import drawn
+
 TREES = 6
 LEAF = 64
 SAMPLE = 16_384
@@ -281,8 +283,8 @@ def search(
         return empty
     size, rows = common
     every = every.where(F.size("_vector") == size)
-    drawn = every.orderBy(F.xxhash64("_id", F.lit(seed)), "_id").limit(sample).select("_vector").toArrow()
-    forest = plant(_matrix(drawn.column(0).combine_chunks(), size), rows, trees, leaf, recall, k, seed)
+    some = drawn(every, "_id", sample, rows, seed).select("_vector").toArrow()
+    forest = plant(_matrix(some.column(0).combine_chunks(), size), rows, trees, leaf, recall, k, seed)
     shared = spark.sparkContext.broadcast(forest)
     counts = every.mapInArrow(_counted(shared, size), "tree int, leaf long, n long")
     sizes = np.zeros((trees, 1 << forest.directions.shape[1]), np.int64)

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import scan
+from .sampling import drawn
 from .store import doc_field, packed, unpacked
 
 BITS = 18
@@ -112,15 +113,18 @@ def fit(
     )
     texts = docs.select(F.col(id_column).alias("_id"), F.col(text_column).alias("_text")).where("_text is not null")
     there = known.join(texts.select("_id").distinct(), "_id", "left_semi")
-    draw = F.xxhash64("_id", F.lit(seed))
-    parts = [there.where(F.col("toxic") == kind).orderBy(draw, "_id").limit(n) for kind, n in ((1, positive), (0, negative))]
+    total = {r.toxic: r.n for r in there.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    parts = [
+        drawn(there.where(F.col("toxic") == kind), "_id", wanted, total.get(kind, 0), seed)
+        for kind, wanted in ((1, positive), (0, negative))
+    ]
     # at most `positive + negative` ids
     chosen = F.broadcast(parts[0].unionByName(parts[1]))
     sample = texts.join(chosen, "_id").select("toxic", "_text")
-    share = there.agg(F.avg("toxic")).first()[0]
+    share = total.get(1, 0) / max(sum(total.values()), 1)
     bags = sample.mapInArrow(_bags, "toxic int, rows binary, n binary")
     # the sample is bounded, so one task holds its bags
-    trained = bags.repartition(1).mapInArrow(_trained(share or 0.0, seed), "weight binary, bias double").collect()
+    trained = bags.repartition(1).mapInArrow(_trained(share, seed), "weight binary, bias double").collect()
     if not trained:
         return train([], [], np.zeros(0, np.int64), 0.0, seed)
     return Model(np.frombuffer(trained[0].weight, np.float32), trained[0].bias)
