@@ -11,8 +11,18 @@ from ..session import run_folder
 def kept(df: DataFrame, label: str) -> DataFrame:
     """`df`, written below `spark.checkpoint.dir` and read back; cuts the lineage."""
     path = run_folder(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored.kept_path = path
+    return stored
+
+
+def forget(*stored: DataFrame) -> None:
+    """Deletes tables that `kept` wrote and that nothing will read again."""
+    for df in stored:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.kept_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def packed(df: DataFrame) -> DataFrame:

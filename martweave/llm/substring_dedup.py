@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import scan, sketch
-from .store import doc_field, kept, packed, unpacked
+from .store import doc_field, forget, kept, packed, unpacked
 
 LENGTH = 50
 GRAM = 10
@@ -229,12 +229,14 @@ def removed_spans(
     planes.unpersist()
     several = kept(_several(anchored, ["_anchor"]), "several")
     rivals = kept(_with_segments(texts, anchored.join(several, "_anchor").drop("_first")), "rivals")
+    forget(anchored, several)
     # runs: the smallest id owns one, the others are copies
     same = ["_hi", "_lo", "_n"]
-    runs = kept(rivals.mapInArrow(_runs_of(length, gram), _RUNS), "runs")
-    several = kept(_several(runs, same), "several")
-    runs = kept(runs.join(several, same, "left").withColumn("_first", F.coalesce("_first", "_id")), "runs")
+    found = kept(rivals.mapInArrow(_runs_of(length, gram), _RUNS), "found")
+    several = kept(_several(found, same), "several")
+    runs = kept(found.join(several, same, "left").withColumn("_first", F.coalesce("_first", "_id")), "runs")
     owners = kept(_with_segments(rivals.drop("_segments"), runs.where("_id = _first")), "owners")
+    forget(found, several, rivals)
     # windows: estimated among the owners, then exactly
     planes = context.broadcast(sketch.build(owners, _anchor_keys(length, gram), bits))
     windows = kept(
@@ -242,10 +244,12 @@ def removed_spans(
         "windows",
     )
     planes.unpersist()
+    forget(owners)
     same = ["_hi", "_lo"]
     several = kept(_several(windows, same), "several")
     late = windows.join(several, same).withColumn("_n", F.lit(1))
     covered = kept(_covered(runs, length).unionByName(_covered(late, length)), "covered")
+    forget(runs, windows, several)
     return covered.groupBy("_id", "_key").agg(F.sort_array(F.collect_list(F.struct("_start", "_stop"))).alias("_spans"))
 
 
