@@ -29,7 +29,7 @@ def known_language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFra
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Keeps one document of each group of near copies, one with the smallest id."""
-    return simhash.near_duplicates(docs).where("is_first").select(*docs.columns)
+    return simhash.one_per_group(docs)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

@@ -21,11 +21,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.running import numbered_by_content
-from .store import doc_field, kept, packed, unpacked
+from .store import KEYS, doc_field, kept, nth_of_equal_rows, packed, row_keys, unpacked
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -115,14 +115,9 @@ def mix_rows(
     Only ids, sizes and sources are sorted and joined with the targets; whole rows move once.  A
     row is known by a 128-bit digest of all its columns; equal rows share the copies drawn for them.
     """
-    keys = ["_k0", "_k1"]
-
-    def digest(columns: list) -> list:
-        return [F.xxhash64(F.lit(n), *columns).alias(key) for n, key in enumerate(keys)]
-
     drawn = mix(
         docs.select(
-            *digest([F.col(f"`{c}`") for c in docs.columns]),
+            *row_keys([F.col(f"`{c}`") for c in docs.columns]),
             F.col(f"`{source_column}`").alias("_source"),
             F.col(f"`{text_column}`").alias("_text"),
             F.col(f"`{id_column}`").alias("_id"),
@@ -130,12 +125,11 @@ def mix_rows(
         "_source",
         "_text",
         "_id",
-        carry=keys,
+        carry=list(KEYS),
         **options,
     )
-    copies = drawn.groupBy(*keys).agg(F.sort_array(F.collect_list("copies")).alias("_copies"))
-    rows = packed(docs).select("_doc", *digest([doc_field(c) for c in docs.columns]))
-    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
-    taken = rows.join(copies, keys).withColumn("_nth", nth)
+    copies = drawn.groupBy(*KEYS).agg(F.sort_array(F.collect_list("copies")).alias("_copies"))
+    rows = packed(docs).select("_doc", *row_keys([doc_field(c) for c in docs.columns]))
+    taken = rows.join(copies, list(KEYS)).withColumn("_nth", nth_of_equal_rows())
     emitted = taken.withColumn("_n", F.element_at("_copies", F.col("_nth"))).where("_n > 0")
     return unpacked(emitted.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "_n"))), docs, "copy")

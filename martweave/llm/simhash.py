@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from . import scan
 from .components import components
-from .store import doc_field, kept, packed, unpacked
+from .store import KEYS, doc_field, kept, nth_of_equal_rows, packed, row_keys, unpacked
 
 SHINGLE = 3
 RADIUS = 3
@@ -298,6 +298,23 @@ def near_duplicates(
     return unpacked(named, wanted, "fingerprint", "component_id", "is_first")
 
 
+def one_per_group(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
+    """One row of `docs` per group, one with the smallest id.
+
+    Only fingerprints, ids and digests of rows are stored and grouped; whole rows move once.
+    """
+    narrow = docs.select(
+        *row_keys([F.col(f"`{c}`") for c in docs.columns]),
+        F.col(f"`{id_column}`").alias("_id"),
+        F.col(f"`{text_column}`").alias("_text"),
+    )
+    marked = near_duplicates(narrow, "_id", "_text", carry=list(KEYS), **options)
+    first = marked.where("is_first").select(*KEYS)
+    rows = packed(docs).select("_doc", *row_keys([doc_field(c) for c in docs.columns]))
+    chosen = rows.join(first, list(KEYS)).withColumn("_nth", nth_of_equal_rows()).where("_nth = 1")
+    return unpacked(chosen, docs)
+
+
 def grouped(marked: DataFrame, radius: int = RADIUS) -> DataFrame:
     """Per distinct `_mark` the smallest `_id` of its group, and the `_row` that has it."""
     first = F.min(F.struct(F.col("_id").isNull(), F.col("_id").alias("id"), F.col("_row").alias("row")))

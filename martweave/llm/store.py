@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import run_folder
@@ -38,3 +38,16 @@ def unpacked(df: DataFrame, like: DataFrame, *added: str) -> DataFrame:
     """The columns of `like` again, and those added, which replace columns of the same name."""
     taken = {a.lower() for a in added}
     return df.select(*[doc_field(c).alias(c) for c in like.columns if c.lower() not in taken], *added)
+
+
+KEYS = ("_k0", "_k1")
+
+
+def row_keys(columns: list[Column]) -> list[Column]:
+    """A 128-bit digest of a whole row as two columns: equal rows have equal keys."""
+    return [F.xxhash64(F.lit(n), *columns).alias(key) for n, key in enumerate(KEYS)]
+
+
+def nth_of_equal_rows() -> Column:
+    """Numbers equal rows from 1; joined by `KEYS` before, this needs no further shuffle."""
+    return F.row_number().over(Window.partitionBy(*KEYS).orderBy(*KEYS))

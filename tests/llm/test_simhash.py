@@ -44,8 +44,15 @@ def test_odd_rows(odd):
     assert sorted(firsts) == sorted(set(root))
 
 
+    chosen = simhash.one_per_group(odd)
+    assert chosen.columns == odd.columns
+    firsts = [(r.doc_id, r.text) for r in done if r.is_first]
+    assert sorted(firsts, key=str) == sorted([(r.doc_id, r.text) for r in chosen.collect()], key=str)
+
+
 def test_no_rows(nothing):
     assert simhash.near_duplicates(nothing).collect() == []
+    assert simhash.one_per_group(nothing).collect() == []
 
 
 def near_marks(n, seed):
