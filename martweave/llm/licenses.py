@@ -1,14 +1,14 @@
-"""License scan: phrases, and notices found through a positional index of their rare words.
+"""License scan: phrases, and notices found by the rarest word of their key phrases.
 
-*Index.*  The words of all notice templates, each with its (template, position) postings.  How
-rare a word is comes from the corpus: the documents that hold it are counted over the whole
-table.
+*Index.*  The words of all notice templates, and the places of each template's mandatory key
+phrases.  How rare a word is comes from the corpus: the documents that hold it are counted over
+the whole table.
 
-*Scan.*  A file's rarest licence words (`RARE` of them) are looked up.  A posting at position p
-that matches the file's word f votes for the template starting at f - p; places where enough
-different rare words agree are compared with the template word by word.  A template is found
-where its mandatory key phrases stand at their place and at least `COVER` of its words do.
-Files that lack a word of a template's key phrases are never aligned with it.
+*Scan.*  A file that holds all words of a template's key phrases is compared with it: the rarest
+of these words is looked up, and each of its places in the file gives one start of the template.
+As the key phrases must stand at their place, no other start is possible, whatever other notices
+the file holds.  A template is found where its key phrases stand there and at least `COVER` of its
+words do.
 
 *Phrases.*  Beside that the base phrases are counted wherever their words stand together.
 
@@ -28,7 +28,6 @@ from pyspark.sql import functions as F
 from . import scan
 from .store import doc_field, packed, unpacked
 
-RARE = 16
 COVER = 0.7
 
 # fixed values: phrases and their labels
@@ -116,7 +115,6 @@ class Template(NamedTuple):
 class Index(NamedTuple):
     vocabulary: np.ndarray
     templates: list[Template]
-    postings: list[np.ndarray]
     base: list
 
 
@@ -136,11 +134,7 @@ def index_of(notices=NOTICES, base=BASE) -> Index:
                 raise ValueError(f"the notice lacks its phrase {phrase!r}")
             placed.append((len(notice[:at].split()), numbers(phrase)))
         templates.append(Template(label, words, placed, np.unique(np.concatenate([p for _, p in placed]))))
-    postings = [
-        np.array([(t, p) for t, x in enumerate(templates) for p in np.flatnonzero(x.words == w)], np.int64).reshape(-1, 2)
-        for w in range(len(vocabulary))
-    ]
-    return Index(vocabulary, templates, postings, [(numbers(p), label) for p, label in base])
+    return Index(vocabulary, templates, [(numbers(p), label) for p, label in base])
 
 
 def _numbered(index: Index, data: np.ndarray, off: np.ndarray) -> tuple[scan.Words, np.ndarray]:
@@ -174,37 +168,27 @@ def _counted(shared):
 
 
 def align(index: Index, rarity: np.ndarray, numbers: np.ndarray, held: np.ndarray) -> dict[int, float]:
-    """Templates found in one file, with the share of their words at their place."""
-    candidates = [t for t, x in enumerate(index.templates) if held[x.needed].all()]
-    if not candidates:
-        return {}
-    present = np.flatnonzero(held)
-    rare = present[np.argsort(rarity[present], kind="stable")][:RARE]
+    """Templates found in one file, with the largest share of their words at their place."""
     found: dict[int, float] = {}
-    votes: dict[tuple[int, int], int] = {}
-    for word in rare.tolist():
-        postings = index.postings[word]
-        places = np.flatnonzero(numbers == word)
-        for t, p in postings[np.isin(postings[:, 0], candidates)].tolist():
-            for start in (places - p).tolist():
-                votes[t, start] = votes.get((t, start), 0) + 1
     padded = None
-    for (t, start), n in votes.items():
-        template = index.templates[t]
-        distinct = len(np.intersect1d(template.words, rare))
-        if n < min(2, distinct):
+    for t, template in enumerate(index.templates):
+        if not held[template.needed].all():
             continue
+        word = template.needed[np.argmin(rarity[template.needed])]
+        # one place of the word within a mandatory phrase: the template stands nowhere without it
+        ahead = next(at + int(np.argmax(words == word)) for at, words in template.phrases if word in words)
         if padded is None:
             most = max(len(x.words) for x in index.templates)
             padded = np.concatenate([np.full(most, -1), numbers, np.full(most, -1)])
-        begin = start + most
-        if begin < 0 or begin + len(template.words) > len(padded):
-            continue
-        there = padded[begin : begin + len(template.words)]
-        if all(np.array_equal(there[at : at + len(words)], words) for at, words in template.phrases):
-            share = float((there == template.words).mean())
+        starts = np.flatnonzero(numbers == word) - ahead + most
+        for at, words in template.phrases:
+            for i, wanted in enumerate(words.tolist(), at):
+                starts = starts[padded[starts + i] == wanted]
+        if len(starts):
+            there = sum((padded[starts + i] == wanted).astype(np.int64) for i, wanted in enumerate(template.words.tolist()))
+            share = float(there.max() / len(template.words))
             if share >= COVER:
-                found[t] = max(found.get(t, 0.0), share)
+                found[t] = share
     return found
 
 

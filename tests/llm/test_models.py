@@ -190,6 +190,27 @@ def test_license_notices(spark):
     assert got[6].labels == ""
 
 
+def test_license_notices_side_by_side(spark):
+    """Each template is found beside each other one, however rare the words of the other are."""
+    phrases = {n: p for _, n, p in licenses.NOTICES}
+    pairs = [(a, b) for a in phrases for b in phrases if a != b]
+    rows = [(i, f"{a} and then x {b}.") for i, (a, b) in enumerate(pairs)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    label = {n: x for x, n, _ in licenses.NOTICES}
+    missed = []
+    for r in licenses.scan_licenses(df).collect():
+        assert r.score == 1.0
+        missed += [(r.doc_id, n) for n in pairs[r.doc_id] if label[n] not in r.labels.split(",")]
+    assert missed == []
+
+
+def test_license_key_phrase_many_times(spark):
+    key = "all rights " * 3000 + "reserved "
+    rows = [(1, key + licenses.NOTICES[1][1]), (2, "reserved " * 5000), (3, "rights reserved all")]
+    got = {r.doc_id: r.labels for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: "mit,proprietary", 2: "", 3: ""}
+
+
 def test_learnable_is_the_stated_split(spark):
     import zlib
 
