@@ -12,7 +12,7 @@ and none allows one: explicit allows take precedence.  Pages without rule or rul
 allowed.
 
 Nulls: a url that is null or has no `://` has an empty host and path, fits no rule and has no
-aliases; a null html has no links.
+aliases; a null html has no links.  A link to a url with an empty host is none.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.plan import once
 from .components import components
 from .store import doc_field, packed, unpacked
 
@@ -105,7 +106,9 @@ def page_links(pages: DataFrame, url_column: str = "url", html_column: str = "ht
     )
     named = found.select("rest", link.alias("link")).where("link <> ''")
     there = _resolved(F.col("link"), host_of(F.col("rest")), path_of(F.col("rest")))
-    return named.select(node_of(F.col("rest")).alias("a"), there.alias("b")).where("a <> b")
+    # a link without a host, such as `http://`, names no page
+    edges = once(named, there, "b").select(node_of(F.col("rest")).alias("a"), "b")
+    return edges.where("a <> b").where(host_of(F.col("b")) != "")
 
 
 def filter_urls(

@@ -117,3 +117,17 @@ def test_redirect_table_and_no_pages(spark):
     got = {r.page_id: r.verdict for r in url_filter.filter_urls(df, redirects).collect()}
     assert got == {1: "block", 2: "allow"}
     assert url_filter.filter_urls(df.where("page_id > 9"), redirects).collect() == []
+
+
+def test_links_without_a_host_join_nothing(spark):
+    rows = []
+    for n, link in enumerate(["http://", "//", "https:///x", "http://?q", "//#top"]):
+        rows += [
+            (3 * n, f"http://a{n}.net/es/1", f'<link rel="canonical" href="{link}">'),
+            (3 * n + 1, f"http://b{n}.org/x", f'<link rel="canonical" href="{link}">'),
+            (3 * n + 2, f"http://c{n}.org/x", f'<meta http-equiv="refresh" content="0; url={link}">'),
+        ]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert url_filter.page_links(df).collect() == []
+    got = {r.page_id: r.verdict for r in url_filter.filter_urls(df).collect()}
+    assert got == {i: "block" if i % 3 == 0 else "allow" for i in range(15)}
