@@ -8,8 +8,8 @@ context tries; below the empty context all bytes cost eight bits.  The language
 shortest code is predicted.
 
 *Fit.*  The counts come from at most `ROWS` texts per language (a documented bound, drawn by
-hash), read whole, and are summed by Spark; at most `GRAMS` contexts-with-successor per
-language and order are kept, the most frequent.  The model is a few megabytes a language.
+hash), read whole, and are summed by Spark; every context and successor of these texts counts.
+The model follows the distinct ones, a few megabytes a language for texts of usual length.
 
 *Score.*  Whole texts, in blocks: a byte with its context is a 32-bit number, so a block is
 looked up in arrays, and the costs of all languages come back as one row.
@@ -33,7 +33,6 @@ from .store import doc_field, packed, unpacked
 
 ORDER = 3
 ROWS = 400
-GRAMS = 60_000
 UNKNOWN = "und"
 _BLANK = 0x20
 _HASH_SPACE = 1 << 40
@@ -98,7 +97,6 @@ def fit(
     text_column: str = "text",
     label_column: str = "lang",
     rows: int = ROWS,
-    grams: int = GRAMS,
     order: int = ORDER,
 ) -> Model:
     """The model of the labelled rows of `docs`; the caller leaves out what is held out."""
@@ -121,9 +119,7 @@ def fit(
     counts = sample.select("_label", "_text").mapInArrow(
         _counts(order), "label string, k int, gram long, n long"
     ).groupBy("label", "k", "gram").agg(F.sum("n").alias("n"))
-    frequent = Window.partitionBy("label", "k").orderBy(F.desc("n"), "gram")
-    table = counts.withColumn("_r", F.row_number().over(frequent)).where(F.col("_r") <= grams).drop("_r").toPandas()
-    return model_of(table, order)
+    return model_of(counts.toPandas(), order)
 
 
 def model_of(table, order: int = ORDER) -> Model:

@@ -72,6 +72,17 @@ def test_language_held_out_accuracy(docs):
     assert all(0 <= r.score <= 1 for r in held)
 
 
+def test_language_counts_every_gram_of_the_sample(spark):
+    random = np.random.default_rng(3)
+    texts = ["".join(map(chr, random.integers(0x4E00, 0x9FFF, 20_000))) for _ in range(2)]
+    model = language.fit(spark.createDataFrame([(i, "zh", t) for i, t in enumerate(texts)], "doc_id long, lang string, text string"))
+    raw = [b"   " + t.encode() for t in texts]
+    for k in range(4):
+        want = {r[i - k : i + 1] for r in raw for i in range(3, len(r))}
+        assert len(model.grams[k]) == len(want)
+    assert len(model.grams[3]) > 60_000
+
+
 def test_language_odd_rows(odd, nothing):
     model = language.fit(odd.where(language.learnable()))
     done = language.predict(odd, model).collect()
