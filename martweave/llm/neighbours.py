@@ -38,7 +38,8 @@ SAMPLE_QUERIES = 256
 RECALL = 0.98
 PART = 4096
 _HELD_QUERIES = 1 << 15
-_TIE = 1e-9
+# of a squared distance from norms and products: per component, relative to the squared norms
+_ROUNDING = 8 * np.finfo(np.float64).eps
 
 
 class Forest(NamedTuple):
@@ -199,19 +200,34 @@ def _routed(units, kind, ids, vectors) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, names=["_unit", "_kind", "_id", "_vector"])
 
 
-def nearest(query: np.ndarray, own: int, ids: np.ndarray, vectors: np.ndarray, rough: np.ndarray, k: int):
-    """(distance, id) of the k nearest rows; `rough` are squared distances good to `_TIE`."""
+def nearest(query: np.ndarray, own: int, ids: np.ndarray, vectors: np.ndarray, rough: np.ndarray, slack: float, k: int):
+    """(distance, id) of the k nearest rows; `rough` are squared distances good to `slack`, or not finite."""
     other = ids != own
     if not other.any():
         return []
-    rough = np.where(other, rough, np.inf)
-    last = np.partition(rough, k - 1)[k - 1] if len(rough) > k else np.inf
-    near = np.flatnonzero((rough <= last + _TIE) & other)
-    exact = np.sqrt(((vectors[near] - query) ** 2).sum(axis=1))
+    # what overflows is near until the exact distance says otherwise
+    sure = np.isfinite(rough) & other
+    last = np.partition(rough[sure], k - 1)[k - 1] if sure.sum() > k and np.isfinite(slack) else np.inf
+    near = np.flatnonzero(other & ~(sure & (rough > last + 2 * slack)))
+    exact = _distances(vectors[near], query)
     order = np.lexsort((ids[near], exact))[:k]
     return list(zip(exact[order].tolist(), ids[near][order].tolist()))
 
 
+def _distances(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Exact distances; rows whose squares overflow are measured in units of their largest difference."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        apart = vectors - query
+        exact = np.sqrt((apart**2).sum(axis=1))
+        far = np.flatnonzero(~np.isfinite(exact))
+        if len(far):
+            # halves cannot overflow in the difference
+            half = vectors[far] / 2 - query / 2
+            unit = np.abs(half).max(axis=1)
+            exact[far] = np.sqrt(((half / unit[:, None]) ** 2).sum(axis=1)) * unit * 2
+    return exact
+
+
 def _measured(size: int, k: int):
     """Units arrive sorted, rows before queries; keeps the best k of each query in the task."""
 
@@ -237,10 +253,13 @@ def _measured(size: int, k: int):
                     here, rows = np.concatenate(ids), np.concatenate(vectors)
                     square = (rows**2).sum(axis=1)
                 asked = matrix[low:high]
-                rough = square - 2 * (asked @ rows.T) + (asked**2).sum(axis=1)[:, None]
+                with np.errstate(over="ignore", invalid="ignore"):
+                    norms = (asked**2).sum(axis=1)
+                    rough = square - 2 * (asked @ rows.T) + norms[:, None]
+                    slack = _ROUNDING * size * (norms + square.max())
                 for n in range(high - low):
                     own = int(all_ids[low + n])
-                    found = nearest(asked[n], own, here, rows, rough[n], k)
+                    found = nearest(asked[n], own, here, rows, rough[n], slack[n], k)
                     best[own] = sorted({*best.get(own, ()), *found}, key=lambda x: (x[0], x[1]))[:k]
                 if len(best) >= _HELD_QUERIES:
                     yield _answers(best)

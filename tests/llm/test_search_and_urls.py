@@ -73,6 +73,27 @@ def test_many_equal_vectors_are_split_into_parts(spark, monkeypatch):
     assert sorted(r.vec_id for r in rows if r.query_id == 0) == list(range(1, 11))
 
 
+def test_large_norms_keep_ties_and_borders(spark):
+    """Far from the origin, squared distances from norms and products are off by far more than the distances differ."""
+    random = np.random.default_rng(4)
+    for scale, step in ((1e5, 1e-3), (1e8, 1.0), (3e153, 1e150), (1e200, 1e195)):
+        vectors = np.round(random.normal(size=(1, 6)) * 64) * scale + random.integers(-3, 4, (300, 6)) * step
+        ids = np.arange(300)
+        unit = np.abs(vectors).max()
+        small = vectors / unit if scale > 1e100 else vectors
+        df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, vectors)], "vec_id long, embedding array<double>")
+        rows = neighbours.search(df, F.col("vec_id") % 50 == 0, recall=1.0, leaf=400).collect()
+        for q in range(0, 300, 50):
+            got = sorted((r["rank"], r.vec_id, r.score) for r in rows if r.query_id == q)
+            assert len(got) == 10
+            far = np.sqrt(((small - small[q]) ** 2).sum(axis=1)) * (unit if scale > 1e100 else 1)
+            assert [s for _, _, s in got] == pytest.approx(sorted(np.delete(far, q))[:10], rel=1e-9)
+            for _, v, s in got:
+                assert s == pytest.approx(far[v], rel=1e-9)
+            if scale < 1e100:
+                assert [v for _, v, _ in got] == [v for v, _ in exact(ids, vectors, q, 10)]
+
+
 PAGES = [
     (1, "http://Shop.Example.COM/en/1?x#y", None),
     (2, "https://www.example.com/en/1", ""),
