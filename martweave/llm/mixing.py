@@ -25,11 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.running import numbered_by_content
-from .store import KEYS, doc_field, kept, nth_of_equal_rows, packed, row_keys, unpacked
+from .store import KEYS, doc_field, kept, one_of_equal_rows, packed, row_keys, unpacked
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2.0
+_STRETCH = 4096
 _WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -128,8 +129,11 @@ def mix_rows(
         carry=list(KEYS),
         **options,
     )
-    copies = drawn.groupBy(*KEYS).agg(F.sort_array(F.collect_list("copies")).alias("_copies"))
-    rows = packed(docs).select("_doc", *row_keys([doc_field(c) for c in docs.columns]))
-    taken = rows.join(copies, list(KEYS)).withColumn("_nth", nth_of_equal_rows())
-    emitted = taken.withColumn("_n", F.element_at("_copies", F.col("_nth"))).where("_n > 0")
-    return unpacked(emitted.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "_n"))), docs, "copy")
+    # equal rows as one, with how many of them are taken how often: two numbers at most, as a source expects the same of all
+    times = drawn.where("copies > 0").groupBy(*KEYS, "copies").agg(F.count(F.lit(1)).alias("_times"))
+    taken = one_of_equal_rows(docs).join(times, list(KEYS))
+    # dealt out in stretches, so no array holds all of a row's copies
+    begin = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_times") - 1, F.lit(_STRETCH).cast("long")))
+    stretches = taken.withColumn("_begin", begin).withColumn("_stop", F.least(F.col("_begin") + _STRETCH, "_times") - 1)
+    emitted = stretches.withColumn("_nth", F.explode(F.sequence("_begin", "_stop")))
+    return unpacked(emitted.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))), docs, "copy")

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from . import scan
 from .components import components
-from .store import KEYS, doc_field, kept, nth_of_equal_rows, packed, row_keys, unpacked
+from .store import KEYS, doc_field, kept, one_of_equal_rows, packed, row_keys, unpacked
 
 SHINGLE = 3
 RADIUS = 3
@@ -310,9 +310,7 @@ def one_per_group(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     )
     marked = near_duplicates(narrow, "_id", "_text", carry=list(KEYS), **options)
     first = marked.where("is_first").select(*KEYS)
-    rows = packed(docs).select("_doc", *row_keys([doc_field(c) for c in docs.columns]))
-    chosen = rows.join(first, list(KEYS)).withColumn("_nth", nth_of_equal_rows()).where("_nth = 1")
-    return unpacked(chosen, docs)
+    return unpacked(one_of_equal_rows(docs).join(first, list(KEYS)), docs)
 
 
 def grouped(marked: DataFrame, radius: int = RADIUS) -> DataFrame:

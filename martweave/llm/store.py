@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import run_folder
@@ -48,6 +48,7 @@ def row_keys(columns: list[Column]) -> list[Column]:
     return [F.xxhash64(F.lit(n), *columns).alias(key) for n, key in enumerate(KEYS)]
 
 
-def nth_of_equal_rows() -> Column:
-    """Numbers equal rows from 1; joined by `KEYS` before, this needs no further shuffle."""
-    return F.row_number().over(Window.partitionBy(*KEYS).orderBy(*KEYS))
+def one_of_equal_rows(df: DataFrame) -> DataFrame:
+    """Whole rows (`_doc`) by `KEYS`, equal ones once; those of a task are combined before the shuffle."""
+    rows = packed(df).select("_doc", *row_keys([doc_field(c) for c in df.columns]))
+    return rows.groupBy(*KEYS).agg(F.first("_doc").alias("_doc"))

@@ -76,6 +76,18 @@ def test_emitted_rows_are_the_copies_drawn(odd, nothing):
     assert mixing.mix_rows(nothing).collect() == []
 
 
+def test_one_row_for_a_third_of_the_table(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "_STRETCH", 7, raising=False)
+    rows = [(1, "a b c", "x")] * 100 + [(i, f"w{i} " * (i % 5), "xy"[i % 2]) for i in range(2, 202)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    want = sorted((*r[:3], n) for r in mixing.mix(df).select("doc_id", "text", "source", "copies").collect() for n in range(1, r.copies + 1))
+    mixed = mixing.mix_rows(df)
+    assert sorted(tuple(r) for r in mixed.select("doc_id", "text", "source", "copy").collect()) == want
+    # no task holds all equal rows: neither numbered by a window nor gathered in an array
+    plan = mixed._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window [row_number" not in plan and "collect_list" not in plan
+
+
 def test_targets_stop_at_what_a_source_has(spark):
     sizes, weights = [10, 10_000, 500, 0, 77], [3.0, 1.0, 2.0, 3.0, 1.0]
     df = spark.createDataFrame(list(zip(sizes, weights)), "size long, weight double")

@@ -99,3 +99,11 @@ def test_long_chain_is_one_component(spark):
 def test_long_text_counts_like_its_parts():
     text = "x y z " * 60_000
     assert simhash.fingerprint(simhash._shingle_hashes(text.encode(), 3)) == print_of("x y z " * 60_000)
+
+
+def test_one_row_for_a_third_of_the_table(spark):
+    rows = [(1, "a b c d e f g")] * 100 + [(i, " ".join(f"{i}w{j}" for j in range(30))) for i in range(2, 202)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    chosen = simhash.one_per_group(df)
+    assert sorted(tuple(r) for r in chosen.collect()) == sorted(set(rows))
+    assert "Window [row_number" not in chosen._jdf.queryExecution().optimizedPlan().toString()
