@@ -20,14 +20,28 @@ from .common import Catalog, big, plain, rounded
 
 catalog = Catalog()
 
-# the input has a file per shuffle partition, so a stream takes several batches
+# the input has a file per shuffle partition and enough for some batches, so a stream takes several
 FILES_PER_BATCH = 3
+LEAST_FILES = 3 * FILES_PER_BATCH
+
+
+def _in_order(spark, place: str) -> None:
+    """A stream takes files by their time: those of earlier ranges come first, whichever task ended first."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(place)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    parts = sorted((f for f in store.listStatus(path) if f.getPath().getName().startswith("part-")), key=lambda f: f.getPath().getName())
+    first = min((f.getModificationTime() for f in parts), default=0)
+    for n, part in enumerate(parts):
+        store.setTimes(part.getPath(), first - 1000 * (len(parts) - n), -1)
 
 
 def _messages(spark, folder, place: str):
     """Message files by arrival, some of which make up a batch of the stream."""
     rows = S.MESSAGES.frame(spark, folder).select("value", "arrived_at")
-    rows.repartitionByRange("arrived_at").sortWithinPartitions("arrived_at").write.parquet(f"{place}/in")
+    # a number that is given is not coalesced
+    files = max(LEAST_FILES, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows.repartitionByRange(files, "arrived_at").sortWithinPartitions("arrived_at").write.parquet(f"{place}/in")
+    _in_order(spark, f"{place}/in")
     return message_files(spark, f"{place}/in", FILES_PER_BATCH)
 
 

@@ -1,8 +1,11 @@
 import datetime as dt
 import json
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
+from conftest import SMALL
+from martweave.catalog import streams
 from martweave.functions.messages import parse_transactions, valid_rows
 from martweave.plans.spend import spend_windows
 from martweave.sources.readers import message_files, topic_files
@@ -104,3 +107,24 @@ def test_event_time_windows(spark, folder):
     spend_stream.write_windows(timed, f"{folder}/out", f"{folder}/state", time_col="occurred_at").awaitTermination()
     got = spark.read.parquet(f"{folder}/out").collect()
     assert [(r.window_start, r.transaction_count) for r in got] == [("2024-01-01T00:00:00+00:00", 5)]
+
+
+def test_registered_streams_take_several_batches(spark, folder):
+    streams._messages(spark, SMALL, folder)
+    files = sorted(Path(f"{folder}/in").glob("part-*"))
+    assert len(files) >= 3 * streams.FILES_PER_BATCH
+    assert sorted(files, key=lambda f: f.stat().st_mtime) == files
+
+
+def test_a_batch_run_again_replaces_its_rows(spark, folder):
+    messages(spark, folder, 0, [(text(transaction_id="a"), 1), ("junk", 2)])
+    for n in range(2):  # as after a failure between the write and the commit
+        if n:
+            for name in ("0", ".0.crc"):
+                Path(f"{folder}/state/commits/{name}").unlink(missing_ok=True)
+        source = message_files(spark, f"{folder}/in")
+        query = spend_stream.write_scored(source, f"{folder}/scored", f"{folder}/refused", f"{folder}/state")
+        query.awaitTermination()
+        assert [p["batchId"] for p in query.recentProgress if p["numInputRows"]] == [0]
+        assert spark.read.parquet(f"{folder}/scored").count() == 1
+        assert spark.read.json(f"{folder}/refused").count() == 1
