@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, language, licenses, mixing, neighbours, simhash, substring_dedup, toxicity, url_filter
+from . import (
+    chat,
+    decontaminate,
+    language,
+    licenses,
+    line_quality,
+    mixing,
+    neighbours,
+    simhash,
+    substring_dedup,
+    toxicity,
+    url_filter,
+)
 
 QUERIES: dict = {}
 CHECKS: dict[str, str] = {}
@@ -237,3 +249,49 @@ SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items
   sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """
+
+
+@query
+def op11_line_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return line_quality.digest(line_quality.judge(table(spark, folder, "documents"), carry=["doc_id"]))
+
+
+CHECKS["op11_line_quality"] = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce('=' || source, '') AS host, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), raw AS (
+  SELECT r, host, unnest(string_split(text, chr(10))) AS line FROM d
+), lines AS (
+  SELECT r, host, line, len(lw) AS n, translate(array_to_string(lw, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789', 'abcdefghijklmnopqrstuvwxyz000000000') AS norm
+  FROM (SELECT *, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS lw FROM raw) WHERE len(lw) > 0
+), dup AS (
+  SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines GROUP BY r
+), win AS (
+  SELECT r, p, array_to_string(ws[p:p + {line_quality.WINDOW - 1}], ' ') AS s
+  FROM (SELECT r, ws, unnest(range(1, len(ws) - {line_quality.WINDOW - 2})) AS p FROM d)
+), twice AS (
+  SELECT r, p FROM (SELECT *, count(*) OVER (PARTITION BY r, s) AS c FROM win) WHERE c > 1
+), rep AS (
+  SELECT r, count(DISTINCT i) AS n_repeat_words FROM (SELECT r, unnest(range(p, p + {line_quality.WINDOW})) AS i FROM twice) GROUP BY r
+), copies AS (
+  SELECT r, translate(array_to_string(ws, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789', 'abcdefghijklmnopqrstuvwxyz000000000') AS doc FROM d
+), counted AS (
+  SELECT host, norm, count(DISTINCT doc) AS c FROM lines JOIN copies USING (r) GROUP BY host, norm
+), sizes AS (
+  SELECT host, count(DISTINCT doc) AS documents FROM lines JOIN copies USING (r) GROUP BY host
+), often AS (
+  SELECT host, norm FROM counted JOIN sizes USING (host)
+  WHERE c > {line_quality.LINE_DOCUMENTS} AND c > {line_quality.LINE_SHARE}::DOUBLE * documents
+), gone AS (
+  SELECT r, sum(n)::BIGINT AS words, count(*) AS lines FROM lines JOIN often USING (host, norm) GROUP BY r
+), m AS (
+  SELECT doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
+    len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+    coalesce(n_repeat_words, 0) AS n_repeat_words, len(ws) - coalesce(words, 0) AS n_left, coalesce(lines, 0) AS n_removed_lines
+  FROM d LEFT JOIN dup USING (r) LEFT JOIN rep USING (r) LEFT JOIN gone USING (r)
+), b AS (
+  SELECT *, n_words < {line_quality.MIN_WORDS} OR 100 * n_repeat_words > {line_quality.REPEATED_PERCENT} * n_words AS base_failed FROM m
+)
+SELECT *, NOT base_failed AND n_left >= {line_quality.MIN_WORDS} AND n_left >= {line_quality.LEFT_SHARE}::DOUBLE * n_words AS kept FROM b
+"""
