@@ -17,6 +17,7 @@ from . import (
     substring_dedup,
     toxicity,
     url_filter,
+    whitening,
 )
 
 QUERIES: dict = {}
@@ -295,3 +296,8 @@ WITH d AS (
 )
 SELECT *, NOT base_failed AND n_left >= {line_quality.MIN_WORDS} AND n_left >= {line_quality.LEFT_SHARE}::DOUBLE * n_words AS kept FROM b
 """
+
+
+@query
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"), carry=["vec_id"])
