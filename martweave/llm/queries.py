@@ -17,6 +17,7 @@ from . import (
     substring_dedup,
     toxicity,
     url_filter,
+    variants,
     whitening,
 )
 
@@ -301,3 +302,8 @@ SELECT *, NOT base_failed AND n_left >= {line_quality.MIN_WORDS} AND n_left >= {
 @query
 def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whiten(table(spark, folder, "embeddings"), carry=["vec_id"])
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return variants.variants(variants.vocabulary(table(spark, folder, "documents")))
