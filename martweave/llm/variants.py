@@ -112,21 +112,31 @@ def reduced(word: Column, symbols: int) -> Column:
     return F.translate(word, LETTERS, "".join(symbol_of(x, symbols) for x in LETTERS))
 
 
-def neighbourhood(word: str, symbols: int) -> Column:
-    """All strings over the symbols at most one edit from column `word` (some more than once)."""
-    names = F.array(*[F.lit(x) for x in sorted({symbol_of(x, symbols) for x in LETTERS})])
-    w, size = F.col(word), F.char_length(word)
-
-    def with_each(head: Column, tail: Column) -> Column:
-        return F.transform(names, lambda s: F.concat(head, s, tail))
-
-    places = F.sequence(F.lit(1), size)
-    shorter = F.transform(places, lambda i: F.concat(F.substring(w, F.lit(1), i - 1), F.substring(w, i + 1, size)))
-    same = F.flatten(F.transform(places, lambda i: with_each(F.substring(w, F.lit(1), i - 1), F.substring(w, i + 1, size))))
-    longer = F.flatten(
-        F.transform(F.sequence(F.lit(0), size), lambda i: with_each(F.substring(w, F.lit(1), i), F.substring(w, i + 1, size)))
-    )
-    return F.concat(F.array(w), shorter, same, longer)
+def neighbourhood(word: str, symbols: str) -> set[str]:
+    """All strings over the symbols at most one edit from `word`."""
+    near = {word}
+    for i in range(len(word) + 1):
+        head, tail = word[:i], word[i:]
+        near.update([head + x + tail for x in symbols])
+        if tail:
+            near.add(head + tail[1:])
+            near.update([head + x + tail[1:] for x in symbols])
+    return near
+
+
+def _around(symbols: str):
+    def task(batches):
+        for batch in batches:
+            codes = batch.column("_code").to_pylist()
+            for low in range(0, len(codes), 512):
+                own, near = [], []
+                for code in codes[low : low + 512]:
+                    later = [x for x in neighbourhood(code, symbols) if x >= code]
+                    own += [code] * len(later)
+                    near += later
+                yield pa.RecordBatch.from_arrays([pa.array(own, pa.string()), pa.array(near, pa.string())], names=["_code", "_near"])
+
+    return task
 
 
 def _choice(words: DataFrame) -> int:
@@ -145,10 +155,12 @@ def near_pairs(words: DataFrame, symbols: int | None = None) -> DataFrame:
     """(`a`, `n_a`, `b`, `n_b`): every unordered pair of words exactly one edit apart, once."""
     symbols = symbols or _choice(words)
     coded = words.select("word", "n", reduced(F.col("word"), symbols).alias("_code"))
+    # a small table makes many neighbours: its tasks are not to be merged by their input
+    tasks = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     codes = coded.select("_code").distinct()
-    around = codes.select("_code", F.explode(neighbourhood("_code", symbols)).alias("_near")).where("_near >= _code")
-    known = codes.select(F.col("_code").alias("_near"))
-    met = around.join(known, "_near", "left_semi").distinct()
+    names = "".join(sorted({symbol_of(x, symbols) for x in LETTERS}))
+    around = codes.repartition(tasks, "_code").mapInArrow(_around(names), "_code string, _near string")
+    met = around.join(codes.select(F.col("_code").alias("_near")), "_near")
     left = coded.select("_code", F.col("word").alias("a"), F.col("n").alias("n_a"))
     right = coded.select(F.col("_code").alias("_near"), F.col("word").alias("b"), F.col("n").alias("n_b"))
     # within a class each pair is met from both sides
