@@ -307,3 +307,42 @@ def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return variants.variants(variants.vocabulary(table(spark, folder, "documents")))
+
+
+# crc32 byte by byte from its table; letters beyond ASCII here are two bytes, 195 and the code point less 64
+CHECKS["op13_spelling_variants"] = rf"""
+WITH RECURSIVE crc(t) AS (
+  SELECT list(c ORDER BY i) FROM (SELECT i, list_reduce(list_prepend(i, range(8)),
+    lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS c FROM range(256) AS r(i))
+), runs AS (
+  SELECT doc, run, count(*) AS c FROM (
+    SELECT coalesce(doc_id::VARCHAR, '') AS doc, unnest(regexp_extract_all(translate(text, {_AB}), '[a-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents)
+  GROUP BY doc, run
+), sums AS (
+  SELECT run, c, xor(4294967295, list_reduce(list_prepend(4294967295, bytes),
+    lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]))) AS h
+  FROM (SELECT run, c, flatten([CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT] ELSE [195, unicode(x)::BIGINT - 64] END
+    FOR x IN string_split(doc || ':' || run, '')]) AS bytes FROM runs), crc
+), words AS (
+  SELECT word, sum(c)::BIGINT AS n FROM (
+    SELECT CASE WHEN h % {variants.THINNING} = 0 THEN substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word, c
+    FROM sums) WHERE length(word) >= {variants.MIN_LETTERS} GROUP BY word HAVING sum(c) >= {variants.MIN_COUNT}
+), cut AS (
+  SELECT word, n, i, substr(word, 1, i - 1) AS head, substr(word, i + 1) AS tail
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+), pairs AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM cut a JOIN cut b USING (i, head, tail) WHERE a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cut a JOIN words b ON b.word = a.head || a.tail
+  UNION SELECT b.word, a.word, a.n FROM cut a JOIN words b ON b.word = a.head || a.tail
+), near AS (
+  SELECT word, count(*) AS n_near, min(struct_pack(less := -near_n, near := near)) AS best FROM pairs GROUP BY word
+), forms AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -best.less >= {variants.RATIO} * n THEN best.near END AS form,
+    CASE WHEN -best.less >= {variants.RATIO} * n THEN -best.less END AS form_n FROM words LEFT JOIN near USING (word)
+), walk(word, place) AS (
+  SELECT word, word FROM forms UNION ALL SELECT w.word, f.form FROM walk w JOIN forms f ON f.word = w.place WHERE f.form IS NOT NULL
+), roots AS (
+  SELECT w.word, w.place AS root FROM walk w JOIN forms f ON f.word = w.place WHERE f.form IS NULL
+)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN roots USING (word)
+"""

@@ -10,8 +10,8 @@ Each round runs the three-term Chebyshev recurrence, one pass a degree, on the i
 unwanted spectrum: from a lower bound of the spectrum (a few Lanczos steps, less their residual)
 to the smallest Ritz value of the block.  Values inside are damped, those above grow by the
 degree.  The block then gets an orthonormal basis (QR) and is rotated by Rayleigh-Ritz.  Rounds
-end when the residual of every wanted pair is certified: |Vq - eq| <= `TOLERANCE` times the
-largest eigenvalue.  In every round the last guard column is drawn anew, so a direction that the
+end when the residual of every wanted pair is certified: |Vq - eq| <= `TOLERANCE` e, or, where
+rounding forbids that, no longer shrinks and is at most `ACCEPTED` e + `ROUNDING` e1.  In every round the last guard column is drawn anew, so a direction that the
 start missed is found.
 
 Centring is exact: sums are whole numbers, S = n base + rest, and x - S/n = (x - base) - rest/n.
@@ -40,6 +40,7 @@ FIRST_DEGREE, MAX_DEGREE = 8, 32
 MAX_ROUNDS = 60
 TOLERANCE = 1e-13
 ACCEPTED = 1e-10
+ROUNDING = 1e-14
 FLAT = 1e-12
 SPREAD = 1e12
 SEED = 12
@@ -133,7 +134,7 @@ class _Covariance:
         self.points, self.dim, self.passes = points, dim, 0
         sums = points.mapInArrow(_sums(dim), "i long, n long, high long, low long").groupBy("i")
         found = sorted(sums.agg(F.sum("n").alias("n"), F.sum("high").alias("high"), F.sum("low").alias("low")).collect())
-        self.n = found[0].n if found else 0
+        self.n = found[0].n
         self.sums = [(r.high << _LOW_BITS) + r.low for r in found]
         self.base = np.array([s // self.n for s in self.sums], np.int64)
         self.part = np.array([s % self.n / self.n for s in self.sums])
@@ -221,8 +222,11 @@ def leading(covariance, components: int = COMPONENTS, guard: int = GUARD, seed:
         if values[0] <= 0:
             return values[:0], q[:, :0]
         wanted = max(1, int((values[:components] > FLAT * values[0]).sum()))
-        error = np.linalg.norm(vq[:, :wanted] - q[:, :wanted] * values[:wanted], axis=0).max() / values[0]
-        if error <= TOLERANCE or (error <= ACCEPTED and error > best / 2):
+        residuals = np.linalg.norm(vq[:, :wanted] - q[:, :wanted] * values[:wanted], axis=0)
+        error = float((residuals / np.maximum(values[:wanted], FLAT * values[0])).max())
+        # rounding in a product is relative to the largest value: no residual falls below that
+        settled = (residuals <= ACCEPTED * values[:wanted] + ROUNDING * values[0]).all()
+        if error <= TOLERANCE or (settled and error > best / 2):
             keep = values[:wanted] > FLAT * values[0]
             return values[:wanted][keep], q[:, :wanted][:, keep]
         best = min(best, error)
@@ -279,11 +283,12 @@ def whiten(
     added = ("component", "n", "deviation", "whitened", "explained", "identity_error")
     dim = _commonest_length(sound)
     sound = sound.where(F.size("_x") == dim)
-    points = kept(sound.select("_x").distinct().mapInArrow(_blocks(max(dim, 1)), "block binary"), "points")
-    covariance = _Covariance(points, dim)
-    values, vectors = leading(covariance, min(components, dim), guard) if covariance.n else (np.zeros(0), np.zeros((0, 0)))
+    values = []
+    if dim:
+        points = kept(sound.select("_x").distinct().mapInArrow(_blocks(dim), "block binary"), "points")
+        covariance = _Covariance(points, dim)
+        values, vectors = leading(covariance, min(components, dim), guard)
     if not len(values):
-        forget(points)
         types = "component int, n long, deviation long, whitened double, explained double, identity_error double"
         none = packed(wanted).limit(0).select("_doc", *[F.lit(None).cast(t.split()[1]).alias(t.split()[0]) for t in types.split(", ")])
         return unpacked(none, wanted, *added)
