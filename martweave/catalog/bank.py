@@ -154,3 +154,44 @@ def _(spark, folder):
         )
     )
     return plain(accept_in_order(debits))
+
+
+_MICRO = "cast(({}) * 1000000 as bigint)"
+# one request of every account a step: the first that is open, once all earlier movements of its payer are decided
+_CHAIN_SQL = f"""asked as materialized (select seq, payer, payee, {_MICRO.format("pay + charge")} need,
+    if(rate is null, 0, {_MICRO.format("pay + charge")}) "out", if(rate is null, 0, {_MICRO.format("gain")}) "into" from {_PREPARED_SQL}),
+  moves as materialized (select payer account, seq, -"out" delta from asked where payer is not null
+    union all select payee, seq, "into" from asked where payee in (select payer from asked)),
+  chain(seq, ok) using key (seq) as (
+    select seq, true from asked where payer is null
+    union
+    select q.seq, q.need <= any_value(o.funds) + coalesce(sum(m.delta) filter (m.seq < q.seq and c.ok), 0)
+    from asked q join (select account, min(seq) seq from moves where seq not in (select seq from recurring.chain) group by account) f
+      on f.account = q.payer and f.seq = q.seq
+    join (select account_id, {_MICRO.format("current_balance - minimum_balance")} funds from {_ACCOUNTS_SQL}) o on o.account_id = q.payer
+    left join moves m on m.account = q.payer left join recurring.chain c on c.seq = m.seq
+    group by q.seq, q.need)"""
+_CHAINED_SQL = _posted_sql("seq in (select seq from chain where ok)")
+
+
+def chained(spark, folder):
+    return K.post_chained(requests(spark, folder), accounts(spark, folder), rates(spark))
+
+
+@catalog.add("ledger_post_chained", f"with recursive {_CHAIN_SQL} select seq, {_ROW_SQL} from {_CHAINED_SQL}")
+def _(spark, folder):
+    """Requests in their true order: what an accepted one brings in, later ones can spend."""
+    return plain(chained(spark, folder).drop(*K.BOOKING_DETAIL))
+
+
+@catalog.add(
+    "chained_balances",
+    f"""with recursive {_CHAIN_SQL}, l as (select seq, payer account_id, -(pay + charge) signed, 0 side from {_CHAINED_SQL} where funded and payer is not null
+      union all select seq, payee, gain, 1 from {_CHAINED_SQL} where funded and payee is not null)
+    select l.account_id, seq, {dbl('cast(signed as decimal(18,4))')} signed_amount,
+    {dbl('cast(current_balance + sum(signed) over (partition by l.account_id order by seq) as decimal(18,4))')} balance_after
+    from l join {_ACCOUNTS_SQL} a on a.account_id = l.account_id""",
+)
+def _(spark, folder):
+    """Both balances after every movement of the ledger in its true order."""
+    return plain(K.running_balances(accounts(spark, folder), K.legs(chained(spark, folder))))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import pin
@@ -67,3 +67,133 @@ def accept_in_order(debits: DataFrame, width: int = CHUNK_WIDTH) -> DataFrame:
     for part in decided[1:]:
         result = result.unionByName(part)
     return result
+
+
+_OPENING = -(1 << 62)
+
+
+def _opening_legs(accounts: DataFrame) -> DataFrame:
+    return accounts.select(
+        "account_id",
+        F.lit(_OPENING).cast("bigint").alias("seq"),
+        F.lit(0).alias("side"),
+        F.lit(None).cast("bigint").alias("need"),
+        F.col("funds").alias("gain"),
+        F.lit(True).alias("known"),
+    )
+
+
+def _legs(requests: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Movements of the accounts that pay at all: the opening funds, then both sides of every request.
+
+    Credits of an account that never pays decide nothing and are left out.
+    """
+    sound = requests.filter(F.col("debit_id").isNull() | F.col("need").isNotNull())
+    paying = sound.filter(F.col("debit_id").isNotNull())
+    out = paying.select(
+        F.col("debit_id").alias("account_id"), "seq", F.lit(0).alias("side"), "need", (-F.col("out")).alias("gain"),
+        F.lit(None).cast("boolean").alias("known"),
+    )
+    into = sound.filter(F.col("credit_id").isNotNull() & (F.col("into") > 0)).select(
+        F.col("credit_id").alias("account_id"), "seq", F.lit(1).alias("side"), F.lit(None).cast("bigint").alias("need"),
+        F.col("into").alias("gain"), F.when(F.col("debit_id").isNull(), F.lit(True)).alias("known"),
+    )
+    payers = paying.select(F.col("debit_id").alias("account_id")).distinct()
+    return out.unionByName(into.unionByName(_opening_legs(accounts)).join(payers, "account_id", "left_semi"))
+
+
+def _verdicts(legs: DataFrame, width: int) -> DataFrame:
+    """(seq, accepted) of the open debits that one round decides."""
+    gain, is_open = F.col("gain"), F.col("known").isNull()
+    settled = F.coalesce(F.col("known"), F.lit(False))
+
+    def where(condition: Column) -> Column:
+        return F.when(condition, gain).otherwise(F.lit(0))
+
+    # bounds: no open debit and every open credit goes through, and the reverse
+    sums = {"_sure": where(settled), "_least": where(is_open & (gain < 0)), "_most": where(is_open & (gain > 0))}
+    bounded = running_sums(legs, ["account_id"], ["seq", "side"], sums, width)
+    sure = F.col("_sure") - where(settled)
+    lowest = sure + F.col("_least") - sums["_least"]
+    highest = sure + F.col("_most")
+    is_debit = is_open & F.col("need").isNotNull()
+    bounded = bounded.select(
+        *legs.columns,
+        F.when(is_debit & (F.col("need") <= lowest), F.lit(True)).when(is_debit & (F.col("need") > highest), F.lit(False)).alias("_sound"),
+        (F.col("need") * 2 <= sure).alias("_small"),
+    )
+    bounded = pin(bounded, "funds-bounds")
+
+    # a guess: small debits go through, large ones do not; it holds up to the first that checks otherwise
+    guess = F.coalesce("known", "_sound", F.when(is_debit, F.col("_small")), F.lit(False))
+    walked = running_sums(bounded, ["account_id"], ["seq", "side"], {"_after": where(guess)}, width)
+    checked = F.col("need") <= F.col("_after") - where(guess)
+    walked = pin(
+        walked.select("account_id", "seq", "need", "known", "_sound", checked.alias("_checked"), (is_debit & (checked != guess)).alias("_ends")),
+        "funds-guess",
+    )
+    stops = walked.groupBy("account_id").agg(
+        F.min(F.when(F.col("_ends"), F.col("seq"))).alias("_wrong"),
+        F.min(F.when(is_open & F.col("need").isNull(), F.col("seq"))).alias("_credit"),
+    )
+    reached = F.coalesce(F.col("seq") <= F.col("_wrong"), F.lit(True)) & F.coalesce(F.col("seq") <= F.col("_credit"), F.lit(True))
+    decided = walked.filter(is_debit).join(stops, "account_id")
+    accepted = F.coalesce("_sound", F.when(reached, F.col("_checked")))
+    return decided.select("seq", accepted.alias("accepted")).filter(F.col("accepted").isNotNull())
+
+
+def _folded(legs: DataFrame) -> DataFrame:
+    """The legs of accounts with open debits; what lies before an account's first open leg becomes one."""
+    is_open = F.col("known").isNull()
+    firsts = legs.groupBy("account_id").agg(
+        F.min(F.when(is_open, F.col("seq"))).alias("_first"),
+        F.max(F.when(is_open & F.col("need").isNotNull(), F.col("seq"))).alias("_last"),
+    )
+    # credits after the last open debit of an account are read by nobody
+    placed = legs.join(firsts.filter(F.col("_last").isNotNull()), "account_id").filter(F.col("seq") <= F.col("_last"))
+    before = F.col("seq") < F.col("_first")
+    opening = (
+        placed.filter(before & F.col("known")).groupBy("account_id").agg(F.sum("gain").alias("funds"))
+    )
+    rest = placed.filter(~before & F.coalesce(F.col("known"), F.lit(True))).select(*legs.columns)
+    return rest.unionByName(_opening_legs(opening))
+
+
+def accept_chained(requests: DataFrame, accounts: DataFrame, width: int = CHUNK_WIDTH) -> DataFrame:
+    """(seq, accepted) for every request with a payer, as if all were handled one after the other.
+
+    `requests`: `seq` (unique, integer), `debit_id` and `credit_id` (null: outside the bank), `need`
+    (funds the payer must hold), `out` and `into` (what moves if accepted), integers in the smallest
+    unit, not negative.  `accounts`: `account_id`, `funds` above the minimum.  An accepted request
+    raises the funds of its payee for all later requests (of a request to oneself, `out` counts
+    before `into`), and a payee's credit may decide whether
+    it can pay a third account: requests are decided in rounds over all accounts at once.
+
+    In a round an open debit is decided if the bounds of its payer's funds say so: it is covered
+    even if every earlier open debit goes through and no open credit does, or is not covered even
+    the other way round.  Besides, up to an account's first open credit, debits of at most half the
+    known funds are guessed to go through and larger ones not to; everything up to and including
+    the first debit where the guess and the funds disagree is decided by the funds.  An account
+    without credits has at most half its funds left after such a row, so it is done in as many
+    rounds as its funds have bits, however many requests it has.  The earliest open request is
+    decided in every round, so rounds end; they follow the longest chain of requests that the
+    bounds leave open.
+
+    A request whose `need` is null is given no verdict and moves nothing.
+
+    A round is two chunked running sums and a join by `seq`; settled legs before an account's first
+    open one are folded into one, and accounts without open debits leave.
+    """
+    legs = pin(_folded(_legs(requests, accounts)), "funds-legs")
+    decided = []
+    while not legs.isEmpty():
+        verdicts = pin(_verdicts(legs, width), "funds-verdicts")
+        if verdicts.isEmpty():
+            raise RuntimeError("no request could be decided: seq must be unique and amounts not null")
+        decided.append(verdicts)
+        told = legs.join(verdicts, "seq", "left").withColumn("known", F.coalesce("known", "accepted")).drop("accepted")
+        legs = pin(_folded(told.select(*legs.columns)), "funds-legs")
+    result = requests.sparkSession.createDataFrame([], "seq bigint, accepted boolean")
+    for part in decided:
+        result = result.unionByName(part)
+    return result

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed_values as V
-from ..operators.funds import accept_in_order
+from ..operators.funds import accept_chained, accept_in_order
 from ..operators.running import next_ids, running_sums
 from ..session import pin
 
@@ -167,6 +167,28 @@ def post_in_order(requests: DataFrame, accounts: DataFrame, rates: DataFrame) ->
     return _posted(prepared.join(verdicts, "seq", "left"), F.coalesce("_accepted", F.lit(False)))
 
 
+def post_chained(requests: DataFrame, accounts: DataFrame, rates: DataFrame) -> DataFrame:
+    """Requests handled one after the other in `seq` order: both balances of a request are written
+    before the next one is checked, so deposits and transfers of the batch can be spent."""
+    prepared = pin(prepare(requests, accounts, rates), "requests")
+    unit = F.lit(1_000_000)
+
+    def smallest(amount: Column) -> Column:
+        return (amount * unit).cast("bigint")
+
+    # a request without a rate moves nothing, whether it is refused or cannot be converted
+    moves = F.when(F.col("has_rate"), F.lit(1)).otherwise(F.lit(0))
+    need = smallest(F.col("debit_amount") + F.col("charge"))
+    into = F.when(F.col("has_rate"), smallest(F.col("credit_amount"))).otherwise(F.lit(0))
+    asked = prepared.select("seq", "debit_id", "credit_id", need.alias("need"), (need * moves).alias("out"), into.alias("into"))
+    funds = accounts.select(
+        "account_id",
+        smallest(F.col("current_balance").cast(MONEY) - F.col("minimum_balance").cast(MONEY)).alias("funds"),
+    )
+    verdicts = accept_chained(asked, funds).select("seq", F.col("accepted").alias("_accepted"))
+    return _posted(prepared.join(verdicts, "seq", "left"), F.coalesce("_accepted", F.lit(False)))
+
+
 def stored_rows(posted: DataFrame, last_number: int = 0) -> DataFrame:
     """Posted rows as stored, with ids continuing after `last_number`."""
     # numbering reads its input twice
