@@ -14,9 +14,10 @@ from ..sources.readers import message_files, topic_files
 from ..session import run_folder
 from ..streaming import commerce as commerce_stream
 from ..streaming import spend as spend_stream
+from ..streaming.windows import write_windows_once
 from . import model, shop, spend
 from . import standins as S
-from .common import Catalog, big, plain, rounded
+from .common import Catalog, big, moment, plain, rounded
 
 catalog = Catalog()
 
@@ -155,3 +156,119 @@ def _(spark, folder):
             F.count(F.lit(1)).alias("n")
         )
     )
+
+
+# a store that takes documents up to a size only: the write of a longer one raises
+LONGEST = 275
+
+
+def sized_store(longest: int):
+    def put(batch) -> None:
+        import pyarrow.compute as pc
+
+        sizes = pc.binary_length(batch.column("value").cast("binary"))
+        most = pc.max(sizes).as_py()
+        if most is not None and most > longest:
+            raise ValueError(f"document of {most} bytes exceeds {longest}")
+
+    return put
+
+
+_SIZE_SQL = "octet_length(encode(value))"
+_EVENT_OUTCOME_SQL = f"""(select topic original_topic, value original_value, coalesce({shop._EVENT_REASON_SQL},
+  case when {_SIZE_SQL} > {LONGEST} then 'document of ' || {_SIZE_SQL} || ' bytes exceeds {LONGEST}' end) reason from {shop._EVENT_TOPIC_SQL})"""
+_ORDER_OUTCOME_SQL = f"""(select topic, value, coalesce({shop._ORDER_REASON_SQL},
+  case when {_SIZE_SQL} > {LONGEST} then 'document of ' || {_SIZE_SQL} || ' bytes exceeds {LONGEST}' end) reason
+  from (select m.* from {S.TOPIC_ORDERS.sql} m))"""
+
+
+def _ingest_sized(spark, folder, label: str) -> str:
+    place = run_folder(spark, label)
+    commerce_stream.ingest(
+        _topic_stream(spark, folder, place), f"{place}/events", f"{place}/orders", f"{place}/refused", f"{place}/state",
+        put=sized_store(LONGEST),
+    ).awaitTermination()
+    return place
+
+
+@catalog.add(
+    "stream_write_refusals",
+    f"select * from {_EVENT_OUTCOME_SQL} where reason is not null union all select * from {_ORDER_OUTCOME_SQL} where reason is not null",
+)
+def _(spark, folder):
+    """Dead letters of a stream whose store refuses single documents, among all others refused."""
+    place = _ingest_sized(spark, folder, "refusals")
+    shape = "original_topic string, original_value string, reason string, failed_at string"
+    envelopes = spark.read.text(f"{place}/refused").select(F.from_json("value", shape).alias("r")).select("r.*")
+    return plain(envelopes.drop("failed_at"))
+
+
+@catalog.add(
+    "stream_written_events",
+    f"""select json_extract_string(original_value, '$.type') "type", json_extract_string(original_value, '$.user_id') user_id,
+    count(*) n from {_EVENT_OUTCOME_SQL} where reason is null group by all""",
+)
+def _(spark, folder):
+    """What the same stream stores: every sound event but those its store refuses."""
+    place = _ingest_sized(spark, folder, "written")
+    written = spark.read.schema(C.EVENT_SCHEMA).parquet(f"{place}/events")
+    return plain(written.groupBy("type", "user_id").agg(F.count(F.lit(1)).alias("n")))
+
+
+# --- late rows ---------------------------------------------------------------------------
+
+DELIVERIES, LATE_BY = 4, 2
+_EDGES_SQL = f"(select min(epoch_us(arrived_at)) low, max(epoch_us(arrived_at)) + 1 high from {S.MESSAGES.sql})"
+# deliveries are equal stretches of time; every 37th message comes two deliveries later
+_DELIVERED_SQL = f"""(select 'tx_' || event_id transaction_id, arrived_at, time_bucket(interval 5 minute, arrived_at) + interval 5 minute window_end,
+  least({DELIVERIES - 1}, (epoch_us(arrived_at) - low) * {DELIVERIES} // (high - low) + if(event_id % 37 = 5, {LATE_BY}, 0)) delivery
+  from {S.MESSAGES.sql}, {_EDGES_SQL})"""
+_PLACED_SQL = f"""(select g.*, d.arrived_at, d.window_end, d.delivery,
+  (select max(e.arrived_at) from {_DELIVERED_SQL} e join good x using (transaction_id) where e.delivery < d.delivery) watermark
+  from good g join {_DELIVERED_SQL} d using (transaction_id))"""
+
+
+def _delivered(spark, folder):
+    """Messages with the number of the delivery that brings them."""
+    rows = S.MESSAGES.frame(spark, folder).select("value", "arrived_at", "event_id", F.unix_micros("arrived_at").alias("_t"))
+    low, high = rows.agg(F.min("_t"), F.max("_t") + 1).first()
+    steps = F.expr(f"(_t - {low}L) * {DELIVERIES} div ({high}L - {low}L)") + F.when(F.col("event_id") % 37 == 5, LATE_BY).otherwise(0)
+    return rows.select("value", "arrived_at", F.least(F.lit(DELIVERIES - 1), steps).alias("delivery"))
+
+
+def _windows_once(spark, folder, label: str) -> str:
+    """A run of the stream per delivery: it is started again from its checkpoint each time."""
+    place = run_folder(spark, label)
+    rows = _delivered(spark, folder).persist()
+    for n in range(DELIVERIES):
+        rows.filter(F.col("delivery") == n).drop("delivery").write.mode("append").parquet(f"{place}/in")
+        stream = spend_stream.scored_stream(message_files(spark, f"{place}/in"))
+        write_windows_once(stream, f"{place}/windows", f"{place}/late", f"{place}/open", f"{place}/state").awaitTermination()
+    rows.unpersist()
+    return place
+
+
+@catalog.add(
+    "stream_windows_once",
+    f"""with good as ({spend.catalog.checks['parse_valid']}), placed as ({_PLACED_SQL})
+    select strftime(window_end, '%Y-%m-%dT%H:%M:%S+00:00') window_end, company_id, count(*) transaction_count,
+    cast(sum(cast(amount_usd as decimal(18,2))) as double) total_amount_usd
+    from placed where watermark is null or window_end > watermark group by window_end, company_id
+    having window_end <= (select max(arrived_at) from placed)""",
+)
+def _(spark, folder):
+    """Windows that are emitted once, over four deliveries with late messages among them."""
+    place = _windows_once(spark, folder, "once")
+    return plain(spark.read.parquet(f"{place}/windows").select("window_end", "company_id", "transaction_count", "total_amount_usd"))
+
+
+@catalog.add(
+    "stream_late_rows",
+    f"""with good as ({spend.catalog.checks['parse_valid']})
+    select transaction_id, company_id, {moment('window_end')} window_end, {moment('watermark')} watermark
+    from {_PLACED_SQL} where window_end <= watermark""",
+)
+def _(spark, folder):
+    """The messages that came after their window was emitted."""
+    place = _windows_once(spark, folder, "late")
+    return plain(spark.read.parquet(f"{place}/late").select("transaction_id", "company_id", "window_end", "watermark"))

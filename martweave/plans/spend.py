@@ -229,18 +229,14 @@ def vendor_risk(facts: DataFrame) -> DataFrame:
     )
 
 
-def spend_windows(
+def window_partials(
     scored: DataFrame, time_col: str, size: str = V.SPEND_WINDOW, slide: str | None = None,
     keys: Sequence[str] = ("company_id",),
 ) -> DataFrame:
-    """Per-company aggregates over fixed (or sliding) windows of `time_col`; batch and stream alike.
-
-    Company name and tier come from the smallest values in the window, which makes the
-    choice repeatable; they are constant per company.
-    """
+    """Mergeable totals per window of `time_col` (column `window`) and key."""
     amount = F.col("amount_usd").cast(NUMERIC)
     flagged = F.coalesce(F.col("risk_flag"), F.lit(False))
-    grouped = scored.groupBy(F.window(time_col, size, slide), *keys).agg(
+    return scored.groupBy(F.window(time_col, size, slide).alias("window"), *keys).agg(
         F.min("company_name").alias("company_name"),
         F.min("company_size_tier").alias("company_size_tier"),
         F.count(F.lit(1)).alias("transaction_count"),
@@ -249,10 +245,23 @@ def spend_windows(
         F.count_if(flagged).alias("risk_flagged_count"),
     )
 
+
+def merged_partials(partials: DataFrame, keys: Sequence[str] = ("company_id",)) -> DataFrame:
+    """Totals of equal windows and keys as one, e.g. of several batches or days."""
+    smallest, added = ("company_name", "company_size_tier"), ("transaction_count", "_total", "risk_flagged_count")
+    merged = partials.groupBy("window", *keys).agg(
+        *[F.min(c).alias(c) for c in smallest], *[F.sum(c).alias(c) for c in added], F.max("_max").alias("_max")
+    )
+    return merged.select(*[F.col(f.name).cast(f.dataType) for f in partials.schema.fields])
+
+
+def window_rows(partials: DataFrame, keys: Sequence[str] = ("company_id",)) -> DataFrame:
+    """The rows that are stored for windows with these totals."""
+
     def money(value: Column) -> Column:
         return F.round(value, 2).cast("double")
 
-    return grouped.select(
+    return partials.select(
         iso_utc("window.start").alias("window_start"),
         iso_utc("window.end").alias("window_end"),
         *keys,
@@ -267,6 +276,18 @@ def spend_windows(
     )
 
 
+def spend_windows(
+    scored: DataFrame, time_col: str, size: str = V.SPEND_WINDOW, slide: str | None = None,
+    keys: Sequence[str] = ("company_id",),
+) -> DataFrame:
+    """Per-company aggregates over fixed (or sliding) windows of `time_col`; batch and stream alike.
+
+    Company name and tier come from the smallest values in the window, which makes the
+    choice repeatable; they are constant per company.
+    """
+    return window_rows(window_partials(scored, time_col, size, slide, keys), keys)
+
+
 def stage_spend_windows(windows: DataFrame) -> DataFrame:
     present = F.col("company_id").isNotNull() & F.col("window_start").isNotNull()
     return windows.filter(present).select(

@@ -347,12 +347,12 @@ def tuition_statement(
         return awards.select(F.col("name").alias(kind), F.col("amount").alias(f"_{kind}_amount"))
 
     def matched(rows: DataFrame, key: str, table: DataFrame, known: Column) -> DataFrame:
-        """Left join that sends only rows that can match through the join: nulls and the like
-        are one key each and would meet in one task."""
-        some = rows.filter(known).join(table, key, "left").select(*rows.columns, *[c for c in table.columns if c != key])
-        none = rows.filter(~known)
-        blank = [F.lit(None).cast(k).alias(c) for c, k in table.dtypes if c != key]
-        return some.unionByName(none.select(*rows.columns, *blank))
+        """Left join in one pass.  Rows that cannot match (nulls and the like) get a null key and
+        are spread by student, so they do not meet in one task."""
+        spread = F.when(known, F.xxhash64(key)).otherwise(F.xxhash64("student_id"))
+        left = rows.select("*", F.when(known, F.col(key)).alias("_key"), spread.alias("_spread"))
+        right = table.select(F.col(key).alias("_key"), F.xxhash64(key).alias("_spread"), *[c for c in table.columns if c != key])
+        return left.join(right, ["_key", "_spread"], "left").drop("_key", "_spread")
 
     joined = students.select("student_id", "housing", "award", "scholarship").join(costs, "student_id", "left")
     has_room = F.col("housing").isNotNull() & ~F.col("housing").isin(V.HOUSING_PENDING, V.HOUSING_EXTERNAL)

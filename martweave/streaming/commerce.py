@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.upsert import read_stored, store_upsert
 from ..plans.commerce import ORDER_SCHEMA, decoded_events, decoded_orders, enrich_events, refused, routed
-
+from .isolation import Put, with_refusals
 
 # process what is there and stop; a running service passes {"processingTime": "30 seconds"} or the like
 AT_ONCE = {"availableNow": True}
@@ -27,6 +28,16 @@ def deduplicated(events: DataFrame, keys: list[str], stamp: str, lateness: str =
     return events.withWatermark(stamp, lateness).dropDuplicatesWithinWatermark(keys)
 
 
+def _stored(rows: DataFrame, put: Put) -> DataFrame:
+    """Routed records after the sound ones were handed to the store; `reason` tells what it refused."""
+    sound = rows.filter(F.col("reason").isNull()).drop("doc", "reason")
+    told = with_refusals(sound, put)
+    # the document is of a type that does not leave the engine: it is decoded again behind the store
+    back = routed(told.withColumnRenamed("reason", "_refusal"))
+    back = back.withColumn("reason", F.coalesce("_refusal", "reason")).drop("_refusal")
+    return rows.filter(F.col("reason").isNotNull()).unionByName(back)
+
+
 def ingest(
     records: DataFrame,
     events_path: str,
@@ -35,15 +46,23 @@ def ingest(
     checkpoint: str,
     geo_ranges: DataFrame | None = None,
     trigger: dict | None = None,
+    put: Put | None = None,
 ) -> StreamingQuery:
     """Offsets advance only after all three writes of a batch succeed.
 
     A batch that is run again replaces its own folders, so events are not doubled, and merges
     the same orders once more, which changes nothing.
+
+    `put` writes sound records to an outside store in their tasks; a record it refuses goes to
+    the refused ones with the store's error as reason and does not hold up the others.  If the
+    store is down altogether the batch fails and its offsets stay.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        rows = routed(batch).persist()
+        rows = routed(batch)
+        if put is not None:
+            rows = _stored(rows, put)
+        rows = rows.persist()
         try:
             enrich_events(decoded_events(rows), geo_ranges).write.mode("overwrite").parquet(
                 f"{events_path}/batch={number}"
