@@ -14,17 +14,17 @@ from martweave.llm import decontaminate, language, mixing, simhash, substring_de
 from martweave.llm.queries import table
 from martweave.llm.store import kept
 
-# a text that no language codes in fewer bits than its plain bytes is written in none of them;
-# a few words are too little to tell
-PLAIN_BITS, TELLING_BYTES = 8.0, 64
+# a text whose shortest code is longer than its plain bytes, by more bits than chance explains, is
+# written in no learned language
+PLAIN_BITS, SURPLUS_BITS = 8.0, 64.0
 
 
 def known_language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Leaves out texts without letters and texts that no learned language shortens."""
+    """Leaves out texts without letters and texts that every learned language lengthens."""
     model = language.fit(docs.where(language.learnable()))
     judged = language.predict(docs, model)
-    shortened = (F.col("bits_per_byte") < PLAIN_BITS) | (F.octet_length("text") < TELLING_BYTES)
-    return judged.where((F.col("lang_pred") != language.UNKNOWN) & shortened).select(*docs.columns)
+    surplus = (F.col("bits_per_byte") - PLAIN_BITS) * F.octet_length("text")
+    return judged.where((F.col("lang_pred") != language.UNKNOWN) & (surplus <= SURPLUS_BITS)).select(*docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

@@ -208,7 +208,7 @@ def text_lengths(model: Model, data: np.ndarray, off: np.ndarray, slots: np.ndar
 
 def _predict(shared):
     def task(batches):
-        model: Model = shared.value
+        model = Model(*shared.value)
         slots = _slots(model.grams[-1])
         for batch in batches:
             names, scores, rates = [], [], []
@@ -248,7 +248,7 @@ def predict(docs: DataFrame, model: Model, text_column: str = "text", carry: lis
     if model.labels:
         layout = rows.select("_doc", "_has_letter").schema
         layout = layout.add("_best", "string").add("_score", "double").add("_rate", "double")
-        shared = docs.sparkSession.sparkContext.broadcast(model)
+        shared = docs.sparkSession.sparkContext.broadcast(tuple(model))
         judged = rows.mapInArrow(_predict(shared), layout)
     else:  # nothing was learned
         judged, known = rows.withColumns({"_best": F.lit(UNKNOWN), "_score": F.lit(0.0), "_rate": F.lit(8.0)}), F.lit(False)

@@ -1,18 +1,20 @@
-"""License scan: phrases, and notices found by the rarest word of their key phrases.
+"""License scan by a positional index of rare words.
 
-*Index.*  The words of all notice templates, and the places of each template's mandatory key
-phrases.  How rare a word is comes from the corpus: the documents that hold it are counted over
-the whole table.
+*Index.*  Postings: every word of a template's mandatory key phrases with the templates that hold
+it and its place there.  How rare a word is comes from the corpus: the documents that hold it
+are counted over the whole table, idf = ln(1 + documents / (1 + holders)).
 
-*Scan.*  A file that holds all words of a template's key phrases is compared with it: the rarest
-of these words is looked up, and each of its places in the file gives one start of the template.
-As the key phrases must stand at their place, no other start is possible, whatever other notices
-the file holds.  A template is found where its key phrases stand there and at least `COVER` of its
-words do.
+*Scan.*  A file's licence words are looked up, those of highest idf first.  A place of the word
+in the file, less its place in a template, is where the template would start; the starts that
+the first `LOOKUPS` words of a template give are intersected, and a template without a start
+left is given up.  Only templates are open whose mandatory words the file holds altogether, and
+as these phrases must stand, every true start is among those of each of their words: none is
+lost, whatever other notices the file holds.  The key phrases are verified at the starts left.  A
+template is found where they stand and words worth `COVER` of its idf are at their place.
 
 *Phrases.*  Beside that the base phrases are counted wherever their words stand together.
 
-`score` is the largest share of a template's words at their place among templates found; a
+`score` is the largest share of a template's idf at its place among templates found; a
 file with base phrases only has half; others 0.  A null text is empty.
 """
 
@@ -29,6 +31,7 @@ from . import scan
 from .store import doc_field, packed, unpacked
 
 COVER = 0.7
+LOOKUPS = 3
 
 # fixed values: phrases and their labels
 BASE = (
@@ -113,9 +116,13 @@ class Template(NamedTuple):
 
 
 class Index(NamedTuple):
+    """`postings[word]`: (template, place) of a mandatory word; `needs[word, template]`."""
+
     vocabulary: np.ndarray
     templates: list[Template]
     base: list
+    postings: dict
+    needs: np.ndarray
 
 
 def index_of(notices=NOTICES, base=BASE) -> Index:
@@ -125,16 +132,33 @@ def index_of(notices=NOTICES, base=BASE) -> Index:
     def numbers(text: str) -> np.ndarray:
         return np.searchsorted(vocabulary, np.array([scan.text_hash(w) for w in text.split()], np.uint64))
 
-    templates = []
-    for label, notice, phrases in notices:
+    templates, postings = [], {}
+    needs = np.zeros((len(vocabulary), len(notices)), np.int32)
+    for t, (label, notice, phrases) in enumerate(notices):
         words, placed = numbers(notice), []
         for phrase in phrases:
             at = f" {notice} ".find(f" {phrase} ")
             if at < 0:
                 raise ValueError(f"the notice lacks its phrase {phrase!r}")
             placed.append((len(notice[:at].split()), numbers(phrase)))
-        templates.append(Template(label, words, placed, np.unique(np.concatenate([p for _, p in placed]))))
-    return Index(vocabulary, templates, [(numbers(p), label) for p, label in base])
+        places: dict = {}
+        for at, found in placed:
+            for i, word in enumerate(found.tolist(), at):
+                places.setdefault(word, i)
+        for word, place in places.items():
+            postings.setdefault(word, []).append((t, place))
+            needs[word, t] = 1
+        templates.append(Template(label, words, placed, np.array(sorted(places))))
+    return Index(vocabulary, templates, [(numbers(p), label) for p, label in base], postings, needs)
+
+
+def _plain(index: Index) -> tuple:
+    """The index as built-in types, which workers read without this package."""
+    return (index.vocabulary, [tuple(t) for t in index.templates], *index[2:])
+
+
+def _restored(parts: tuple) -> Index:
+    return Index(parts[0], [Template(*t) for t in parts[1]], *parts[2:])
 
 
 def _numbered(index: Index, data: np.ndarray, off: np.ndarray) -> tuple[scan.Words, np.ndarray]:
@@ -156,40 +180,61 @@ def _holdings(index: Index, found: scan.Words, numbers: np.ndarray, texts: int)
 
 def _counted(shared):
     def task(batches):
-        index = shared.value
-        total = np.zeros(len(index.vocabulary), np.int64)
+        index = _restored(shared.value)
+        total = np.zeros(len(index.vocabulary) + 1, np.int64)
         for batch in batches:
             for low, high, data, off in scan.blocks(batch.column(0)):
                 found, numbers = _numbered(index, data, off)
-                total += _holdings(index, found, numbers, high - low).sum(axis=0)
+                total[:-1] += _holdings(index, found, numbers, high - low).sum(axis=0)
+                total[-1] += high - low
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], names=["word", "n"])
 
     return task
 
 
-def align(index: Index, rarity: np.ndarray, numbers: np.ndarray, held: np.ndarray) -> dict[int, float]:
-    """Templates found in one file, with the largest share of their words at their place."""
-    found: dict[int, float] = {}
-    padded = None
-    for t, template in enumerate(index.templates):
-        if not held[template.needed].all():
+def rarities(held: np.ndarray, documents: int) -> np.ndarray:
+    """The idf of every word from the number of documents that hold it."""
+    return np.log1p(documents / (1.0 + held))
+
+
+def align(index: Index, idf: np.ndarray, numbers: np.ndarray, possible) -> tuple[dict[int, float], int]:
+    """Templates found in one file with the largest share of their idf at its place, and how many were compared.
+
+    `possible`: the templates whose mandatory words the file holds.
+    """
+    waiting = {int(t): min(LOOKUPS, len(index.templates[t].needed)) for t in possible}
+    starts: dict[int, np.ndarray] = {}
+    words = np.flatnonzero(index.needs[:, possible].any(axis=1))
+    for word in words[np.argsort(-idf[words], kind="stable")].tolist():
+        wanted = [(t, place) for t, place in index.postings[word] if t in waiting]
+        if not wanted:
             continue
-        word = template.needed[np.argmin(rarity[template.needed])]
-        # one place of the word within a mandatory phrase: the template stands nowhere without it
-        ahead = next(at + int(np.argmax(words == word)) for at, words in template.phrases if word in words)
-        if padded is None:
-            most = max(len(x.words) for x in index.templates)
-            padded = np.concatenate([np.full(most, -1), numbers, np.full(most, -1)])
-        starts = np.flatnonzero(numbers == word) - ahead + most
-        for at, words in template.phrases:
-            for i, wanted in enumerate(words.tolist(), at):
-                starts = starts[padded[starts + i] == wanted]
-        if len(starts):
-            there = sum((padded[starts + i] == wanted).astype(np.int64) for i, wanted in enumerate(template.words.tolist()))
-            share = float(there.max() / len(template.words))
+        places = np.flatnonzero(numbers == word)
+        for t, place in wanted:
+            own = starts.get(t)
+            starts[t] = places - place if own is None else own[np.isin(own + place, places, assume_unique=True)]
+            waiting[t] -= 1
+            if not waiting[t] or not len(starts[t]):
+                del waiting[t]
+        if not waiting:
+            break
+    found: dict[int, float] = {}
+    compared = [t for t, own in starts.items() if len(own)]
+    if compared:
+        most = max(len(x.words) for x in index.templates)
+        padded = np.concatenate([np.full(most, -1), numbers, np.full(most, -1)])
+    for t in compared:
+        template, own = index.templates[t], starts[t] + most
+        for at, phrase in template.phrases:
+            for i, word in enumerate(phrase.tolist(), at):
+                own = own[padded[own + i] == word]
+        if len(own):
+            there = sum((padded[own + i] == word) * idf[word] for i, word in enumerate(template.words.tolist()))
+            # added up in the same order, so that a whole notice has exactly one
+            share = float(there.max() / sum(idf[template.words].tolist()))
             if share >= COVER:
                 found[t] = share
-    return found
+    return found, len(compared)
 
 
 _FIELDS = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
@@ -198,19 +243,23 @@ _ADDED = "n_words long, n_base long, first_word long, last_word long, base_label
 
 def _scanned(shared):
     def task(batches):
-        index, rarity = shared.value
+        parts, idf = shared.value
+        index = _restored(parts)
+        asked = index.needs.sum(axis=0)
         for batch in batches:
             out: list[list] = [[] for _ in _FIELDS]
             for low, high, data, off in scan.blocks(batch.column("_text")):
                 found, numbers = _numbered(index, data, off)
                 held = _holdings(index, found, numbers, high - low)
+                possible = held.astype(np.int32) @ index.needs == asked
                 places = [_phrase_places(numbers, found, words) for words, _ in index.base]
                 for i in range(high - low):
                     a, b = int(found.first[i]), int(found.first[i + 1])
                     own = [p[np.searchsorted(p, a) : np.searchsorted(p, b)] - a for p in places]
                     starts = np.concatenate(own)
                     base = {label for (_, label), p in zip(index.base, own) if len(p)}
-                    notices = align(index, rarity, numbers[a:b], held[i])
+                    some = np.flatnonzero(possible[i])
+                    notices = align(index, idf, numbers[a:b], some)[0] if len(some) else {}
                     labels = base | {index.templates[t].label for t in notices}
                     row = (
                         b - a,
@@ -250,14 +299,13 @@ def scan_licenses(
     wanted = docs.select(*[f"`{c}`" for c in carry or docs.columns])
     context = docs.sparkSession.sparkContext
     index = index_of(notices, base)
-    shared = context.broadcast(index)
+    shared = context.broadcast(_plain(index))
     counts = docs.select(F.col(text_column)).mapInArrow(_counted(shared), "word long, n long")
-    held = np.zeros(len(index.vocabulary))
-    # one row per word of the templates
+    held = np.zeros(len(index.vocabulary) + 1)
+    # one row per word of the templates, and one for all documents
     for word, n in counts.groupBy("word").agg(F.sum("n")).collect():
         held[word] = n
-    # the fewer documents hold a word, the higher its inverse document frequency
-    ranked = context.broadcast((index, held))
+    ranked = context.broadcast((_plain(index), rarities(held[:-1], held[-1])))
     rows = packed(docs).select(
         F.struct(*[doc_field(c).alias(c) for c in wanted.columns]).alias("_doc"), doc_field(text_column).alias("_text")
     )

@@ -79,6 +79,9 @@ def mix(
         F.xxhash64(doc_field(text_column)).alias("_key"),
         F.coalesce(F.regexp_count(doc_field(text_column), F.lit(_WORD)), F.lit(0)).cast("long").alias("size"),
     )
+    if carry:
+        # the range sort reads its input twice: narrow rows are written, so that words are counted once
+        rows = kept(rows, "sized")
     # sorted once: by source, largest first
     order = [F.col("_source").asc_nulls_last(), F.desc("size"), F.col("_id").asc_nulls_last(), F.col("_key")]
     placed = numbered_by_content(rows, order, "_place", "mixed")

@@ -148,7 +148,7 @@ def open_leaves(forest: Forest, sizes: np.ndarray, query: np.ndarray, k: int) ->
 
 def _counted(shared, size: int):
     def task(batches):
-        forest = shared.value
+        forest = Forest(*shared.value)
         trees, depth, _ = forest.directions.shape
         total = np.zeros((trees, 1 << depth), np.int64)
         for batch in batches:
@@ -172,7 +172,8 @@ def _placed(shared, size: int, k: int):
     """Rows go to one unit per tree, queries to all parts of the leaves they open."""
 
     def task(batches):
-        forest, sizes, parts = shared.value
+        planted, sizes, parts = shared.value
+        forest = Forest(*planted)
         trees = len(forest.directions)
         for batch in batches:
             ids = np.asarray(batch.column("_id"))
@@ -304,13 +305,13 @@ def search(
     every = every.where(F.size("_vector") == size)
     some = drawn(every, "_id", sample, rows, seed).select("_vector").toArrow()
     forest = plant(_matrix(some.column(0).combine_chunks(), size), rows, trees, leaf, recall, k, seed)
-    shared = spark.sparkContext.broadcast(forest)
+    shared = spark.sparkContext.broadcast(tuple(forest))
     counts = every.mapInArrow(_counted(shared, size), "tree int, leaf long, n long")
     sizes = np.zeros((trees, 1 << forest.directions.shape[1]), np.int64)
     # at most one row per leaf of the forest
     for t, node, n in counts.groupBy("tree", "leaf").agg(F.sum("n")).collect():
         sizes[t, node] = n
-    index = spark.sparkContext.broadcast((forest, sizes, np.maximum(1, -(-sizes // PART))))
+    index = spark.sparkContext.broadcast((tuple(forest), sizes, np.maximum(1, -(-sizes // PART))))
     placed = every.mapInArrow(_placed(index, size, k), "_unit long, _kind tinyint, _id long, _vector array<double>")
     met = placed.repartition("_unit").sortWithinPartitions("_unit", "_kind")
     found = met.mapInArrow(_measured(size, k), "query_id long, vec_id long, score double")

@@ -202,7 +202,7 @@ def train(rows: list, counts: list, toxic: np.ndarray, share: float, seed: int =
 
 def _score(shared):
     def task(batches):
-        model: Model = shared.value
+        model = Model(*shared.value)
         for batch in batches:
             logits = []
             for low, high, data, off in scan.blocks(batch.column("_text")):
@@ -223,6 +223,6 @@ def score(docs: DataFrame, model: Model, text_column: str = "text", carry: list[
     rows = packed(docs).select(
         F.struct(*[doc_field(c).alias(c) for c in wanted.columns]).alias("_doc"), doc_field(text_column).alias("_text")
     )
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(model))
     scored = rows.mapInArrow(_score(shared), rows.select("_doc").schema.add("score", "double"))
     return unpacked(scored, wanted, "score")

@@ -227,3 +227,66 @@ def test_learnable_is_the_stated_split(spark):
 
     df = spark.range(200).select(F.col("id").alias("doc_id")).withColumn("ok", language.learnable())
     assert all(r.ok == (zlib.crc32(str(r.doc_id).encode()) % 5 != 0) for r in df.collect())
+
+
+def found_by_trying(text, idf):
+    """Every template at every place of the file."""
+    w, best = folded_words(text), {}
+    for label, notice, phrases in licenses.NOTICES:
+        n = notice.split()
+        must = {f" {notice} "[: f" {notice} ".find(f" {p} ")].count(" ") + i: x for p in phrases for i, x in enumerate(p.split())}
+        for start in range(-len(n), len(w)):
+            def here(i, start=start):
+                return w[start + i] if 0 <= start + i < len(w) else None
+
+            if all(here(i) == x for i, x in must.items()):
+                share = sum(idf[x] for i, x in enumerate(n) if here(i) == x) / sum(idf[x] for x in n)
+                if share >= licenses.COVER:
+                    best[label] = max(best.get(label, 0), share)
+    return best
+
+
+def test_license_labels_and_scores_by_trying_all(spark):
+    texts = [f"{a} and then {b}" for _, a, _ in licenses.NOTICES[::3] for _, b, _ in licenses.NOTICES[1::4]]
+    texts += [n.replace(" the ", " a ") for _, n, _ in licenses.NOTICES] + [" ".join(n.split()[4:]) for _, n, _ in licenses.NOTICES]
+    texts += ["mit license", "the " * 50, "", "reserved all rights all rights reserved"]
+    held = {}
+    for t in texts:
+        for x in set(folded_words(t)):
+            held[x] = held.get(x, 0) + 1
+    idf = {x: math.log1p(len(texts) / (1 + held.get(x, 0))) for _, n, _ in licenses.NOTICES for x in n.split()}
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in licenses.scan_licenses(df).collect():
+        want = found_by_trying(r.text, idf)
+        base = set(filter(None, r.base_labels.split(",")))
+        assert r.labels == ",".join(sorted(base | set(want)))
+        assert math.isclose(r.score, max([*want.values(), 0.5 if base else 0.0]), rel_tol=1e-9)
+
+
+def test_license_rare_words_leave_few_templates_to_compare():
+    index = licenses.index_of()
+    idf = licenses.rarities(np.ones(len(index.vocabulary)), 100)
+    everything = np.arange(len(index.templates))
+    (_, mit, _) = licenses.NOTICES[1]
+    shuffled = " ".join(sorted(" ".join(n for _, n, _ in licenses.NOTICES).split()))
+
+    def run(text):
+        data = np.frombuffer(text.encode(), np.uint8)
+        return licenses.align(index, idf, licenses._numbered(index, data, np.array([0, len(data)]))[1], everything)
+
+    # the file holds every word of every template, but only one template stands there
+    found, compared = run(f"{shuffled} {mit}")
+    assert list(found) == [1] and compared < len(everything) / 2
+
+
+def test_license_rarity_counts(spark):
+    """The same file gets another score where its words are common."""
+    isc = next(n for label, n, _ in licenses.NOTICES if label == "isc")
+    damaged = isc.replace("copies", "papers")
+    others = [isc.split("copies")[0]] * 30
+
+    def score(rest):
+        df = spark.createDataFrame(list(enumerate([damaged, *rest])), "doc_id long, text string")
+        return licenses.scan_licenses(df).where("doc_id = 0").first().score
+
+    assert score(others) < score(["copies"] * 30)
