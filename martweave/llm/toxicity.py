@@ -40,6 +40,8 @@ LEAST = 5
 STEPS, BATCH, RATE, MOMENTUM = 300, 128, 0.5, 0.9
 # averages of rare subwords are small numbers; this brings them near one
 _GAIN = 100.0
+# subwords of a text are several arrays of its length: small blocks bound what a task holds
+_BLOCK = 1 << 18
 # the bias where all labels are alike
 _ONE_CLASS = 4.0
 
@@ -82,7 +84,7 @@ def _subwords(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def _bags(batches):
     """Per text its table rows and how often each occurs, as byte strings."""
     for batch in batches:
-        for low, high, data, off in scan.blocks(batch.column("_text")):
+        for low, high, data, off in scan.blocks(batch.column("_text"), _BLOCK):
             rows, owner = _subwords(data, off)
             keys, n = np.unique((owner << BITS) | rows, return_counts=True)
             cuts = np.searchsorted(keys >> BITS, np.arange(1, high - low))
@@ -145,20 +147,29 @@ def _trained(share: float, seed: int):
     return task
 
 
+def _raw(values: np.ndarray) -> bytes:
+    """The bytes of an array, those it was read from where it is a view of them."""
+    return values.base if isinstance(values.base, bytes) else values.tobytes()
+
+
 def train(rows: list, counts: list, toxic: np.ndarray, share: float, seed: int = 7) -> Model:
     """Descends on embeddings and linear layer together; deterministic for a given set of bags."""
-    order = sorted(range(len(rows)), key=lambda i: (toxic[i], rows[i].tobytes(), counts[i].tobytes()))
+    order = sorted(range(len(rows)), key=lambda i: (toxic[i], _raw(rows[i]), _raw(counts[i])))
     rows, counts, toxic = [rows[i] for i in order], [counts[i] for i in order], toxic[order]
     weight = np.zeros(1 << BITS, np.float32)
     if not len(rows) or toxic.min() == toxic.max():
         return Model(weight, _ONE_CLASS if len(rows) and toxic[0] else -_ONE_CLASS)
-    held = np.bincount(np.concatenate(rows), minlength=1 << BITS)
+    held = np.zeros(1 << BITS, np.int64)
+    for r in rows:
+        held[r] += 1  # a bag holds a subword once
     used = np.flatnonzero(held >= LEAST)
     rarity = np.log(len(rows) / held[used])
     slot = np.full(1 << BITS, -1, np.int32)
     slot[used] = np.arange(len(used))
     bags = []
-    for r, n in zip(rows, counts):
+    for i in range(len(rows)):
+        r, n = rows[i], counts[i]
+        rows[i] = counts[i] = None  # the bags take their place
         at = slot[r]
         x = n[at >= 0] * (_GAIN / max(n.sum(), 1))
         at = at[at >= 0]
@@ -205,7 +216,7 @@ def _score(shared):
         model = Model(*shared.value)
         for batch in batches:
             logits = []
-            for low, high, data, off in scan.blocks(batch.column("_text")):
+            for low, high, data, off in scan.blocks(batch.column("_text"), _BLOCK):
                 rows, owner = _subwords(data, off)
                 n = np.bincount(owner, minlength=high - low)
                 total = np.bincount(owner, model.weight[rows], high - low)
