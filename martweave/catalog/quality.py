@@ -253,7 +253,7 @@ def _(spark, folder):
 @catalog.add(
     "account_violations",
     _suite_sql(
-        S.ACCOUNTS_C.sql,
+        bank._ACCOUNTS_SQL,
         [
             _rowwise("accounts", "minimum", "current_balance", "current_balance >= 0", "current_balance is not null"),
             _rowwise("accounts", "minimum", "minimum_balance", "minimum_balance >= 0", "minimum_balance is not null"),
@@ -264,7 +264,7 @@ def _(spark, folder):
 )
 def _(spark, folder):
     checks = [Q.minimum("current_balance", 0), Q.minimum("minimum_balance", 0), Q.required("account_id"), Q.required("currency")]
-    return plain(Q.run_rowwise("accounts", S.ACCOUNTS_C.frame(spark, folder), checks))
+    return plain(Q.run_rowwise("accounts", bank.accounts(spark, folder), checks))
 
 
 @catalog.add(

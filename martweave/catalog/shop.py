@@ -151,21 +151,22 @@ def _(spark, folder):
     "order_upsert",
     f"""with docs as (select * from (select o_orderkey, o_orderkey // 2 doc, o_custkey, o_totalprice, o_orderpriority,
       o_orderstatus, {_ORDER_REASON_SQL} reason from orders)),
-    base as (select o_orderkey doc, o_custkey from orders where o_orderkey % 3 = 0),
+    base as (select if(o_orderkey % 3 = 0, 'ORD-', 'OLD-') || o_orderkey id from orders),
     newest as (select doc, max(o_orderkey) last_key, max(o_orderkey) filter (o_orderkey % 2 = 0) last_even from docs where reason is null group by doc)
-    select 'ORD-' || coalesce(b.doc, n.doc) order_id, if(n.doc is null, 'usr_old', 'usr_' || l.o_custkey) user_id,
+    select coalesce(b.id, 'ORD-' || n.doc) order_id, if(n.doc is null, 'usr_old', 'usr_' || l.o_custkey) user_id,
     if(n.doc is null, 'pending', {quoted(V.DOC_ORDER_STATUSES).join(['[', ']'])}[last_key % 6 + 1]) status,
     {dbl('if(n.doc is null, 1.0, cast(l.o_totalprice as decimal(18,2)))')} total,
-    case when last_even is not null then e.o_orderpriority when b.doc is not null then 'Old Town' end city
-    from base b full join newest n on n.doc = b.doc left join docs l on l.o_orderkey = n.last_key
+    case when last_even is not null then e.o_orderpriority when b.id is not null then 'Old Town' end city
+    from base b full join newest n on 'ORD-' || n.doc = b.id left join docs l on l.o_orderkey = n.last_key
     left join docs e on e.o_orderkey = n.last_even""",
 )
 def _(spark, folder):
     """Stored orders with two updates per order id, the second without an address, which must survive."""
     updates = C.decoded_orders(topic_orders(spark, folder))
-    old = S.TOPIC_ORDERS.frame(spark, folder).filter(F.col("o_orderkey") % 3 == 0)
-    stored = old.select(
-        F.concat(F.lit("ORD-"), F.col("o_orderkey").cast("string")).alias("order_id"),
+    # two thirds of the stored orders have ids that no update names
+    prefix = F.when(F.col("o_orderkey") % 3 == 0, F.lit("ORD-")).otherwise(F.lit("OLD-"))
+    stored = S.TOPIC_ORDERS.frame(spark, folder).select(
+        F.concat(prefix, F.col("o_orderkey").cast("string")).alias("order_id"),
         F.lit("usr_old").alias("user_id"),
         F.lit(None).cast("string").alias("session_id"),
         F.lit(None).cast("array<struct<product_id:string,name_snapshot:string,unit_price:double,quantity:int>>").alias("items"),
@@ -186,22 +187,22 @@ def _(spark, folder):
 
 @catalog.add(
     "rate_upsert",
-    """select 'N' || n_nationkey || '/USD' currency_pair, coalesce(new_rate, if(n_nationkey < 20, 1.0, null)) exchange_rate
-    from nation left join (select c_nationkey, arg_max(c_acctbal, c_custkey) new_rate from customer where c_nationkey >= 10
-    group by c_nationkey) on c_nationkey = n_nationkey where n_nationkey < 20 or new_rate is not null""",
+    """select coalesce(s.pair, q.pair) currency_pair, coalesce(new_rate, 1.0) exchange_rate
+    from (select 'N' || n_nationkey || '/USD' pair from nation) s
+    full join (select 'N' || c_nationkey || if(c_nationkey < 10, '/EUR', '/USD') pair, arg_max(c_acctbal, c_custkey) new_rate
+      from customer group by c_nationkey) q on q.pair = s.pair""",
 )
 def _(spark, folder):
     """Rates keyed by pair: the latest quote wins, unquoted pairs stay, new pairs are added."""
     from ..sources.tables import table
 
-    def pair(key: str):
-        return F.concat(F.lit("N"), F.col(key).cast("string"), F.lit("/USD")).alias("currency_pair")
+    def pair(key: str, currency):
+        return F.concat(F.lit("N"), F.col(key).cast("string"), currency).alias("currency_pair")
 
-    stored = table(spark, folder, "nation").filter("n_nationkey < 20").select(
-        pair("n_nationkey"), F.lit(1.0).alias("exchange_rate")
-    )
-    quotes = table(spark, folder, "customer").filter("c_nationkey >= 10").select(
-        pair("c_nationkey"), F.col("c_acctbal").alias("exchange_rate"), F.col("c_custkey").alias("quoted")
+    stored = table(spark, folder, "nation").select(pair("n_nationkey", F.lit("/USD")), F.lit(1.0).alias("exchange_rate"))
+    quoted_in = F.when(F.col("c_nationkey") < 10, F.lit("/EUR")).otherwise(F.lit("/USD"))
+    quotes = table(spark, folder, "customer").select(
+        pair("c_nationkey", quoted_in), F.col("c_acctbal").alias("exchange_rate"), F.col("c_custkey").alias("quoted")
     )
     return plain(merge_upsert(stored, quotes, "currency_pair", "quoted"))
 

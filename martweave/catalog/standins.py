@@ -95,7 +95,8 @@ RAW_LEADS = Standin(
 RAW_DEALS = Standin(
     "supplier",
     {
-        "mql_id": "'mql_' || cast(s_suppkey as varchar(20))",
+        # two thirds of the deals name no lead of the funnel
+        "mql_id": "case when s_suppkey % 3 = 0 then 'mql_' else 'direct_' end || cast(s_suppkey as varchar(20))",
         "won_date": "case when s_suppkey % 33 = 30 then null else date '1997-03-01' + cast(s_suppkey % 300 as int) end",
         "seller_id": "s_suppkey",
         "sdr_id": "'sdr_' || cast(s_suppkey % 5 as varchar(20))",
@@ -110,7 +111,6 @@ RAW_DEALS = Standin(
         "declared_product_catalog_size": "s_suppkey % 100",
         "declared_monthly_revenue": "s_acctbal",
     },
-    "s_suppkey % 3 = 0",
 )
 RAW_PRODUCTS = Standin(
     "part",
@@ -129,8 +129,8 @@ RAW_PRODUCTS = Standin(
 # distinct categories are taken by the caller
 RAW_CATEGORIES = Standin(
     "part",
-    {"product_category_name": "p_type", "product_category_name_english": "lower(p_type)"},
-    "p_type <> 'PROMO'",
+    # one category is listed under a name that no product has
+    {"product_category_name": "case when p_type = 'PROMO' then 'OFFERS' else p_type end", "product_category_name_english": "lower(p_type)"},
 )
 RAW_GEOLOCATION = Standin(
     "supplier",
