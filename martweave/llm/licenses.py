@@ -231,7 +231,7 @@ def align(index: Index, idf: np.ndarray, numbers: np.ndarray, possible) -> tuple
         if len(own):
             there = sum((padded[own + i] == word) * idf[word] for i, word in enumerate(template.words.tolist()))
             # added up in the same order, so that a whole notice has exactly one
-            share = min(1.0, float(there.max() / sum(idf[template.words].tolist())))
+            share = float(there.max() / np.cumsum(idf[template.words])[-1])
             if share >= COVER:
                 found[t] = share
     return found, len(compared)
