@@ -14,6 +14,7 @@ from ..sources.readers import message_files, topic_files
 from ..session import run_folder
 from ..streaming import commerce as commerce_stream
 from ..streaming import spend as spend_stream
+from ..streaming.signals import write_signals
 from ..streaming.windows import write_windows_once
 from . import model, shop, spend
 from . import standins as S
@@ -272,3 +273,37 @@ def _(spark, folder):
     """The messages that came after their window was emitted."""
     place = _windows_once(spark, folder, "late")
     return plain(spark.read.parquet(f"{place}/late").select("transaction_id", "company_id", "window_end", "watermark"))
+
+
+# --- live signals ------------------------------------------------------------------------
+
+LOOK_BACK, SIGNAL_LATENESS = 360, "1 day"
+_SIGNAL_ROWS_SQL = f"(select g.transaction_id, g.company_id, g.vendor_category, d.arrived_at t, d.delivery n from good g join {_DELIVERED_SQL} d using (transaction_id))"
+
+
+@catalog.add(
+    "stream_live_signals",
+    f"""with good as ({spend.catalog.checks['parse_valid']}), p as materialized {_SIGNAL_ROWS_SQL},
+    marks as (select d n, max(t) - interval {SIGNAL_LATENESS} mark from range({DELIVERIES}) r(d) left join p on p.n < d group by d),
+    newest as (select company_id, d n, max(t) top from range({DELIVERIES}) r(d) join p on p.n < d group by all),
+    firsts as (select transaction_id, row_number() over (partition by company_id, vendor_category order by n, t, transaction_id) = 1 new_category from p)
+    select a.transaction_id, a.company_id, new_category, m.mark is null or a.t >= m.mark history_complete,
+      count(*) filter (b.t between a.t - interval {LOOK_BACK} minute and a.t) recent_count,
+      {rounded("date_diff('microsecond', max(b.t) filter ((b.t, b.n, b.transaction_id) < (a.t, a.n, a.transaction_id)), a.t) / 1000000.0", 6)} seconds_since_last
+    from p a join firsts using (transaction_id) join marks m on m.n = a.n left join newest x on x.n = a.n and x.company_id = a.company_id
+    join p b on b.company_id = a.company_id and (b.n = a.n or b.n < a.n and (b.t >= m.mark - interval {LOOK_BACK} minute or b.t = x.top))
+    group by a.transaction_id, a.company_id, a.t, new_category, m.mark""",
+)
+def _(spark, folder):
+    """Velocity, new categories and time since the last payment, over four deliveries with late messages among them."""
+    place = run_folder(spark, "signals")
+    rows = _delivered(spark, folder).persist()
+    for n in range(DELIVERIES):
+        rows.filter(F.col("delivery") == n).drop("delivery").write.mode("append").parquet(f"{place}/in")
+        stream = spend_stream.scored_stream(message_files(spark, f"{place}/in"))
+        write_signals(
+            stream, f"{place}/signals", f"{place}/seen", f"{place}/state", minutes=LOOK_BACK, lateness=SIGNAL_LATENESS
+        ).awaitTermination()
+    rows.unpersist()
+    columns = ["transaction_id", "company_id", "recent_count", "seconds_since_last", "new_category", "history_complete"]
+    return plain(spark.read.parquet(f"{place}/signals").select(*columns), {"seconds_since_last": 6})

@@ -24,7 +24,7 @@ def _micros(stamp: str) -> Column:
     return F.unix_micros(stamp)
 
 
-def _with_lead_in(df: DataFrame, stamp: str, span: int, block: int) -> DataFrame:
+def with_lead_in(df: DataFrame, stamp: str, span: int, block: int) -> DataFrame:
     """Rows in their own time block and, where within `span` of its end, once more in the next
     block as lead-in.  `span` must not exceed `block` (both in microseconds)."""
     at = _micros(stamp)
@@ -38,7 +38,7 @@ def _with_lead_in(df: DataFrame, stamp: str, span: int, block: int) -> DataFrame
     )
 
 
-def _block(span: int, hours: int) -> int:
+def time_blocks(span: int, hours: int) -> int:
     """Several spans long, so that only the rows near a block's end are copied."""
     return max(hours * 3600 * MICROS, _SPANS * span)
 
@@ -51,8 +51,8 @@ def velocity(
     The count includes the row itself and everything up to and at its instant.
     """
     span = minutes * 60 * MICROS
-    block = _block(span, block_hours)
-    rows = _with_lead_in(transactions, stamp, span, block)
+    block = time_blocks(span, block_hours)
+    rows = with_lead_in(transactions, stamp, span, block)
     recent = Window.partitionBy(company, "_block").orderBy("_at").rangeBetween(-span, 0)
     return (
         rows.withColumn("recent_count", F.count(F.lit(1)).over(recent))
@@ -72,8 +72,8 @@ def repeated_payments(
 ) -> DataFrame:
     """Transactions with an earlier one of the same `keys` (company, vendor, amount) within `minutes`."""
     span = minutes * 60 * MICROS
-    block = _block(span, block_hours)
-    rows = _with_lead_in(transactions, stamp, span, block)
+    block = time_blocks(span, block_hours)
+    rows = with_lead_in(transactions, stamp, span, block)
     earlier = Window.partitionBy(*keys, "_block").orderBy("_at").rangeBetween(-span, -1)
     return (
         rows.withColumn("_last", F.max("_at").over(earlier))
