@@ -106,6 +106,26 @@ def _(spark, folder):
     return plain(windows.select("company_id", "window_start", "transaction_count", "total_amount_usd"))
 
 
+@catalog.add(
+    "rolling_day_peaks",
+    f"""select company_id, max(n) most_transactions, {dbl('max(total)')} most_spent_usd, count(*) windows, sum(n)::bigint counted
+    from (select company_id, w, count(*) n, sum(amount_usd) total
+      from (select *, unnest(range(288)) back from {_ROWS_SQL}), lateral (select time_bucket(interval 5 minute, ts) - back * interval 5 minute w)
+      group by all) group by company_id""",
+)
+def _(spark, folder):
+    """Busiest and dearest 24 hours of each company, among those that start at any five minutes."""
+    windows = P.spend_windows(spend.scored(spark, folder), "ts", "24 hours", "5 minutes")
+    return plain(
+        windows.groupBy("company_id").agg(
+            F.max("transaction_count").alias("most_transactions"),
+            F.max("total_amount_usd").alias("most_spent_usd"),
+            F.count(F.lit(1)).alias("windows"),
+            F.sum("transaction_count").alias("counted"),
+        )
+    )
+
+
 @catalog.add(
     "extra_features",
     f"""select transaction_id, {rounded("date_diff('microsecond', lag(ts) over (partition by company_id order by ts, transaction_id), ts) / 1000000.0", 6)} seconds_since_last,

@@ -14,6 +14,7 @@ from ..functions.numbers import ratio
 from ..functions.risk import with_features, with_risk_score, with_rule_flags
 from ..functions.text import alert_reason
 from ..operators.distinct import with_distinct_counts
+from ..operators.panes import sliding_totals
 
 NUMERIC = "decimal(38,9)"
 # a dividend of this type makes Spark's decimal quotient keep nine decimals
@@ -233,16 +234,25 @@ def window_partials(
     scored: DataFrame, time_col: str, size: str = V.SPEND_WINDOW, slide: str | None = None,
     keys: Sequence[str] = ("company_id",),
 ) -> DataFrame:
-    """Mergeable totals per window of `time_col` (column `window`) and key."""
+    """Mergeable totals per window of `time_col` (column `window`) and key.
+
+    Sliding windows of a batch come from panes, so no row is copied; a stream takes the
+    engine's own windows, whose state and watermark it needs.
+    """
     amount = F.col("amount_usd").cast(NUMERIC)
     flagged = F.coalesce(F.col("risk_flag"), F.lit(False))
+    totals = {
+        "company_name": ("min", F.min("company_name")),
+        "company_size_tier": ("min", F.min("company_size_tier")),
+        "transaction_count": ("sum", F.count(F.lit(1))),
+        "_total": ("sum", F.sum(amount)),
+        "_max": ("max", F.max(amount)),
+        "risk_flagged_count": ("sum", F.count_if(flagged)),
+    }
+    if slide is not None and not scored.isStreaming:
+        return sliding_totals(scored, time_col, size, slide, keys, totals)
     return scored.groupBy(F.window(time_col, size, slide).alias("window"), *keys).agg(
-        F.min("company_name").alias("company_name"),
-        F.min("company_size_tier").alias("company_size_tier"),
-        F.count(F.lit(1)).alias("transaction_count"),
-        F.sum(amount).alias("_total"),
-        F.max(amount).alias("_max"),
-        F.count_if(flagged).alias("risk_flagged_count"),
+        *[value.alias(name) for name, (_, value) in totals.items()]
     )
 
 
