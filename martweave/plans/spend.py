@@ -13,7 +13,7 @@ from ..functions.ladders import at_least
 from ..functions.numbers import ratio
 from ..functions.risk import with_features, with_risk_score, with_rule_flags
 from ..functions.text import alert_reason
-from ..operators.distinct import with_distinct_counts
+from ..operators.distinct import distinct_partials, from_partials
 from ..operators.panes import sliding_totals
 
 NUMERIC = "decimal(38,9)"
@@ -121,37 +121,53 @@ def transaction_facts(enriched: DataFrame) -> DataFrame:
     return enriched.select(*FACT_COLUMNS)
 
 
-def company_daily_spend(enriched: DataFrame) -> DataFrame:
-    flags = {
-        "risk_flagged_count": "risk_flag",
-        "spend_spike_count": "rule_spend_spike",
-        "high_risk_vendor_count": "rule_high_risk_vendor",
-        "off_hours_count": "rule_off_hours",
-        "known_anomaly_count": "is_simulated_anomaly",
-    }
-    mean = F.try_divide(F.sum("_amount"), F.sum("_amounts"))
-    daily = with_distinct_counts(
+_DAILY_FLAGS = {
+    "risk_flagged_count": "risk_flag",
+    "spend_spike_count": "rule_spend_spike",
+    "high_risk_vendor_count": "rule_high_risk_vendor",
+    "off_hours_count": "rule_off_hours",
+    "known_anomaly_count": "is_simulated_anomaly",
+}
+_DAILY_GROUP = ["transaction_date", "company_id", "company_name", "company_size_tier", "baseline_monthly_spend"]
+_DAILY_COUNTED = {"distinct_vendor_count": "vendor_id", "distinct_category_count": "vendor_category"}
+
+
+def daily_partials(enriched: DataFrame) -> DataFrame:
+    """Totals per company, day, vendor and category: what company days of several lots of rows are made of."""
+    return distinct_partials(
         enriched,
-        ["transaction_date", "company_id", "company_name", "company_size_tier", "baseline_monthly_spend"],
-        {"distinct_vendor_count": "vendor_id", "distinct_category_count": "vendor_category"},
+        _DAILY_GROUP,
+        _DAILY_COUNTED,
         {
             "_rows": F.count(F.lit(1)),
             "_amount": F.sum("amount_usd"),
             "_amounts": F.count("amount_usd"),
             "_largest": F.max("amount_usd"),
-            **{f"_{name}": F.count_if(flag) for name, flag in flags.items()},
+            **{f"_{name}": F.count_if(flag) for name, flag in _DAILY_FLAGS.items()},
         },
+    )
+
+
+def daily_from_partials(partials: DataFrame) -> DataFrame:
+    daily = from_partials(
+        partials,
+        _DAILY_GROUP,
+        _DAILY_COUNTED,
         {
             "transaction_count": F.sum("_rows"),
             "total_amount_usd": F.sum("_amount"),
-            "avg_amount_usd": mean,
+            "avg_amount_usd": F.try_divide(F.sum("_amount"), F.sum("_amounts")),
             "max_amount_usd": F.max("_largest"),
-            **{name: F.sum(f"_{name}") for name in flags},
+            **{name: F.sum(f"_{name}") for name in _DAILY_FLAGS},
         },
     )
     return daily.withColumn("daily_to_baseline_ratio", numeric_ratio("total_amount_usd", "baseline_monthly_spend"))
 
 
+def company_daily_spend(enriched: DataFrame) -> DataFrame:
+    return daily_from_partials(daily_partials(enriched))
+
+
 def company_spend_summary(daily: DataFrame) -> DataFrame:
     """Daily rows with the mean of the last seven rows of the company and an unusual-day mark.
 
