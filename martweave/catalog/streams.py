@@ -22,29 +22,30 @@ from .common import Catalog, big, moment, plain, rounded
 
 catalog = Catalog()
 
-# the input has a file per shuffle partition and enough for some batches, so a stream takes several
-FILES_PER_BATCH = 3
-LEAST_FILES = 3 * FILES_PER_BATCH
+# what the streams are given comes in so many deliveries; a batch takes files of at most so many bytes
+DELIVERIES, BATCH_BYTES = 4, 4 << 30
 
 
-def _in_order(spark, place: str) -> None:
-    """A stream takes files by their time: those of earlier ranges come first, whichever task ended first."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(place)
-    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    parts = sorted((f for f in store.listStatus(path) if f.getPath().getName().startswith("part-")), key=lambda f: f.getPath().getName())
-    first = min((f.getModificationTime() for f in parts), default=0)
-    for n, part in enumerate(parts):
-        store.setTimes(part.getPath(), first - 1000 * (len(parts) - n), -1)
+def _parted(rows, by: str, late=0):
+    """Rows with the number of the delivery that brings them: equal stretches of the integer `by`, some of them later."""
+    low, high = rows.agg(F.min(by), F.max(by) + 1).first()
+    stretch = F.expr(f"({by} - {low or 0}L) * {DELIVERIES} div {(high or 1) - (low or 0)}L")
+    return rows.withColumn("delivery", F.least(F.lit(DELIVERIES - 1), stretch + late))
 
 
-def _messages(spark, folder, place: str):
-    """Message files by arrival, some of which make up a batch of the stream."""
-    rows = S.MESSAGES.frame(spark, folder).select("value", "arrived_at")
-    # a number that is given is not coalesced
-    files = max(LEAST_FILES, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    rows.repartitionByRange(files, "arrived_at").sortWithinPartitions("arrived_at").write.parquet(f"{place}/in")
-    _in_order(spark, f"{place}/in")
-    return message_files(spark, f"{place}/in", FILES_PER_BATCH)
+def _arrivals(spark, folder, place: str, late=0):
+    """The message stream after each delivery; a query is started anew from its checkpoint each time.
+
+    A delivery is written when the one before has been read, so a file store's times decide nothing.
+    """
+    rows = S.MESSAGES.frame(spark, folder).select("value", "arrived_at", "event_id", F.unix_micros("arrived_at").alias("_t"))
+    rows = _parted(rows, "_t", late).select("value", "arrived_at", "delivery").persist()
+    try:
+        for n in range(DELIVERIES):
+            rows.filter(F.col("delivery") == n).drop("delivery").write.mode("append").parquet(f"{place}/in")
+            yield message_files(spark, f"{place}/in", max_bytes=BATCH_BYTES)
+    finally:
+        rows.unpersist()
 
 
 _GOOD_SQL = f"""(select t.transaction_id, t.company_id, t.company_name, if(m.event_id % 50 = 9, null, 'smb') company_size_tier,
@@ -76,10 +77,10 @@ _LOW, _HIGH = V.RAW_SCORE_BOUNDS
 def _(spark, folder):
     """Messages decoded, scored by a given forest and by the rules, in several batches."""
     place = run_folder(spark, "scored")
-    messages = _messages(spark, folder, place)
-    spend_stream.write_scored(
-        messages, f"{place}/scored", f"{place}/refused", f"{place}/state", model.given_forest(spark)
-    ).awaitTermination()
+    for messages in _arrivals(spark, folder, place):
+        spend_stream.write_scored(
+            messages, f"{place}/scored", f"{place}/refused", f"{place}/state", model.given_forest(spark)
+        ).awaitTermination()
     other = ["vendor_name", "currency", "payment_method", "department", "is_anomaly", "anomaly_type"]
     columns = [c for c in spend_stream.SCORED_COLUMNS if c not in other]
     return plain(spark.read.parquet(f"{place}/scored").select(*columns))
@@ -88,8 +89,8 @@ def _(spark, folder):
 @catalog.add("stream_dead_letters", spend.catalog.checks["dead_letters"])
 def _(spark, folder):
     place = run_folder(spark, "refused")
-    messages = _messages(spark, folder, place)
-    spend_stream.write_scored(messages, f"{place}/scored", f"{place}/refused", f"{place}/state").awaitTermination()
+    for messages in _arrivals(spark, folder, place):
+        spend_stream.write_scored(messages, f"{place}/scored", f"{place}/refused", f"{place}/state").awaitTermination()
     return plain(spark.read.json(f"{place}/refused", schema="raw_message string, error string").drop("batch"))
 
 
@@ -105,27 +106,35 @@ def _(spark, folder):
 def _(spark, folder):
     """Windows by arrival time; the one still open when the input ends is not emitted."""
     place = run_folder(spark, "windows")
-    rows = spend_stream.scored_stream(_messages(spark, folder, place))
-    spend_stream.write_windows(rows, f"{place}/windows", f"{place}/state").awaitTermination()
+    for messages in _arrivals(spark, folder, place):
+        rows = spend_stream.scored_stream(messages)
+        spend_stream.write_windows(rows, f"{place}/windows", f"{place}/state").awaitTermination()
     written = spark.read.parquet(f"{place}/windows")
     return plain(written.select("window_start", "company_id", "transaction_count", "total_amount_usd"))
 
 
-def _topic_stream(spark, folder, place: str):
+def _topic_arrivals(spark, folder, place: str):
+    """The stream of both topics after each delivery."""
     columns = ["topic", "value", F.lit(0).alias("partition"), "offset", "timestamp"]
-    S.TOPIC_EVENTS.frame(spark, folder).select(*columns).write.parquet(f"{place}/in/a")
-    orders = S.TOPIC_ORDERS.frame(spark, folder).select(*columns)
-    orders.repartitionByRange("offset").write.parquet(f"{place}/in/b")
-    return topic_files(spark, f"{place}/in/*", FILES_PER_BATCH)
-
-
-def _ingest(spark, folder, label: str) -> str:
+    topics = {"a": S.TOPIC_EVENTS.frame(spark, folder), "b": S.TOPIC_ORDERS.frame(spark, folder)}
+    parted = {name: _parted(rows.select(*columns), "offset").persist() for name, rows in topics.items()}
+    try:
+        for n in range(DELIVERIES):
+            for name, rows in parted.items():
+                rows.filter(F.col("delivery") == n).drop("delivery").write.mode("append").parquet(f"{place}/in/{name}")
+            yield topic_files(spark, f"{place}/in/*", max_bytes=BATCH_BYTES)
+    finally:
+        for rows in parted.values():
+            rows.unpersist()
+
+
+def _ingest(spark, folder, label: str, put=None) -> str:
     place = run_folder(spark, label)
-    stream = _topic_stream(spark, folder, place)
-    commerce_stream.ingest(
-        stream, f"{place}/events", f"{place}/orders", f"{place}/refused", f"{place}/state",
-        S.GEO_RANGES.frame(spark, folder),
-    ).awaitTermination()
+    for stream in _topic_arrivals(spark, folder, place):
+        commerce_stream.ingest(
+            stream, f"{place}/events", f"{place}/orders", f"{place}/refused", f"{place}/state",
+            None if put else S.GEO_RANGES.frame(spark, folder), put=put,
+        ).awaitTermination()
     return place
 
 
@@ -183,22 +192,13 @@ _ORDER_OUTCOME_SQL = f"""(select topic, value, coalesce({shop._ORDER_REASON_SQL}
   from (select m.* from {S.TOPIC_ORDERS.sql} m))"""
 
 
-def _ingest_sized(spark, folder, label: str) -> str:
-    place = run_folder(spark, label)
-    commerce_stream.ingest(
-        _topic_stream(spark, folder, place), f"{place}/events", f"{place}/orders", f"{place}/refused", f"{place}/state",
-        put=sized_store(LONGEST),
-    ).awaitTermination()
-    return place
-
-
 @catalog.add(
     "stream_write_refusals",
     f"select * from {_EVENT_OUTCOME_SQL} where reason is not null union all select * from {_ORDER_OUTCOME_SQL} where reason is not null",
 )
 def _(spark, folder):
     """Dead letters of a stream whose store refuses single documents, among all others refused."""
-    place = _ingest_sized(spark, folder, "refusals")
+    place = _ingest(spark, folder, "refusals", sized_store(LONGEST))
     shape = "original_topic string, original_value string, reason string, failed_at string"
     envelopes = spark.read.text(f"{place}/refused").select(F.from_json("value", shape).alias("r")).select("r.*")
     return plain(envelopes.drop("failed_at"))
@@ -211,14 +211,14 @@ def _(spark, folder):
 )
 def _(spark, folder):
     """What the same stream stores: every sound event but those its store refuses."""
-    place = _ingest_sized(spark, folder, "written")
+    place = _ingest(spark, folder, "written", sized_store(LONGEST))
     written = spark.read.schema(C.EVENT_SCHEMA).parquet(f"{place}/events")
     return plain(written.groupBy("type", "user_id").agg(F.count(F.lit(1)).alias("n")))
 
 
 # --- late rows ---------------------------------------------------------------------------
 
-DELIVERIES, LATE_BY = 4, 2
+LATE_BY = 2
 _EDGES_SQL = f"(select min(epoch_us(arrived_at)) low, max(epoch_us(arrived_at)) + 1 high from {S.MESSAGES.sql})"
 # deliveries are equal stretches of time; every 37th message comes two deliveries later
 _DELIVERED_SQL = f"""(select 'tx_' || event_id transaction_id, arrived_at, time_bucket(interval 5 minute, arrived_at) + interval 5 minute window_end,
@@ -229,23 +229,16 @@ _PLACED_SQL = f"""(select g.*, d.arrived_at, d.window_end, d.delivery,
   from good g join {_DELIVERED_SQL} d using (transaction_id))"""
 
 
-def _delivered(spark, folder):
-    """Messages with the number of the delivery that brings them."""
-    rows = S.MESSAGES.frame(spark, folder).select("value", "arrived_at", "event_id", F.unix_micros("arrived_at").alias("_t"))
-    low, high = rows.agg(F.min("_t"), F.max("_t") + 1).first()
-    steps = F.expr(f"(_t - {low}L) * {DELIVERIES} div ({high}L - {low}L)") + F.when(F.col("event_id") % 37 == 5, LATE_BY).otherwise(0)
-    return rows.select("value", "arrived_at", F.least(F.lit(DELIVERIES - 1), steps).alias("delivery"))
+def _late():
+    return F.when(F.col("event_id") % 37 == 5, LATE_BY).otherwise(0)
 
 
 def _windows_once(spark, folder, label: str) -> str:
     """A run of the stream per delivery: it is started again from its checkpoint each time."""
     place = run_folder(spark, label)
-    rows = _delivered(spark, folder).persist()
-    for n in range(DELIVERIES):
-        rows.filter(F.col("delivery") == n).drop("delivery").write.mode("append").parquet(f"{place}/in")
-        stream = spend_stream.scored_stream(message_files(spark, f"{place}/in"))
+    for messages in _arrivals(spark, folder, place, _late()):
+        stream = spend_stream.scored_stream(messages)
         write_windows_once(stream, f"{place}/windows", f"{place}/late", f"{place}/open", f"{place}/state").awaitTermination()
-    rows.unpersist()
     return place
 
 
@@ -297,13 +290,10 @@ _SIGNAL_ROWS_SQL = f"(select g.transaction_id, g.company_id, g.vendor_category,
 def _(spark, folder):
     """Velocity, new categories and time since the last payment, over four deliveries with late messages among them."""
     place = run_folder(spark, "signals")
-    rows = _delivered(spark, folder).persist()
-    for n in range(DELIVERIES):
-        rows.filter(F.col("delivery") == n).drop("delivery").write.mode("append").parquet(f"{place}/in")
-        stream = spend_stream.scored_stream(message_files(spark, f"{place}/in"))
+    for messages in _arrivals(spark, folder, place, _late()):
+        stream = spend_stream.scored_stream(messages)
         write_signals(
             stream, f"{place}/signals", f"{place}/seen", f"{place}/state", minutes=LOOK_BACK, lateness=SIGNAL_LATENESS
         ).awaitTermination()
-    rows.unpersist()
     columns = ["transaction_id", "company_id", "recent_count", "seconds_since_last", "new_category", "history_complete"]
     return plain(spark.read.parquet(f"{place}/signals").select(*columns), {"seconds_since_last": 6})

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamReader
 
 HOTEL_SEED_SCHEMA = (
     "hotel_id string, hotel_type string, hotel_name string, region string, country string, is_active boolean"
@@ -35,20 +36,31 @@ def exchange_rates(spark: SparkSession, path: str, loaded_at: str) -> DataFrame:
     )
 
 
-def message_files(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Stream of message files: parquet rows (value string, arrived_at timestamp)."""
-    reader = spark.readStream.schema("value string, arrived_at timestamp")
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(path)
+def message_files(
+    spark: SparkSession, path: str, max_files: int | None = None, max_bytes: int | None = None
+) -> DataFrame:
+    """Stream of message files: parquet rows (value string, arrived_at timestamp).
+
+    A batch takes at most `max_files` files or, which does not depend on how the producer cuts
+    its files, files of `max_bytes` in all (a larger file alone).
+    """
+    return _admitting(spark.readStream.schema("value string, arrived_at timestamp"), max_files, max_bytes).parquet(path)
 
 
-def topic_files(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+def topic_files(
+    spark: SparkSession, path: str, max_files: int | None = None, max_bytes: int | None = None
+) -> DataFrame:
     """Stream of topic records kept in files, with the columns a Kafka source gives."""
     reader = spark.readStream.schema("topic string, value string, partition int, offset bigint, timestamp timestamp")
+    return _admitting(reader, max_files, max_bytes).parquet(path)
+
+
+def _admitting(reader: DataStreamReader, max_files: int | None, max_bytes: int | None) -> DataStreamReader:
+    if max_files and max_bytes:
+        raise ValueError("a batch is bounded by files or by bytes, not by both")
     if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(path)
+        return reader.option("maxFilesPerTrigger", max_files)
+    return reader.option("maxBytesPerTrigger", max_bytes) if max_bytes else reader
 
 
 def kafka_topics(spark: SparkSession, servers: str, topics: list[str], options: dict | None = None) -> DataFrame:

@@ -94,3 +94,22 @@ def test_routing(spark):
 def test_kafka_needs_its_connector(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         readers.kafka_topics(spark, "localhost:1", ["events"])
+
+
+def test_batches_by_bytes_do_not_follow_the_number_of_files(spark, folder):
+    rows = spark.range(4000).select(F.sha2(F.col("id").cast("string"), 256).alias("value"), F.timestamp_seconds("id").alias("arrived_at"))
+    batches = []
+    for files in (8, 40):
+        place = f"{folder}/{files}"
+        rows.repartition(files).write.parquet(f"{place}/in")
+        size = sum(f.stat().st_size for f in Path(f"{place}/in").glob("part-*"))
+        seen = []
+        stream = readers.message_files(spark, f"{place}/in", max_bytes=size // 3 + 1)
+        stream.writeStream.foreachBatch(lambda df, n: seen.append(df.count())).option("checkpointLocation", f"{place}/state").trigger(
+            availableNow=True
+        ).start().awaitTermination()
+        assert sum(seen) == 4000
+        batches.append(len(seen))
+    assert all(3 <= n <= 4 for n in batches)
+    with pytest.raises(ValueError):
+        readers.message_files(spark, folder, max_files=1, max_bytes=1)
