@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import fixed_values as V
+from ..functions.addresses import address_key
+from ..functions.plan import once, once_all
 from ..functions.text import browser, device_type
 from ..operators.quality import duplicate_keys
+from ..operators.innermost import innermost
 from ..operators.ranges import range_lookup
 from ..operators.upsert import merge_upsert
 from ..plans import behaviour as B
@@ -115,6 +118,34 @@ def _(spark, folder):
     return plain(range_lookup(rows, ranges, "ip_number", "range_start", "range_end", C.GEO_FIELDS, salts=4))
 
 
+_NETWORKS_SQL = "(" + " union all ".join(f"select * from {n.sql}" for n in S.NETWORKS) + ")"
+
+
+def _address(family, number):
+    """A whole number below 2**32 as an address text of its family."""
+    octets = [F.shiftright(number, bits).bitwiseAND(255).cast("string") for bits in (24, 16, 8, 0)]
+    groups = [F.lower(F.hex(F.shiftright(number, bits).bitwiseAND(65535))) for bits in (16, 0)]
+    return F.when(family == 0, F.concat_ws(".", *octets)).otherwise(F.concat(F.lit("2001:db8::"), F.concat_ws(":", *groups)))
+
+
+@catalog.add(
+    "network_owner",
+    f"""with asked as (select event_id, event_id % 2 family, if(event_id % 41 = 3, null, ip_number) n from {S.SHOP_EVENTS.sql}),
+    held as (select event_id, g.name network, row_number() over (partition by event_id order by g.low desc, g.high, g.name) r
+      from asked a join {_NETWORKS_SQL} g on g.family = a.family and a.n between g.low and g.high)
+    select event_id, network from asked left join (select * from held where r = 1) using (event_id)""",
+)
+def _(spark, folder):
+    """The innermost of nested and overlapping networks, of both families, that holds an event's address."""
+    named = [n.frame(spark, folder) for n in S.NETWORKS]
+    networks = named[0].unionByName(named[1]).unionByName(named[2])
+    networks = once_all(networks, {s: address_key(_address(F.col("family"), F.col(n))) for s, n in [("start", "low"), ("end", "high")]})
+    text = F.when(F.col("event_id") % 41 == 3, "unknown").otherwise(_address(F.col("event_id") % 2, F.col("ip_number")))
+    asked = once(events(spark, folder).select("event_id", "ip_number"), address_key(text), "address")
+    owned = innermost(asked, networks.withColumnRenamed("name", "network"), "address", "start", "end", ["network"])
+    return plain(owned.select("event_id", "network"))
+
+
 @catalog.add(
     "enriched_events",
     f"""select e.type, e.user_id, t.ip_number // 16777216 octet, if(user_agent = '', null, {_DEVICE_SQL}) device_type,

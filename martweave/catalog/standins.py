@@ -356,6 +356,37 @@ GEO_RANGES = Standin(
     },
 )
 
+# networks of two families (0: four octets, 1: eight groups) that overlap and lie in one another
+NETWORKS = [
+    Standin(
+        "nation",
+        {
+            "family": "n_nationkey % 2",
+            "low": "cast(n_nationkey as bigint) * 10 * 16777216",
+            "high": "cast(n_nationkey as bigint) * 10 * 16777216 + 90 * 16777216 - 1",
+            "name": "n_name",
+        },
+    ),
+    Standin(
+        "supplier",
+        {
+            "family": "s_suppkey % 2",
+            "low": "cast(s_suppkey * 7919 % 250 as bigint) * 16777216",
+            "high": "cast(s_suppkey * 7919 % 250 as bigint) * 16777216 + (s_suppkey % 7 + 1) * 4000000",
+            "name": "'s' || cast(s_suppkey as varchar(20))",
+        },
+    ),
+    Standin(
+        "customer",
+        {
+            "family": "c_custkey % 2",
+            "low": "cast(c_custkey * 7919 % 250 as bigint) * 16777216 + (c_custkey % 200) * 65536",
+            "high": "cast(c_custkey * 7919 % 250 as bigint) * 16777216 + (c_custkey % 200 + c_custkey % 5 + 1) * 65536 - 1",
+            "name": "'c' || cast(c_custkey as varchar(20))",
+        },
+    ),
+]
+
 # --- bank ---------------------------------------------------------------------------------
 
 _CURRENCY = "case when {key} % 5 = 4 then 'GBP' when {key} % 2 = 0 then 'USD' else 'EUR' end"
