@@ -12,7 +12,7 @@ from martweave.operators.matching import match_by_rank
 from martweave.operators.ranges import range_lookup
 from martweave.operators.ranking import page, page_after, page_totals, top_per_group
 from martweave.operators.running import next_ids, numbered_by_content, ranked, running_sums
-from martweave.operators.upsert import merge_upsert, read_stored, store_upsert
+from martweave.operators.upsert import Bucket, directories, merge_upsert, read_stored, store_upsert
 
 
 @pytest.fixture(scope="module")
@@ -188,6 +188,60 @@ def test_store_upsert(spark, folder):
     assert got == apply_docs({}, one + two + three)
 
 
+def _folders(spark, place):
+    kept = directories(spark, place)
+    return {b.name: b.written for b in kept[max(kept)] if b.rows}
+
+
+def test_buckets_split_as_the_table_grows(spark, folder):
+    place, schema = f"{folder}/grown", "id string, a int, b string"
+    told, counts = [], []
+    for batch in range(4):
+        docs = [(f"k{i}", i * 10 + batch, None, ["a"], batch) for i in range(batch * 40, batch * 40 + 80)]
+        told += docs
+        store_upsert(spark.createDataFrame(docs, DOC), place, schema, "id", "pos", "present", bucket_rows=25)
+        kept = directories(spark, place)
+        state = kept[max(kept)]
+        counts.append(len(state))
+        # the buckets cover every hash once, none is beyond its bound, and their sizes are right
+        assert sum(2.0**-b.depth for b in state) == 1 and max(b.rows for b in state) <= 25
+        assert sum(b.rows for b in state) == len({d[0] for d in told}) and len(kept) <= 2
+        assert {r.id: (r.a, r.b) for r in read_stored(spark, place, schema).collect()} == apply_docs({}, told)
+    assert counts[0] >= 4 and counts[-1] > counts[0]
+
+
+def test_a_batch_writes_only_buckets_it_touches(spark, folder):
+    place, schema = f"{folder}/touched", "id string, a int, b string"
+    docs = [(f"k{i}", i, "p", ["a", "b"], 0) for i in range(200)] + [(None, 5, "q", ["a"], 0)]
+    store_upsert(spark.createDataFrame(docs, DOC), place, schema, "id", "pos", "present", buckets=16)
+    before = _folders(spark, place)
+    earlier = read_stored(spark, place, schema)
+    store_upsert(spark.createDataFrame([("k7", 70, None, ["a"], 1)], DOC), place, schema, "id", "pos", "present")
+    after = _folders(spark, place)
+    assert len(before) == 16 and [n for n in after if after[n] != before[n]] == [n for n in after if after[n] == 2]
+    assert list(after.values()).count(2) == 1
+    # the state before the batch is still readable as it was
+    assert earlier.where("id = 'k7'").first().a == 7 and earlier.count() == 201
+    assert read_stored(spark, place, schema).where("id = 'k7'").first().a == 70
+
+
+def test_a_batch_that_dies_before_its_directory_leaves_the_table(spark, folder, monkeypatch):
+    place, schema = f"{folder}/died", "id string, a int, b string"
+    first = spark.createDataFrame([(f"k{i}", i, "p", ["a", "b"], 0) for i in range(50)], DOC)
+    second = spark.createDataFrame([(f"k{i}", -i, None, ["a"], 1) for i in range(60)], DOC)
+    store_upsert(first, place, schema, "id", "pos", "present", bucket_rows=20)
+    rows = sorted(read_stored(spark, place, schema).collect())
+    with monkeypatch.context() as broken:
+        # the second batch writes its folders and fails where it makes its directory
+        broken.setattr(Bucket, "_replace", lambda *a, **k: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            store_upsert(second, place, schema, "id", "pos", "present", bucket_rows=20)
+    assert sorted(read_stored(spark, place, schema).collect()) == rows
+    store_upsert(second, place, schema, "id", "pos", "present", bucket_rows=20)
+    got = {r.id: (r.a, r.b) for r in read_stored(spark, place, schema).collect()}
+    assert got == {f"k{i}": (-i, "p" if i < 50 else None) for i in range(60)}
+
+
 def test_top_per_group_limits_before_the_shuffle(spark):
     df = spark.range(1000).withColumn("g", F.col("id") % 3)
     got = top_per_group(df, ["g"], [F.desc("id")], 2)
