@@ -7,8 +7,10 @@ the assistant says, with the mark that ends it, is learned from; everything else
 The rendering is a table of its turns in order: `segment` is the rendered turn, `start` its
 first character within the rendered dialogue (from 0), `learn_from` and `learn_to` the learned
 characters within the dialogue (null where the turn is masked).  Joining the segments in order
-gives the dialogue; no task ever holds a whole one, so its length is not bounded.  The places
-come from chunked running sums.  Only DataFrame functions are used.
+gives the dialogue; no task ever holds a whole one, so its length is not bounded.  Turns are sorted
+once, before they are rendered; their places come from running sums over blocks of the sorted
+rows (`places.py`), so neither a null conversation nor many turns of one number are one task.
+Only DataFrame functions are used.
 
 Nulls and ties: a turn without role is said by a user named `unknown`, who is no participant to
 learn from; a null text is empty; a null conversation is one conversation; turns of the same
@@ -22,8 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.running import running_sums
-from .store import kept
+from .places import in_order, running
+from .store import forget, kept
 
 SYSTEM = "system"
 UNKNOWN = "unknown"
@@ -51,6 +53,7 @@ def rotated(
         F.when(F.trim(said) != "", said).alias("speaker"),
         _unmarked(F.coalesce(F.col(text), F.lit(""))).alias("content"),
     )
+    rows = in_order(rows, ["conv_id", "turn", "speaker", "content"], "turns")
     people = rows.where(F.col("speaker").isNotNull() & (F.col("speaker") != SYSTEM)).select(
         F.col("conv_id").alias("_conv"), F.col("speaker").alias("participant")
     ).distinct()
@@ -66,12 +69,9 @@ def rotated(
         .withColumn("_head", F.length(head))
         .withColumn("segment", F.concat(head, F.col("content"), F.lit(f"{_END}\n")))
     )
-    places = running_sums(
-        kept(rendered, "rendered"),
-        ["conv_id", "participant"],
-        ["turn", "speaker", "content"],
-        {"_stop": F.length("segment").cast("long")},
-    )
+    renderings = kept(rendered, "rendered")
+    forget(rows)
+    places = running(renderings, ["conv_id", "participant"], F.length("segment").cast("long"), "_stop")
     start = F.col("_stop") - F.length("segment")
     learned = F.col("as_role") == "assistant"
     return places.select(

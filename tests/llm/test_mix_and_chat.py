@@ -2,8 +2,9 @@ import hashlib
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
-from martweave.llm import chat, mixing
+from martweave.llm import chat, mixing, places
 
 from .conftest import blank_words, rows
 
@@ -140,5 +141,24 @@ def test_every_participant_has_a_rendering(spark):
         assert [(r.learn_from, r.learn_to) for r in parts if r.learn_from is not None] == learned
 
 
+def test_one_conversation_and_one_turn_number_for_all(spark, monkeypatch):
+    """Rows without id and number, a third of them equal, are cut into blocks all the same."""
+    monkeypatch.setattr(places, "BLOCK", 32)
+    said = [(None, None, "ab"[i % 2], "same" if i % 3 else "x" * (i % 11)) for i in range(600)]
+    df = spark.createDataFrame(said, "conv_id long, turn long, role string, text string").repartition(5)
+    done = chat.rotated(df).collect()
+    for person in "ab":
+        parts = sorted((r for r in done if r.participant == person), key=lambda r: r.start)
+        want = []
+        for _, _, role, text in sorted(said, key=lambda t: (t[2], t[3])):
+            head = "<|im_start|>assistant\n" if role == person else f"<|im_start|>user name={role}\n"
+            want.append(head + text + "<|im_end|>\n")
+        assert [r.segment for r in parts] == want
+        assert [r.start for r in parts] == [sum(map(len, want[:n])) for n in range(len(want))]
+    # the largest window of rows is a block
+    rows = places.in_order(df, ["text"], "probe").withColumn("block", F.floor(F.col(places.PLACE) / places.BLOCK))
+    assert rows.groupBy(places.FILE, "block").count().agg(F.max("count")).first()[0] <= 32
+
+
 def test_no_turns(spark):
     assert chat.rotated(spark.createDataFrame([], "conv_id long, turn int, role string, text string")).collect() == []
