@@ -13,7 +13,7 @@ from ..sources import readers, sinks
 from ..sources.tables import table
 from . import bank, spend
 from . import standins as S
-from .common import Catalog, dbl, plain
+from .common import Catalog, big, dbl, plain
 from .customers import _ORDERS_SQL, MARK
 
 catalog = Catalog()
@@ -66,6 +66,33 @@ def _(spark, folder):
     return plain(readers.exchange_rates(spark, place, "2024-01-02 00:00:00"))
 
 
+@catalog.add(
+    "json_rate_files",
+    f"""select o_custkey customer_id, 'C' || o_custkey || '/USD' currency_pair, o_custkey / 8.0::double exchange_rate,
+    {big('count(*)')} orders, {dbl('sum(cast(o_totalprice as decimal(18,2)))')} total,
+    {dbl('sum(cast(o_totalprice as decimal(18,2)))')} * (o_custkey / 8.0::double) total_usd
+    from orders where o_custkey in (select c_custkey from customer) group by o_custkey""",
+)
+def _(spark, folder):
+    """Totals of customers, each in a currency of its own, by rates kept in many files of one array each."""
+    rates = table(spark, folder, "customer").select(
+        F.format_string("C%d/USD", "c_custkey").alias("currency_pair"), (F.col("c_custkey") / 8.0).cast("double").alias("rate")
+    )
+    place = run_folder(spark, "rate_files")
+    sinks.json_arrays(rates, place, "currency_pair")
+    quoted = readers.exchange_rates(spark, place, "2024-01-02 00:00:00").drop("timestamp")
+    amount = F.col("o_totalprice").cast("decimal(18,2)")
+    totals = table(spark, folder, "orders").groupBy(F.col("o_custkey").alias("customer_id")).agg(
+        F.count(F.lit(1)).alias("orders"), F.sum(amount).cast("double").alias("total")
+    )
+    priced = totals.withColumn("currency_pair", F.format_string("C%d/USD", "customer_id")).join(quoted, "currency_pair")
+    return plain(
+        priced.select(
+            "customer_id", "currency_pair", "exchange_rate", "orders", "total", (F.col("total") * F.col("exchange_rate")).alias("total_usd")
+        )
+    )
+
+
 @catalog.add("rebuilt_customers", "select c_custkey customer_id, c_mktsegment segment, c_acctbal balance from customer")
 def _(spark, folder):
     """A table rebuilt twice, partitioned by a column, and read through a view."""

@@ -57,6 +57,19 @@ def append_newer(source: DataFrame, path: str, mark: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def json_arrays(df: DataFrame, path: str, key: str, rows_per_file: int = 50_000) -> None:
+    """Writes rows as JSON files that hold one array each, some `rows_per_file` rows in a file.
+
+    An array cannot be split by its readers, so its size is bounded here: the number of files
+    follows the number of rows, and the hash of `key`, which should be unique, picks the file.
+    `df` is read twice, once to count it.
+    """
+    files = max(1, -(-df.count() // rows_per_file))
+    file = F.pmod(F.xxhash64(key), F.lit(files)).alias("file")
+    arrays = df.groupBy(file).agg(F.to_json(F.collect_list(F.struct(*df.columns))).alias("value"))
+    arrays.write.partitionBy("file").text(path)
+
+
 def append_json(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
 

@@ -113,3 +113,16 @@ def test_batches_by_bytes_do_not_follow_the_number_of_files(spark, folder):
     assert all(3 <= n <= 4 for n in batches)
     with pytest.raises(ValueError):
         readers.message_files(spark, folder, max_files=1, max_bytes=1)
+
+
+def test_json_arrays_in_files_of_bounded_size(spark, folder):
+    rows = spark.range(1000).select(F.concat(F.lit("p"), "id").alias("currency_pair"), (F.col("id") / 8).alias("rate"))
+    sinks.json_arrays(rows, f"{folder}/arrays", "currency_pair", rows_per_file=100)
+    files = list(Path(f"{folder}/arrays").glob("file=*/part-*"))
+    arrays = [json.loads(f.read_text()) for f in files]
+    assert len(files) == 10 and sum(map(len, arrays)) == 1000 and max(map(len, arrays)) < 200
+    got = readers.exchange_rates(spark, f"{folder}/arrays", "2024-01-01 00:00:00")
+    assert {(r.currency_pair, r.exchange_rate) for r in got.collect()} == {(f"p{i}", i / 8) for i in range(1000)}
+    assert got.columns == ["currency_pair", "exchange_rate", "timestamp"]
+    sinks.json_arrays(rows.where("rate < 0"), f"{folder}/no_arrays", "currency_pair")
+    assert readers.exchange_rates(spark, f"{folder}/no_arrays", "2024-01-01 00:00:00").count() == 0
