@@ -4,8 +4,9 @@ A text is the bag of its words' subwords: every word, and its byte n-grams of 3
 between end marks, so a misspelt word shares most of its bag with the word it hides.  Subwords
 are hashed into `2**BITS` rows of an embedding table.  The text's vector is their average,
 each weighted by its inverse document frequency; a linear layer with softmax gives the two
-classes, and table and layer are trained together by gradient descent with momentum.  Subwords
-of fewer than `LEAST` texts of the sample stay out: what only a few texts hold is mostly chance.
+classes, and table and layer are trained together by gradient descent with momentum.  All subwords
+of the sample are learned; what few texts hold is mostly chance, so a weight is shrunk by
+n / (n + `DOUBT`), n being the number of the sample's texts that hold the subword.
 
 *Fit.*  Labels of at most `POSITIVE` toxic and `NEGATIVE` clean texts (documented bounds, drawn
 by hash) are learned from; their bags are made by Spark from whole texts, and the small model is
@@ -36,7 +37,7 @@ BITS = 18
 SIZES = (3, 4, 5, 6, 7)
 WIDTH = 4
 POSITIVE, NEGATIVE = 1500, 3000
-LEAST = 5
+DOUBT = 5
 STEPS, BATCH, RATE, MOMENTUM = 300, 128, 0.5, 0.9
 # averages of rare subwords are small numbers; this brings them near one
 _GAIN = 100.0
@@ -162,8 +163,8 @@ def train(rows: list, counts: list, toxic: np.ndarray, share: float, seed: int =
     held = np.zeros(1 << BITS, np.int64)
     for r in rows:
         held[r] += 1  # a bag holds a subword once
-    used = np.flatnonzero(held >= LEAST)
-    rarity = np.log(len(rows) / held[used])
+    used = np.flatnonzero(held)
+    rarity = np.log(len(rows) / held[used]) * (held[used] / (held[used] + DOUBT))
     slot = np.full(1 << BITS, -1, np.int32)
     slot[used] = np.arange(len(used))
     bags = []
@@ -171,9 +172,7 @@ def train(rows: list, counts: list, toxic: np.ndarray, share: float, seed: int =
         r, n = rows[i], counts[i]
         rows[i] = counts[i] = None  # the bags take their place
         at = slot[r]
-        x = n[at >= 0] * (_GAIN / max(n.sum(), 1))
-        at = at[at >= 0]
-        bags.append((at, (x * rarity[at]).astype(np.float32)))
+        bags.append((at, (n * (_GAIN / max(n.sum(), 1)) * rarity[at]).astype(np.float32)))
     random = np.random.default_rng(seed)
     table = random.normal(0, 0.001, (len(used), WIDTH)).astype(np.float32)
     layer = np.tile(np.array([-0.3, 0.3], np.float32), (WIDTH, 1))
