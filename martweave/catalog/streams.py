@@ -26,11 +26,17 @@ catalog = Catalog()
 DELIVERIES, BATCH_BYTES = 4, 4 << 30
 
 
-def _parted(rows, by: str, late=0):
-    """Rows with the number of the delivery that brings them: equal stretches of the integer `by`, some of them later."""
-    low, high = rows.agg(F.min(by), F.max(by) + 1).first()
+def _parted(standin, spark, folder, by: str, late=0) -> list:
+    """The rows that each delivery brings: equal stretches of the integer `by`, some of them later.
+
+    A stretch lies in a few files of a table that is in order, so its rows are dealt to all tasks
+    before their texts are made: what reads a delivery has no more tasks than that has files.
+    """
+    low, high = standin.frame(spark, folder).agg(F.min(F.expr(by)), F.max(F.expr(by)) + 1).first()
     stretch = F.expr(f"({by} - {low or 0}L) * {DELIVERIES} div {(high or 1) - (low or 0)}L")
-    return rows.withColumn("delivery", F.least(F.lit(DELIVERIES - 1), stretch + late))
+    delivery = F.least(F.lit(DELIVERIES - 1), stretch + late)
+    rows = standin.frame(spark, folder, 2 * spark.sparkContext.defaultParallelism)
+    return [rows.filter(delivery == n) for n in range(DELIVERIES)]
 
 
 def _arrivals(spark, folder, place: str, late=0):
@@ -38,14 +44,9 @@ def _arrivals(spark, folder, place: str, late=0):
 
     A delivery is written when the one before has been read, so a file store's times decide nothing.
     """
-    rows = S.MESSAGES.frame(spark, folder).select("value", "arrived_at", "event_id", F.unix_micros("arrived_at").alias("_t"))
-    rows = _parted(rows, "_t", late).select("value", "arrived_at", "delivery").persist()
-    try:
-        for n in range(DELIVERIES):
-            rows.filter(F.col("delivery") == n).drop("delivery").write.mode("append").parquet(f"{place}/in")
-            yield message_files(spark, f"{place}/in", max_bytes=BATCH_BYTES)
-    finally:
-        rows.unpersist()
+    for rows in _parted(S.MESSAGES, spark, folder, "unix_micros(arrived_at)", late):
+        rows.select("value", "arrived_at").write.mode("append").parquet(f"{place}/in")
+        yield message_files(spark, f"{place}/in", max_bytes=BATCH_BYTES)
 
 
 _GOOD_SQL = f"""(select t.transaction_id, t.company_id, t.company_name, if(m.event_id % 50 = 9, null, 'smb') company_size_tier,
@@ -116,16 +117,12 @@ def _(spark, folder):
 def _topic_arrivals(spark, folder, place: str):
     """The stream of both topics after each delivery."""
     columns = ["topic", "value", F.lit(0).alias("partition"), "offset", "timestamp"]
-    topics = {"a": S.TOPIC_EVENTS.frame(spark, folder), "b": S.TOPIC_ORDERS.frame(spark, folder)}
-    parted = {name: _parted(rows.select(*columns), "offset").persist() for name, rows in topics.items()}
-    try:
-        for n in range(DELIVERIES):
-            for name, rows in parted.items():
-                rows.filter(F.col("delivery") == n).drop("delivery").write.mode("append").parquet(f"{place}/in/{name}")
-            yield topic_files(spark, f"{place}/in/*", max_bytes=BATCH_BYTES)
-    finally:
-        for rows in parted.values():
-            rows.unpersist()
+    topics = {"a": S.TOPIC_EVENTS, "b": S.TOPIC_ORDERS}
+    parted = {name: _parted(standin, spark, folder, "offset") for name, standin in topics.items()}
+    for n in range(DELIVERIES):
+        for name, rows in parted.items():
+            rows[n].select(*columns).write.mode("append").parquet(f"{place}/in/{name}")
+        yield topic_files(spark, f"{place}/in/*", max_bytes=BATCH_BYTES)
 
 
 def _ingest(spark, folder, label: str, put=None) -> str:

@@ -133,3 +133,19 @@ def test_a_batch_run_again_replaces_its_rows(spark, folder):
         assert [p["batchId"] for p in query.recentProgress if p["numInputRows"]] == [0]
         assert spark.read.parquet(f"{folder}/scored").count() == 1
         assert spark.read.json(f"{folder}/refused").count() == 1
+
+
+def test_a_delivery_of_a_table_in_one_file_is_dealt_to_all_tasks(spark, folder):
+    """A table in order of time, in one file of one row group: what is delivered lies in a file per task."""
+    rows = spark.range(4000).select(
+        F.col("id").alias("event_id"), F.timestamp_seconds("id").alias("ts"), F.pmod("id", F.lit(40)).alias("user_id"),
+        F.lit("view").alias("event_type"), F.lit(1.5).alias("value"), F.lit('{"k": 7}').alias("props"),
+    )
+    rows.coalesce(1).write.parquet(f"{folder}/events.parquet")
+    seen = []
+    tasks = 2 * spark.sparkContext.defaultParallelism
+    for n, _ in enumerate(streams._arrivals(spark, folder, folder)):
+        files = spark.read.parquet(f"{folder}/in").groupBy(F.input_file_name()).count().collect()
+        seen.append([r["count"] for r in files])
+        assert len(files) == (n + 1) * tasks
+    assert sum(seen[-1]) == 4000 and max(seen[-1]) < 4000 / streams.DELIVERIES / 4
