@@ -257,3 +257,20 @@ def test_member_pages_keep_all(spark):
     members = spark.createDataFrame([("d", i, f"e{i}") for i in range(25)], "g string, no bigint, id string")
     got = sorted(university.member_pages(members, "g", "no", "id", 10).collect(), key=lambda r: r.page_no)
     assert [m for r in got for m in r.members] == [f"e{i}" for i in range(25)] and [r.member_count for r in got] == [10, 10, 5]
+
+
+def test_declared_tests_score_a_transaction_once(spark, monkeypatch):
+    """All models of a suite read scores that were written once; each queries its rows once."""
+    from conftest import SMALL
+    from martweave.catalog import declared, spend
+
+    calls = []
+    score, asked = spend.P.score_transactions, []
+    monkeypatch.setattr(spend.P, "score_transactions", lambda rows: calls.append(1) or score(rows))
+    queries = {n: lambda s, f, n=n, q=q: asked.append(n) or q(s, f) for n, q in spend.catalog.queries.items()}
+    monkeypatch.setattr(spend.catalog, "queries", queries)
+    got = declared.catalog.queries["declared_spend"](spark, SMALL)
+    assert len(calls) == 1 and len(asked) == len(set(asked)) == len({m[0] for m in declared.SPEND.values()})
+    assert got.count() == sum(len(m[1]) + len(m[2]) + len(m[3]) for m in declared.SPEND.values())
+    spend.scored(spark, SMALL)
+    assert len(calls) == 2
