@@ -147,13 +147,15 @@ def _(spark, folder):
         .agg((F.max(F.col("l_extendedprice").cast("decimal(18,2)")) * cents).cast("bigint").alias("debit"))
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .select(
-            F.concat(F.lit("SA"), F.col("l_suppkey").cast("string")).alias("account_id"),
+            F.col("l_suppkey").alias("account_id"),
             "seq",
             "debit",
             (F.col("s_acctbal").cast("decimal(18,2)") * cents * 100).cast("bigint").alias("funds"),
         )
     )
-    return plain(accept_in_order(debits))
+    # the rounds go by the number of the account, its name is for the result
+    named = F.concat(F.lit("SA"), F.col("account_id").cast("string"))
+    return plain(accept_in_order(debits).withColumn("account_id", named))
 
 
 _MICRO = "cast(({}) * 1000000 as bigint)"

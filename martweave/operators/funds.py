@@ -27,8 +27,8 @@ def accept_in_order(debits: DataFrame, width: int = CHUNK_WIDTH) -> DataFrame:
     remaining funds are refused at once.
     """
     rows = debits.select("account_id", "seq", "debit", "funds")
-    top = rows.agg(F.max("funds")).first()[0] or 0
     open_rows = pin(rows, "funds-open")
+    top = open_rows.agg(F.max("funds")).first()[0] or 0
     decided = []
     for _ in range(int(top).bit_length() + 1):
         payable = F.coalesce((F.col("debit") > 0) & (F.col("debit") <= F.col("funds")), F.lit(False))
@@ -52,12 +52,18 @@ def accept_in_order(debits: DataFrame, width: int = CHUNK_WIDTH) -> DataFrame:
                 F.when(F.col("_ends"), F.col("seq")),
             ).alias("_left"),
         )
-        marked = walked.join(stops, "account_id")
+        # this round's verdicts and the next one's rows (twice) are read from here: the rows meet their stops once
         in_round = F.col("_stop").isNull() | (F.col("seq") <= F.col("_stop"))
+        marked = pin(
+            walked.join(stops, "account_id").select(
+                "account_id", "seq", "debit", "_covered", F.col("_left").alias("funds"), in_round.alias("_decided")
+            ),
+            "funds-marked",
+        )
         decided.append(
-            marked.filter(in_round).select("account_id", "seq", F.col("_covered").alias("accepted"))
+            marked.filter("_decided").select("account_id", "seq", F.col("_covered").alias("accepted"))
         )
-        open_rows = marked.filter(~in_round).select("account_id", "seq", "debit", F.col("_left").alias("funds"))
+        open_rows = marked.filter("not _decided").select("account_id", "seq", "debit", "funds")
         if open_rows.isEmpty():
             break
     else:
@@ -143,7 +149,11 @@ def _verdicts(legs: DataFrame, width: int) -> DataFrame:
 
 
 def _folded(legs: DataFrame) -> DataFrame:
-    """The legs of accounts with open debits; what lies before an account's first open leg becomes one."""
+    """The legs of accounts with open debits; what lies before an account's first open leg becomes one.
+
+    Legs and placed legs are each read twice, so both are written once, joins and all.
+    """
+    legs = pin(legs, "funds-told")
     is_open = F.col("known").isNull()
     firsts = legs.groupBy("account_id").agg(
         F.min(F.when(is_open, F.col("seq"))).alias("_first"),
@@ -151,6 +161,7 @@ def _folded(legs: DataFrame) -> DataFrame:
     )
     # credits after the last open debit of an account are read by nobody
     placed = legs.join(firsts.filter(F.col("_last").isNotNull()), "account_id").filter(F.col("seq") <= F.col("_last"))
+    placed = pin(placed.drop("_last"), "funds-placed")
     before = F.col("seq") < F.col("_first")
     opening = (
         placed.filter(before & F.col("known")).groupBy("account_id").agg(F.sum("gain").alias("funds"))

@@ -95,3 +95,21 @@ def test_money_that_is_passed_on(spark):
 def test_nothing_to_decide(spark):
     assert decided(spark, [], [("a", 1)]) == {}
     assert decided(spark, [(1, None, "a", None, None, 5), (2, "a", None, None, None, None)], [("a", 1)]) == {}
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rounds_read_what_is_written_and_join_nothing_again(spark):
+    """Rows meet the stops of a round, and legs their verdicts, in one join that is written."""
+    debits = spark.createDataFrame([(i % 3, i, 40 + i, 200) for i in range(30)], "account_id long, seq long, debit long, funds long")
+    verdicts = funds_module.accept_in_order(debits)
+    assert "Join" not in _plan(verdicts) and verdicts.count() == 30
+    legs = spark.createDataFrame(
+        [("a", 1, 0, None, 50, True), ("a", 2, 0, 20, -20, None), ("a", 3, 1, None, 5, True)],
+        "account_id string, seq long, side int, need long, gain long, known boolean",
+    )
+    folded = funds_module._folded(legs)
+    assert "Join" not in _plan(folded)
+    assert {(r.seq, r.gain, r.known) for r in folded.collect()} == {(funds_module._OPENING, 50, True), (2, -20, None)}
