@@ -274,3 +274,19 @@ def test_declared_tests_score_a_transaction_once(spark, monkeypatch):
     assert got.count() == sum(len(m[1]) + len(m[2]) + len(m[3]) for m in declared.SPEND.values())
     spend.scored(spark, SMALL)
     assert len(calls) == 2
+
+
+def test_all_suites_share_the_scores(spark, monkeypatch):
+    from conftest import SMALL
+    from martweave.catalog import declared, spend
+
+    found = []
+
+    def suite(spark, folder):
+        with spend.scored_once():
+            found.append(spend.scored(spark, folder))
+        return spark.createDataFrame([(True,)], "success boolean")
+
+    monkeypatch.setattr(declared, "_SUITES", {"a": suite, "b": suite})
+    assert declared.catalog.queries["quality_overall"](spark, SMALL).first().checks == 2
+    assert found[0] is found[1]
