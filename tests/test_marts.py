@@ -290,3 +290,21 @@ def test_all_suites_share_the_scores(spark, monkeypatch):
     monkeypatch.setattr(declared, "_SUITES", {"a": suite, "b": suite})
     assert declared.catalog.queries["quality_overall"](spark, SMALL).first().checks == 2
     assert found[0] is found[1]
+
+
+def test_suites_build_the_order_facts_once(spark, monkeypatch):
+    """All suites of the marketplace read item totals, order facts, leads and sellers that were written once."""
+    from conftest import SMALL
+    from martweave.catalog import declared, marketplace
+
+    calls = []
+    for name in ("order_items_rollup", "order_facts", "closed_leads", "seller_dimension"):
+        build = getattr(marketplace.M, name)
+        monkeypatch.setattr(marketplace.M, name, lambda *rows, n=name, b=build: calls.append(n) or b(*rows))
+    suites = {n: declared._SUITES[n] for n in ("quality_fct_orders", "quality_dim_sellers", "declared_marketplace")}
+    monkeypatch.setattr(declared, "_SUITES", suites)
+    got = declared.catalog.queries["quality_overall"](spark, SMALL).first()
+    assert sorted(calls) == ["closed_leads", "order_facts", "order_items_rollup", "seller_dimension"]
+    plain = [suite(spark, SMALL).collect() for suite in suites.values()]
+    assert got.checks == sum(len(rows) for rows in plain)
+    assert got.failed_checks == sum(not r.success for rows in plain for r in rows)
